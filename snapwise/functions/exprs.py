@@ -118,8 +118,24 @@ def round_half_up_ratio(numerator, denominator, scale: int) -> Column:
     return F.round(num / den, scale)
 
 
+def round_ratio(numerator, denominator, scale: int) -> Column:
+    """round(numerator / denominator, scale), half away from zero, exact.
+
+    Pure integer arithmetic on the two (integral) operands, then one exact
+    decimal shift: no intermediate rounding at any scale. Null when the
+    denominator is 0 or null.
+    """
+    factor = 10 ** scale
+    n = col(numerator).cast("bigint")
+    d = F.nullif(col(denominator).cast("bigint"), F.lit(0))
+    q = idiv(F.abs(n) * (2 * factor) + F.abs(d), F.abs(d) * 2)
+    signed = F.when((n < 0) != (d < 0), -q).otherwise(q)
+    shifted = signed.cast("decimal(30,0)") / F.lit(factor)
+    return shifted.cast(f"decimal(20,{scale})")
+
+
 def exact_avg(values_sum, values_count, scale: int) -> Column:
-    return round_half_up_ratio(values_sum, values_count, scale).cast(f"decimal(20,{scale})")
+    return round_ratio(values_sum, values_count, scale)
 
 
 def js_round_percent(part, total) -> Column:
