@@ -243,3 +243,164 @@ def q_vocation_pie(spark, sf):
 
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)
+
+
+# ---------------------------------------------------------------------------
+# Panels, filters, orders, top-n
+# ---------------------------------------------------------------------------
+from snapwise.operators import panels as PN  # noqa: E402
+
+# Fixed panel parameters (stated identically in the oracle).
+RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
+SCOPE_WORLD, SCOPE_GUILD = "w0", "g1"
+NAME_SEARCH = " C1 "
+VOCATION_SELECTION = ["Knight", "Paladin"]
+
+
+def _tl(spark, sf):
+    return CH.timeline(_roster(spark, sf))
+
+
+@register("range_ts")
+def q_range_ts(spark, sf):
+    return PN.filter_ts_range(CH.level_changes(_roster(spark, sf)), RANGE_START, RANGE_END)
+
+
+@register("range_date")
+def q_range_date(spark, sf):
+    return PN.filter_date_range(AC.minutes_by_day(AC.online_intervals(_roster(spark, sf))),
+                                RANGE_START, RANGE_END)
+
+
+@register("default_range")
+def q_default_range(spark, sf):
+    return PN.default_range(RO.date_bounds(_roster(spark, sf)))
+
+
+@register("scope_filter")
+def q_scope_filter(spark, sf):
+    return PN.scope_filter(CH.level_changes(_roster(spark, sf)), SCOPE_WORLD, SCOPE_GUILD)
+
+
+@register("pairs_scoped")
+def q_pairs_scoped(spark, sf):
+    return PR.snapshot_pairs(PR.scope(_roster(spark, sf), world="w1"))
+
+
+@register("name_contains")
+def q_name_contains(spark, sf):
+    return PN.name_contains(_latest_members(spark, sf), NAME_SEARCH)
+
+
+@register("vocation_in")
+def q_vocation_in(spark, sf):
+    return PN.vocation_in(RO.vocation_rows(_latest_members(spark, sf)), VOCATION_SELECTION)
+
+
+@register("level_panel")
+def q_level_panel(spark, sf):
+    tl = _tl(spark, sf)
+    daily = AC.minutes_by_day(AC.intervals_from(tl))
+    return PN.level_panel(CH.level_changes_from(tl), daily, RANGE_START, RANGE_END)
+
+
+@register("panel_level")
+def q_panel_level(spark, sf):
+    return PN.ranked(CH.level_changes(_roster(spark, sf)),
+                     [F.col("latest_snapshot_time").desc(), F.col("level_gain").desc_nulls_first(),
+                      F.col("current_level").desc_nulls_first(), F.col("character_name").asc()])
+
+
+@register("panel_joins")
+def q_panel_joins(spark, sf):
+    return PN.ranked(CH.member_joins(_roster(spark, sf)),
+                     [F.col("latest_snapshot_time").desc(), F.col("level").desc_nulls_first(),
+                      F.col("character_name").asc()])
+
+
+@register("panel_leaves")
+def q_panel_leaves(spark, sf):
+    return PN.ranked(CH.member_leaves(_roster(spark, sf)),
+                     [F.col("latest_snapshot_time").desc(), F.col("level").desc_nulls_first(),
+                      F.col("character_name").asc()])
+
+
+@register("panel_rank_changes")
+def q_panel_rank_changes(spark, sf):
+    return PN.ranked(CH.rank_changes(_roster(spark, sf)),
+                     [F.col("latest_snapshot_time").desc(), F.col("character_name").asc()])
+
+
+@register("panel_members")
+def q_panel_members(spark, sf):
+    return PN.ranked(_latest_members(spark, sf),
+                     [F.col("current_level").desc_nulls_first(), F.col("character_name").asc()])
+
+
+@register("panel_daily_minutes")
+def q_panel_daily_minutes(spark, sf):
+    return PN.ranked(AC.minutes_by_day(AC.online_intervals(_roster(spark, sf))),
+                     [F.col("activity_date").desc(), F.col("character_name").asc()])
+
+
+@register("sort_panel")
+def q_sort_panel(spark, sf):
+    m = _latest_members(spark, sf)
+    order = PN.sort_any(m, "last_connected_at", ascending=False,
+                        tie=[F.col("current_level").desc_nulls_first(), F.col("character_name").asc()])
+    return PN.ranked(m, order, rank_col="sort_rank")
+
+
+@register("top_level_gains")
+def q_top_level_gains(spark, sf):
+    return PN.top_n(CH.level_changes(_roster(spark, sf)),
+                    [F.col("level_gain").desc_nulls_first(), F.col("current_level").desc_nulls_first(),
+                     F.col("latest_snapshot_time").desc(), F.col("world"), F.col("guild_name"),
+                     F.col("character_name")], 25)
+
+
+@register("top_joins")
+def q_top_joins(spark, sf):
+    return PN.top_n(CH.member_joins(_roster(spark, sf)),
+                    [F.col("level").desc_nulls_first(), F.col("character_name"),
+                     F.col("latest_snapshot_time").desc(), F.col("world"), F.col("guild_name")], 20)
+
+
+@register("top_leaves")
+def q_top_leaves(spark, sf):
+    return PN.top_n(CH.member_leaves(_roster(spark, sf)),
+                    [F.col("level").desc_nulls_first(), F.col("character_name"),
+                     F.col("previous_snapshot_time").desc(), F.col("world"), F.col("guild_name")], 20)
+
+
+@register("top_rank_changes")
+def q_top_rank_changes(spark, sf):
+    return PN.top_n(CH.rank_changes(_roster(spark, sf)),
+                    [F.col("character_name"), F.col("latest_snapshot_time"), F.col("world"),
+                     F.col("guild_name")], 20)
+
+
+def _event_frames(spark, sf):
+    r = _roster(spark, sf)
+    tl = CH.timeline(r)
+    return r, {
+        "level_changes": CH.level_changes_from(tl),
+        "guild_joins": CH.joins_from(tl),
+        "guild_leaves": CH.leaves_from(tl),
+        "rank_changes": CH.rank_changes_from(tl),
+    }
+
+
+@register("change_counts")
+def q_change_counts(spark, sf):
+    r, frames = _event_frames(spark, sf)
+    frames = {"member_snapshots": r, "snapshots": PR.snapshots(r), **frames}
+    return PN.tagged_counts(frames)
+
+
+@register("api_summary")
+def q_api_summary(spark, sf):
+    r, frames = _event_frames(spark, sf)
+    counts = PN.one_row_join([df.agg(F.count(F.lit(1)).alias(f"{name}_count"))
+                              for name, df in frames.items()])
+    return PN.api_summary(PR.snapshot_ranks(r), counts)
