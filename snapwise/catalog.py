@@ -404,3 +404,116 @@ def q_api_summary(spark, sf):
     counts = PN.one_row_join([df.agg(F.count(F.lit(1)).alias(f"{name}_count"))
                               for name, df in frames.items()])
     return PN.api_summary(PR.snapshot_ranks(r), counts)
+
+
+# ---------------------------------------------------------------------------
+# Market (A09, B10, B11, B14, B15, C18, C26, C27, D15-D17, E05, F07, F13, K08, K12, K19)
+# ---------------------------------------------------------------------------
+from snapwise.operators import market as MK  # noqa: E402
+
+MARKET_AS_OF = "2024-01-30 12:00:00"
+MARKET_SEARCH = "ring"
+MARKET_DUE_RANGE = ("2024-01-29", "2024-01-30")
+
+
+def _valid(spark, sf):
+    return MK.valid_observations(AD.market_observations(spark, sf))
+
+
+def _daily(spark, sf):
+    return MK.daily_merge(_valid(spark, sf))
+
+
+def _stored_history(spark, sf):
+    """Daily history with the deterministic load time of the adapters."""
+    d = _daily(spark, sf)
+    return d.withColumn("loaded_at_utc", MK.loaded_at(F.col("observed_at_utc")))
+
+
+def _as_of():
+    return F.lit(MARKET_AS_OF).cast("timestamp_ntz")
+
+
+@register("market_valid")
+def q_market_valid(spark, sf):
+    return _valid(spark, sf)
+
+
+@register("market_daily")
+def q_market_daily(spark, sf):
+    return _daily(spark, sf)
+
+
+@register("market_dedupe_daily")
+def q_market_dedupe_daily(spark, sf):
+    v = _valid(spark, sf).withColumn("loaded_at_utc", MK.loaded_at(F.col("observed_at_utc")))
+    return MK.dedupe_daily(v)
+
+
+@register("market_upsert")
+def q_market_upsert(spark, sf):
+    v = _valid(spark, sf)
+    stored = MK.daily_merge(v.filter(F.col("observed_at_utc") < AD.ts_lit(AD.MARKET_STORED_BEFORE)))
+    incoming = MK.daily_merge(v.filter(F.col("observed_at_utc") >= AD.ts_lit(AD.MARKET_INCOMING_FROM)))
+    return MK.upsert_keep_valid(stored, incoming)
+
+
+@register("api_market_items")
+def q_api_market_items(spark, sf):
+    return MK.api_market_items(AD.market_items(spark, sf))
+
+
+@register("api_market_history")
+def q_api_market_history(spark, sf):
+    return MK.api_market_history(_daily(spark, sf), AD.market_items(spark, sf))
+
+
+@register("item_search")
+def q_item_search(spark, sf):
+    return MK.item_search(AD.market_items(spark, sf), MARKET_SEARCH)
+
+
+@register("item_resolve")
+def q_item_resolve(spark, sf):
+    items = AD.market_items(spark, sf)
+    requests = (items.select(F.col("name").alias("item_name"))
+                     .unionByName(items.select(F.upper("wiki_name").alias("item_name"))))
+    return MK.item_resolve(requests, items)
+
+
+@register("market_request_check")
+def q_market_request_check(spark, sf):
+    from snapwise.sources.tables import read_table
+    requested = (AD.market_observations(spark, sf).select("item_id")
+                 .unionByName(read_table(spark, sf, "customer").select(F.col("c_custkey").alias("item_id"))))
+    return MK.request_check(requested, AD.market_items(spark, sf))
+
+
+@register("market_summary")
+def q_market_summary(spark, sf):
+    return MK.market_summary(MK.api_market_history(_daily(spark, sf), AD.market_items(spark, sf)))
+
+
+@register("market_freshness")
+def q_market_freshness(spark, sf):
+    return MK.freshness(_stored_history(spark, sf), _as_of())
+
+
+@register("history_days")
+def q_history_days(spark, sf):
+    from snapwise.functions.exprs import history_days
+    first = _daily(spark, sf).groupBy("world", "item_id").agg(F.min("observed_date").alias("start_date"))
+    return first.withColumn("days", history_days(F.col("start_date"), _as_of()))
+
+
+@register("market_due")
+def q_market_due(spark, sf):
+    requests = AD.market_observations(spark, sf).select("world", "item_id")
+    return MK.due_loads(requests, _stored_history(spark, sf), _as_of(), *MARKET_DUE_RANGE)
+
+
+@register("items_upsert")
+def q_items_upsert(spark, sf):
+    items = AD.market_items(spark, sf)
+    incoming = items.filter(F.col("tier") > 25).withColumn("name", F.upper("name"))
+    return MK.items_upsert(items, incoming)

@@ -150,9 +150,7 @@ def spread(buy, sell) -> Column:
 
 def spread_pct(buy, sell) -> Column:
     """round((sell - buy) / nullif(buy, 0) * 100, 2); zero buy gives null."""
-    diff = (col(sell) - col(buy)).cast("decimal(38,0)") * F.lit(100)
-    den = F.nullif(col(buy), F.lit(0)).cast("decimal(38,0)")
-    return F.round(diff / den, 2).cast("decimal(20,2)")
+    return round_ratio((col(sell) - col(buy)) * F.lit(100), col(buy), 2)
 
 
 def parse_joined_date(value) -> Column:
