@@ -517,3 +517,133 @@ def q_items_upsert(spark, sf):
     items = AD.market_items(spark, sf)
     incoming = items.filter(F.col("tier") > 25).withColumn("name", F.upper("name"))
     return MK.items_upsert(items, incoming)
+
+
+# ---------------------------------------------------------------------------
+# Refresh queue and discovery
+# ---------------------------------------------------------------------------
+from snapwise.operators import refresh_queue as RQ  # noqa: E402
+from snapwise.sources import discovery as DS  # noqa: E402
+
+CLAIM_WORLD, CLAIM_BATCH = "NATION_1", 25
+RESET_WORLD, RESET_MINUTES = "NATION_2", 30
+FORCE_WORLD = "NATION_3"
+CHOSEN_GUILD = "Customer#000000001"
+
+
+def _q_as_of():
+    return F.lit(AD.QUEUE_AS_OF).cast("timestamp_ntz")
+
+
+def _queue(spark, sf):
+    return AD.guild_queue(spark, sf)
+
+
+def _worlds_table(spark, sf):
+    """Stored worlds: region names, inactive, known since the epoch."""
+    from snapwise.sources.tables import read_table
+    epoch = F.lit(RQ.EPOCH).cast("timestamp_ntz")
+    return read_table(spark, sf, "region").select(
+        F.col("r_name").alias("world_name"), F.lit(False).alias("is_active"),
+        epoch.alias("discovered_at_utc"), epoch.alias("updated_at_utc"))
+
+
+def _upserted_worlds(spark, sf):
+    names = DS.discover_worlds(DS.world_payloads(spark, sf))
+    return RQ.world_upsert(_worlds_table(spark, sf), names, _q_as_of())
+
+
+@register("due_entities")
+def q_due_entities(spark, sf):
+    return RQ.due_entities(_queue(spark, sf), _q_as_of(), CLAIM_BATCH, CLAIM_WORLD)
+
+
+@register("queue_claim")
+def q_queue_claim(spark, sf):
+    q = _queue(spark, sf)
+    return RQ.claim(q, RQ.due_entities(q, _q_as_of(), CLAIM_BATCH, CLAIM_WORLD), _q_as_of())
+
+
+@register("queue_outcomes")
+def q_queue_outcomes(spark, sf):
+    q = _queue(spark, sf)
+    outcomes = q.filter(F.col("last_refresh_status") == RQ.STATUS_RUNNING).select(
+        "guild_id", F.col("is_active").alias("succeeded"),
+        F.repeat(F.col("guild_name"), 60).alias("error_message"))
+    return RQ.apply_outcomes(q, outcomes, _q_as_of())
+
+
+@register("queue_release_stale")
+def q_queue_release_stale(spark, sf):
+    return RQ.release_stale(_queue(spark, sf), _q_as_of())
+
+
+@register("queue_reset_interval")
+def q_queue_reset_interval(spark, sf):
+    return RQ.reset_interval(_queue(spark, sf), RESET_WORLD, _q_as_of(), RESET_MINUTES)
+
+
+@register("queue_force_due")
+def q_queue_force_due(spark, sf):
+    q = _queue(spark, sf)
+    names = q.filter((F.col("world") == FORCE_WORLD) & (F.col("refresh_priority") == AD.QUEUE_PRIORITY_BUILDING))
+    return RQ.force_due(q, names, _q_as_of())
+
+
+@register("queue_status")
+def q_queue_status(spark, sf):
+    return RQ.status_board(_queue(spark, sf), 50)
+
+
+@register("queue_stuck")
+def q_queue_stuck(spark, sf):
+    return RQ.stuck_runs(_queue(spark, sf), _q_as_of())
+
+
+@register("api_worlds")
+def q_api_worlds(spark, sf):
+    return RQ.api_worlds(_upserted_worlds(spark, sf))
+
+
+@register("api_guilds")
+def q_api_guilds(spark, sf):
+    return RQ.api_guilds(_queue(spark, sf))
+
+
+@register("guilds_of_world")
+def q_guilds_of_world(spark, sf):
+    from snapwise.sources.tables import read_table
+    chosen = read_table(spark, sf, "nation").select(
+        F.col("n_name").alias("world"), F.lit(CHOSEN_GUILD).alias("guild_name"))
+    return RQ.guilds_of_world(RQ.api_guilds(_queue(spark, sf)), chosen)
+
+
+@register("world_upsert")
+def q_world_upsert(spark, sf):
+    return _upserted_worlds(spark, sf)
+
+
+@register("guild_upsert")
+def q_guild_upsert(spark, sf):
+    from snapwise.sources.tables import read_table
+    found = DS.discover_guilds(DS.guild_payloads(spark, sf))
+    sup = read_table(spark, sf, "supplier")
+    nation = read_table(spark, sf, "nation")
+    extra = sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey).select(
+        F.col("n_name").alias("world"), F.col("s_name").alias("guild_name"))
+    return RQ.guild_upsert(_queue(spark, sf), found.unionByName(extra), _q_as_of())
+
+
+@register("discover_worlds")
+def q_discover_worlds(spark, sf):
+    return DS.discover_worlds(DS.world_payloads(spark, sf))
+
+
+@register("discover_guilds")
+def q_discover_guilds(spark, sf):
+    return DS.discover_guilds(DS.guild_payloads(spark, sf))
+
+
+@register("discover_worlds_top")
+def q_discover_worlds_top(spark, sf):
+    return DS.first_names(DS.discover_worlds(DS.world_payloads(spark, sf)), "world_name", 3)

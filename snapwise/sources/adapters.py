@@ -134,6 +134,7 @@ def guild_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     orders = read_table(spark, sf_dir, "orders")
     last = orders.groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("first_date"),
         F.max("o_orderdate").alias("last_date"),
         F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("last_status"),
     )
@@ -162,4 +163,6 @@ def guild_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("last_refresh_error"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.lit(QUEUE_PRIORITY_BUILDING))
          .otherwise(F.lit(QUEUE_PRIORITY_DEFAULT)).cast("int").alias("refresh_priority"),
+        F.col("first_date").cast("timestamp_ntz").alias("discovered_at_utc"),
+        last_ts.alias("updated_at_utc"),
     )
