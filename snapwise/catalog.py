@@ -647,3 +647,73 @@ def q_discover_guilds(spark, sf):
 @register("discover_worlds_top")
 def q_discover_worlds_top(spark, sf):
     return DS.first_names(DS.discover_worlds(DS.world_payloads(spark, sf)), "world_name", 3)
+
+
+# ---------------------------------------------------------------------------
+# Quality checks
+# ---------------------------------------------------------------------------
+from snapwise.operators import quality as QA  # noqa: E402
+
+CACHE_CUTOFF = "2024-01-25 00:00:00"
+
+
+def _stale_cache(spark, sf):
+    """A latest-members cache last refreshed before CACHE_CUTOFF."""
+    r = _roster(spark, sf).filter(F.col("extracted_at_utc") < AD.ts_lit(CACHE_CUTOFF))
+    return RO.latest_roster_by_guild(r)
+
+
+@register("freshness_check")
+def q_freshness_check(spark, sf):
+    return QA.freshness_check(_roster(spark, sf), _stale_cache(spark, sf))
+
+
+@register("roster_diff")
+def q_roster_diff(spark, sf):
+    return QA.roster_diff(RO.latest_roster_by_guild(_roster(spark, sf)), _stale_cache(spark, sf))
+
+
+@register("snapshot_freshness")
+def q_snapshot_freshness(spark, sf):
+    return QA.snapshot_freshness(_roster(spark, sf), 50)
+
+
+@register("dup_check")
+def q_dup_check(spark, sf):
+    return QA.dup_check(_roster(spark, sf), ["guild_name", "world", "character_name", "extracted_at_utc"])
+
+
+@register("snapshot_inventory")
+def q_snapshot_inventory(spark, sf):
+    return QA.snapshot_inventory(_roster(spark, sf))
+
+
+@register("snapshot_count")
+def q_snapshot_count(spark, sf):
+    return QA.snapshot_count(_roster(spark, sf))
+
+
+@register("latest_snapshot_rows")
+def q_latest_snapshot_rows(spark, sf):
+    return QA.latest_snapshot_rows(_roster(spark, sf))
+
+
+@register("object_counts")
+def q_object_counts(spark, sf):
+    r = _roster(spark, sf)
+    tl = CH.timeline(r)
+    iv = AC.intervals_from(tl)
+    lc = CH.level_changes_from(tl)
+    frames = {
+        "guild_member_snapshot": r,
+        "snapshot_pairs": PR.snapshot_pairs(r),
+        "level_changes": lc,
+        "guild_joins": CH.joins_from(tl),
+        "guild_leaves": CH.leaves_from(tl),
+        "rank_changes": CH.rank_changes_from(tl),
+        "online_intervals": iv,
+        "online_minutes_by_day": AC.minutes_by_day(iv),
+        "online_minutes_total": AC.minutes_total(iv),
+        "latest_guild_members": RO.latest_members(r, iv, lc),
+    }
+    return PN.tagged_counts(frames, name_col="object_name", value_col="row_count")
