@@ -717,3 +717,123 @@ def q_object_counts(spark, sf):
         "latest_guild_members": RO.latest_members(r, iv, lc),
     }
     return PN.tagged_counts(frames, name_col="object_name", value_col="row_count")
+
+
+# ---------------------------------------------------------------------------
+# Sources: raw documents, flatten, cleaning, catalogue and history loads
+# (A01-A05, A08-A10, B01, B16, F01, F02, F12)
+# ---------------------------------------------------------------------------
+from snapwise.functions import exprs as FX  # noqa: E402
+from snapwise.sources import market_load as ML  # noqa: E402
+from snapwise.sources import raw as RW  # noqa: E402
+
+INSERT_STORED_BEFORE = "2024-01-20 00:00:00"
+INSERT_INCOMING_FROM = "2024-01-15 00:00:00"
+
+
+def _landed_envelopes(spark, sf):
+    """Envelopes written as JSON to a fresh folder, read back with the schema."""
+    path = RW.fresh_dir(spark, "raw")
+    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), path)
+    return RW.scan_envelopes(spark, path)
+
+
+@register("raw_scan")
+def q_raw_scan(spark, sf):
+    return RW.flatten(_landed_envelopes(spark, sf), clean=False)
+
+
+@register("raw_sink_roundtrip")
+def q_raw_sink_roundtrip(spark, sf):
+    env = _landed_envelopes(spark, sf)
+    return env.groupBy(F.col("metadata.entity_name").alias("guild_name"),
+                       F.col("data.guild.world").alias("world"),
+                       RW.parse_iso_utc(F.col("metadata.extracted_at_utc")).alias("extracted_at_utc")).agg(
+        F.sum(F.size("data.guild.members")).cast("bigint").alias("member_count"))
+
+
+@register("raw_latest_file")
+def q_raw_latest_file(spark, sf):
+    env = _landed_envelopes(spark, sf)
+    t = RW.parse_iso_utc(F.col("metadata.extracted_at_utc"))
+    p = env.select(RW.logical_path(F.col("metadata.source"), F.col("metadata.entity_name"), t).alias("raw_path"),
+                   F.col("metadata.entity_name").alias("guild_name"), t.alias("extracted_at_utc"))
+    return p.agg(F.max_by(F.struct("raw_path", "guild_name", "extracted_at_utc"), "raw_path").alias("r")) \
+            .select("r.*")
+
+
+@register("raw_latest_per_entity")
+def q_raw_latest_per_entity(spark, sf):
+    env = _landed_envelopes(spark, sf)
+    t = RW.parse_iso_utc(F.col("metadata.extracted_at_utc"))
+    return env.groupBy(F.col("metadata.entity_name").alias("guild_name")).agg(
+        F.max(t).alias("extracted_at_utc"))
+
+
+@register("raw_table")
+def q_raw_table(spark, sf):
+    raw = RW.raw_table(RW.envelopes_from_roster(_roster(spark, sf)))
+    members = F.size(F.from_json("raw_json", RW.ENVELOPE).getField("data").getField("guild")
+                     .getField("members"))
+    return raw.groupBy("snapshot_id", "guild_name", "source", "extracted_at_utc").agg(
+        F.sum(members).cast("bigint").alias("member_count"))
+
+
+@register("roster_flatten")
+def q_roster_flatten(spark, sf):
+    return RW.flatten(RW.envelopes_from_roster(_roster(spark, sf)), clean=False)
+
+
+@register("roster_clean")
+def q_roster_clean(spark, sf):
+    return RW.flatten(RW.envelopes_from_roster(_roster(spark, sf)), clean=True)
+
+
+@register("stg_roster")
+def q_stg_roster(spark, sf):
+    return RW.staging(_roster(spark, sf))
+
+
+@register("joined_parse")
+def q_joined_parse(spark, sf):
+    d = _roster(spark, sf).select("joined").distinct()
+    texts = d.select(F.explode(F.array(
+        F.date_format("joined", "yyyy-MM-dd"), F.date_format("joined", "MMM d yyyy"),
+        F.concat(F.lit("day "), F.date_format("joined", "D")))).alias("joined_text"))
+    return texts.distinct().select("joined_text", FX.parse_joined_date("joined_text").alias("joined_date"))
+
+
+@register("base_vocation")
+def q_base_vocation(spark, sf):
+    v = _roster(spark, sf).select("vocation").distinct()
+    return v.select("vocation", FX.base_vocation("vocation").alias("base_vocation"))
+
+
+@register("slug")
+def q_slug(spark, sf):
+    g = _roster(spark, sf).select("guild_name").distinct()
+    return g.select("guild_name", FX.slug("guild_name").alias("slug"))
+
+
+@register("market_items_load")
+def q_market_items_load(spark, sf):
+    path = RW.fresh_dir(spark, "items")
+    ML.item_documents(AD.market_items(spark, sf)).write.json(path)
+    return ML.load_market_items(spark, path)
+
+
+@register("market_history_load")
+def q_market_history_load(spark, sf):
+    path = RW.fresh_dir(spark, "history")
+    ML.history_documents(AD.market_observations(spark, sf)).write.json(path)
+    return MK.valid_observations(ML.load_market_history(spark, path))
+
+
+@register("member_insert_ignore")
+def q_member_insert_ignore(spark, sf):
+    r = _roster(spark, sf)
+    key = ["guild_name", "world", "character_name", "extracted_at_utc"]
+    stored = r.filter(F.col("extracted_at_utc") < AD.ts_lit(INSERT_STORED_BEFORE))
+    incoming = r.filter(F.col("extracted_at_utc") >= AD.ts_lit(INSERT_INCOMING_FROM))
+    incoming = incoming.unionByName(incoming)  # a replayed batch
+    return stored.unionByName(RW.insert_ignore(stored, incoming, key))

@@ -157,8 +157,8 @@ def parse_joined_date(value) -> Column:
     """ISO date or ``Mon DD YYYY``; anything else is null."""
     v = F.trim(col(value))
     return F.coalesce(
-        F.try_to_date(v, F.lit("yyyy-MM-dd")),
-        F.try_to_date(v, F.lit("MMM d yyyy")),
+        F.try_to_date(v, "yyyy-MM-dd"),
+        F.try_to_date(v, "MMM d yyyy"),
     )
 
 

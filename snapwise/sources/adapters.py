@@ -86,15 +86,14 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.lit("offline")).alias("status"),
                  F.col("joined"),
              ))
-    out = out.withColumn("snapshot_id", snapshot_id(F.col("world"), F.col("guild_name"),
-                                                    F.col("extracted_at_utc")))
+    out = out.withColumn("snapshot_id", snapshot_id(F.col("guild_name"), F.col("extracted_at_utc")))
     return out.select(*ROSTER_COLUMNS)
 
 
-def snapshot_id(world, guild, t):
-    """Deterministic snapshot id: replays produce the same id."""
+def snapshot_id(guild, t):
+    """Deterministic snapshot id from (entity, time): replays produce the same id."""
     micros = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t)
-    return F.sha2(F.concat_ws("|", world, guild, micros.cast("string")), 256)
+    return F.sha2(F.concat_ws("|", guild, micros.cast("string")), 256)
 
 
 def market_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
