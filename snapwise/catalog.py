@@ -837,3 +837,161 @@ def q_member_insert_ignore(spark, sf):
     incoming = r.filter(F.col("extracted_at_utc") >= AD.ts_lit(INSERT_INCOMING_FROM))
     incoming = incoming.unionByName(incoming)  # a replayed batch
     return stored.unionByName(RW.insert_ignore(stored, incoming, key))
+
+
+# ---------------------------------------------------------------------------
+# Incremental jobs as queries over derived state
+# State per FIXTURES 4.5: the ledger holds every pair whose latest snapshot is
+# before LEDGER_SEED_BEFORE, the stored results are those pairs' results; the
+# increment processes the oldest DEFAULT_PAIR_LIMIT remaining pairs.
+# ---------------------------------------------------------------------------
+from snapwise.plans import incremental as INC  # noqa: E402
+
+INC_AS_OF = "2024-01-31 00:00:00"
+
+
+def _inc_as_of():
+    return F.lit(INC_AS_OF).cast("timestamp_ntz")
+
+
+def _seed(spark, sf, dense=False):
+    r = _roster(spark, sf)
+    tl = CH.timeline(r)
+    seed_pairs = PR.snapshot_pairs(r).filter(F.col("latest_snapshot_time") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+    ledger = seed_pairs.withColumn("processed_at_utc", AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+    iv_all = AC.dense_intervals_from(tl) if dense else AC.intervals_from(tl)
+    iv = iv_all.join(seed_pairs, PR.PAIR_KEY, "left_semi")
+    online = INC.OnlineState(iv, AC.minutes_by_day(iv, keep_zero=dense), AC.minutes_total(iv, keep_zero=dense),
+                             ledger)
+    return r, tl, seed_pairs, online
+
+
+def _online_inc(spark, sf, dense=False):
+    r, _, _, state = _seed(spark, sf, dense)
+    return INC.online_increment(r, state, _inc_as_of(), AD.DEFAULT_PAIR_LIMIT, dense=dense)
+
+
+def _general_inc(spark, sf):
+    r, tl, seed_pairs, online = _seed(spark, sf)
+    online_after = INC.online_increment(r, online, _inc_as_of(), AD.DEFAULT_PAIR_LIMIT).state
+    semi = lambda df: df.join(seed_pairs, PR.PAIR_KEY, "left_semi")
+    stored_lc = semi(CH.level_changes_from(tl))
+    r_old = r.filter(F.col("extracted_at_utc") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+    state = INC.GeneralState(
+        pairs=seed_pairs, level_changes=stored_lc, joins=semi(CH.joins_from(tl)),
+        leaves=semi(CH.leaves_from(tl)), rank_changes=semi(CH.rank_changes_from(tl)),
+        latest_members=RO.latest_members(r_old, online.intervals, stored_lc),
+        ledger=online.ledger, intervals=online_after.intervals)
+    return INC.general_increment(r, state, _inc_as_of(), AD.DEFAULT_PAIR_LIMIT)
+
+
+@register("due_pairs")
+def q_due_pairs(spark, sf):
+    r, _, _, state = _seed(spark, sf)
+    return PR.due_pairs(r, state.ledger, AD.DEFAULT_PAIR_LIMIT)
+
+
+@register("ledger_seed")
+def q_ledger_seed(spark, sf):
+    r, _, _, _ = _seed(spark, sf, dense=True)
+    tl = CH.timeline(r)
+    stored = AC.dense_intervals_from(tl).filter(
+        F.col("latest_snapshot_time") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+    return INC.seed_ledger(stored, AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+
+
+@register("inc_online_intervals")
+def q_inc_online_intervals(spark, sf):
+    return _online_inc(spark, sf).state.intervals
+
+
+@register("inc_online_days")
+def q_inc_online_days(spark, sf):
+    return _online_inc(spark, sf).state.days
+
+
+@register("inc_online_totals")
+def q_inc_online_totals(spark, sf):
+    return _online_inc(spark, sf).state.totals
+
+
+@register("inc_online_ledger")
+def q_inc_online_ledger(spark, sf):
+    return _online_inc(spark, sf).state.ledger
+
+
+@register("inc_online_report")
+def q_inc_online_report(spark, sf):
+    return _online_inc(spark, sf).report
+
+
+@register("inc_online_dense")
+def q_inc_online_dense(spark, sf):
+    return _online_inc(spark, sf, dense=True).state.intervals
+
+
+@register("affected_recompute")
+def q_affected_recompute(spark, sf):
+    """The day totals recomputed for the keys an increment touched."""
+    inc = _online_inc(spark, sf)
+    new_iv = inc.state.intervals.join(inc.due.select(*PR.PAIR_KEY), PR.PAIR_KEY, "left_semi")
+    keys = new_iv.select(*INC.MEMBER_KEY, F.to_date("latest_snapshot_time").alias("activity_date")).distinct()
+    return inc.state.days.join(keys, INC.DAY_KEY, "left_semi")
+
+
+@register("inc_general_pairs")
+def q_inc_general_pairs(spark, sf):
+    return _general_inc(spark, sf).state.pairs
+
+
+@register("inc_general_level_changes")
+def q_inc_general_level_changes(spark, sf):
+    return _general_inc(spark, sf).state.level_changes
+
+
+@register("inc_general_joins")
+def q_inc_general_joins(spark, sf):
+    return _general_inc(spark, sf).state.joins
+
+
+@register("inc_general_leaves")
+def q_inc_general_leaves(spark, sf):
+    return _general_inc(spark, sf).state.leaves
+
+
+@register("inc_general_rank_changes")
+def q_inc_general_rank_changes(spark, sf):
+    return _general_inc(spark, sf).state.rank_changes
+
+
+@register("inc_general_latest_members")
+def q_inc_general_latest_members(spark, sf):
+    return _general_inc(spark, sf).state.latest_members
+
+
+@register("inc_general_ledger")
+def q_inc_general_ledger(spark, sf):
+    return _general_inc(spark, sf).state.ledger
+
+
+@register("inc_general_report")
+def q_inc_general_report(spark, sf):
+    return _general_inc(spark, sf).report
+
+
+@register("insert_guard")
+def q_insert_guard(spark, sf):
+    """C20: guarded append of every level change over the stored ones."""
+    from snapwise.plans.upsert import guarded_append
+    r, tl, seed_pairs, _ = _seed(spark, sf)
+    all_lc = CH.level_changes_from(tl)
+    stored = all_lc.join(seed_pairs, PR.PAIR_KEY, "left_semi")
+    return guarded_append(stored, all_lc, INC.INTERVAL_KEY)
+
+
+@register("upsert_generic")
+def q_upsert_generic(spark, sf):
+    """Stale all-time totals upserted with a full recompute."""
+    from snapwise.plans.upsert import upsert
+    r, tl, _, state = _seed(spark, sf)
+    return upsert(state.totals, AC.minutes_total(AC.intervals_from(tl)), INC.MEMBER_KEY)
