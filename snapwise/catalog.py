@@ -995,3 +995,92 @@ def q_upsert_generic(spark, sf):
     from snapwise.plans.upsert import upsert
     r, tl, _, state = _seed(spark, sf)
     return upsert(state.totals, AC.minutes_total(AC.intervals_from(tl)), INC.MEMBER_KEY)
+
+
+# ---------------------------------------------------------------------------
+# Retention, migrations, rebuilds
+# ---------------------------------------------------------------------------
+from snapwise.plans import rebuild as RB  # noqa: E402
+from snapwise.plans import retention as RT  # noqa: E402
+
+CASCADE_AS_OF = "2024-04-20 00:00:00"
+REBUILD_WORLD, REBUILD_GUILD = "w0", "g1"
+
+
+def _retention(spark, sf):
+    r = _roster(spark, sf)
+    tables = RB.rebuild_all(r)
+    tables["members"] = r
+    tables["raw"] = PR.snapshots(r)
+    return RT.apply_retention(tables)
+
+
+@register("retention_report")
+def q_retention_report(spark, sf):
+    return _retention(spark, sf)[1]
+
+
+@register("retention_kept")
+def q_retention_kept(spark, sf):
+    return _retention(spark, sf)[0]["members"]
+
+
+@register("retention_check")
+def q_retention_check(spark, sf):
+    kept = _retention(spark, sf)[0]
+    return QA.table_ranges({
+        "guild_member_snapshot": (kept["members"], "extracted_at_utc"),
+        "raw_guild_snapshot": (kept["raw"], "extracted_at_utc"),
+        "character_online_intervals_cache": (kept["intervals"], "latest_snapshot_time"),
+        "character_level_changes_with_online_cache": (kept["level_changes"], "latest_snapshot_time"),
+        "snapshot_pairs_api_cache": (kept["pairs"], "latest_snapshot_time"),
+    })
+
+
+@register("retention_cascade")
+def q_retention_cascade(spark, sf):
+    r = _roster(spark, sf)
+    raw = r.select("snapshot_id", "guild_name", "extracted_at_utc").distinct()
+    return RT.cascade_retention(raw, r, F.lit(CASCADE_AS_OF).cast("timestamp_ntz"))[1]
+
+
+@register("prune_zero")
+def q_prune_zero(spark, sf):
+    return RT.prune_zero(AC.online_intervals_dense(_roster(spark, sf)))
+
+
+@register("backfill_days")
+def q_backfill_days(spark, sf):
+    return AC.minutes_by_day(AC.online_intervals_dense(_roster(spark, sf)), keep_zero=True)
+
+
+@register("backfill_observed_date")
+def q_backfill_observed_date(spark, sf):
+    v = _valid(spark, sf)
+    legacy = v.withColumn("observed_date", F.when(
+        F.col("observed_at_utc") >= AD.ts_lit(AD.MARKET_STORED_BEFORE), F.col("observed_date")))
+    return RT.backfill_observed_date(legacy)
+
+
+def _stale_tables(spark, sf):
+    r = _roster(spark, sf)
+    old = r.filter(F.col("extracted_at_utc") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
+    return r, RB.rebuild_all(old)
+
+
+@register("rebuild_scope")
+def q_rebuild_scope(spark, sf):
+    r, stored = _stale_tables(spark, sf)
+    return RB.rebuild_scope(r, stored, REBUILD_WORLD, REBUILD_GUILD)["level_changes"]
+
+
+@register("rebuild_scope_days")
+def q_rebuild_scope_days(spark, sf):
+    r, stored = _stale_tables(spark, sf)
+    return RB.rebuild_scope(r, stored, REBUILD_WORLD, REBUILD_GUILD)["days"]
+
+
+@register("rebuild_all")
+def q_rebuild_all(spark, sf):
+    tables = RB.rebuild_all(_roster(spark, sf))
+    return PN.tagged_counts(tables, name_col="table_name", value_col="row_count")
