@@ -1084,3 +1084,20 @@ def q_rebuild_scope_days(spark, sf):
 def q_rebuild_all(spark, sf):
     tables = RB.rebuild_all(_roster(spark, sf))
     return PN.tagged_counts(tables, name_col="table_name", value_col="row_count")
+
+
+# ---------------------------------------------------------------------------
+# Streaming (K17): landed envelopes -> micro-batches -> stored tables
+# ---------------------------------------------------------------------------
+
+@register("stream_changes")
+def q_stream_changes(spark, sf):
+    """Level changes produced by the streaming pipeline over landed roster
+    documents (several micro-batches, arrival order arbitrary)."""
+    from snapwise.streaming import micro_batch as MB
+    landing = RW.fresh_dir(spark, "landing")
+    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), landing)
+    root = RW.fresh_dir(spark, "stream-state")
+    jobs = MB.run_available_now(spark, landing, root, max_files_per_trigger=40,
+                                checkpoint=RW.fresh_dir(spark, "stream-ckpt"))
+    return jobs.table("level_changes")

@@ -94,14 +94,20 @@ def empty_online_state(spark, cap_type="int") -> OnlineState:
     return OnlineState(iv, days, totals, ledger)
 
 
-def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
-                     pair_limit: int = 100, world: str | None = None, guild_name: str | None = None,
-                     cap: int = DEFAULT_CAP_MINUTES, dense: bool = False) -> Increment:
-    """K01 (sparse, zero-minute days/totals not stored) or K02 (``dense``)."""
+def plan_online(roster: DataFrame, state: OnlineState, pair_limit: int = 100,
+                world: str | None = None, guild_name: str | None = None,
+                cap: int = DEFAULT_CAP_MINUTES, dense: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Due pairs and the interval rows of exactly those pairs."""
     due = due_pairs(roster, state.ledger, pair_limit, world, guild_name)
     tl = due_timeline(scope(roster, world, guild_name), due)
     new_iv = AC.dense_intervals_from(tl, cap) if dense else AC.intervals_from(tl, cap)
-    new_iv = _in_due(new_iv, due)
+    return due, _in_due(new_iv, due)
+
+
+def apply_online(state: OnlineState, due: DataFrame, new_iv: DataFrame, as_of: Column,
+                 pair_limit: int = 100, world: str | None = None, guild_name: str | None = None,
+                 dense: bool = False) -> Increment:
+    """Upsert intervals, recompute the affected days and members, ledger."""
     intervals = upsert(state.intervals, new_iv, INTERVAL_KEY)
 
     affected_days = new_iv.select(*MEMBER_KEY, F.to_date("latest_snapshot_time").alias("activity_date")).distinct()
@@ -123,19 +129,30 @@ def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
     return Increment(OnlineState(intervals, days, totals, ledger), report, due)
 
 
+def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
+                     pair_limit: int = 100, world: str | None = None, guild_name: str | None = None,
+                     cap: int = DEFAULT_CAP_MINUTES, dense: bool = False) -> Increment:
+    """K01 (sparse, zero-minute days/totals not stored) or K02 (``dense``)."""
+    due, new_iv = plan_online(roster, state, pair_limit, world, guild_name, cap, dense)
+    return apply_online(state, due, new_iv, as_of, pair_limit, world, guild_name, dense)
+
+
 def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
                       pair_limit: int = 100, world: str | None = None, guild_name: str | None = None,
-                      cap: int = DEFAULT_CAP_MINUTES, roster_mode: str = "replace") -> Increment:
+                      cap: int = DEFAULT_CAP_MINUTES, roster_mode: str = "replace",
+                      due: DataFrame | None = None, timeline: DataFrame | None = None) -> Increment:
     """Pairs, level changes (with that interval's minutes), joins,
     leaves, rank changes (all guarded appends), latest roster of the touched
     guilds, ledger.
 
     ``roster_mode="replace"`` rewrites the touched guilds' latest roster
     (leavers disappear); ``"accumulate"`` upserts by member and keeps leavers
-    with their old time, as the reference's incremental job does (N09)."""
-    due = due_pairs(roster, state.ledger, pair_limit, world, guild_name)
+    with their old time, as the reference's incremental job does (N09).
+    A job may pass the ``due`` batch and its restricted ``timeline`` already
+    written (lineage cut)."""
+    due = due_pairs(roster, state.ledger, pair_limit, world, guild_name) if due is None else due
     r = scope(roster, world, guild_name)
-    tl = due_timeline(r, due)
+    tl = due_timeline(r, due) if timeline is None else timeline
 
     lc_in = _in_due(CH.level_changes_from(tl, cap), due)
     # Minutes come from the stored interval table, 0 when absent.
