@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from snapwise.functions.exprs import (DEFAULT_CAP_MINUTES, capped_minutes,
                                       interval_minutes, is_online, null_safe_differs)
-from snapwise.operators.pairs import T, snapshot_index, snapshot_ranks, snapshot_pairs_global
+from snapwise.operators.pairs import T, newest_two_times, snapshot_index, snapshot_pairs_global
 
 MEMBER_KEY = ["world", "guild_name", "character_name"]
 
@@ -156,7 +156,7 @@ def level_changes_global_pairs(roster: DataFrame) -> DataFrame:
 
 def _rank12(roster: DataFrame):
     """Rows of the newest and second-newest snapshot times (global ranking)."""
-    ranks = snapshot_ranks(roster).filter(F.col("snapshot_rank") <= 2)
+    ranks = newest_two_times(roster)
     r = roster.join(F.broadcast(ranks), roster[T] == ranks.snapshot_time)
     return (r.filter(F.col("snapshot_rank") == 1).drop("snapshot_time", "snapshot_rank"),
             r.filter(F.col("snapshot_rank") == 2).drop("snapshot_time", "snapshot_rank"))

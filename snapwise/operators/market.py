@@ -50,10 +50,14 @@ def loaded_at(observed_at: Column) -> Column:
 
 def dedupe_daily(history: DataFrame) -> DataFrame:
     """Keep the most recently loaded row per (world, item, day),
-    ties by id. (The reference deletes older twins with a theta self-join.)"""
-    w = Window.partitionBy(*DAY_KEY).orderBy(F.col("loaded_at_utc").desc(), F.col("id").desc())
-    return (history.withColumn("_rn", F.row_number().over(w))
-                   .filter(F.col("_rn") == 1).drop("_rn"))
+    ties by id. (The reference deletes older twins with a theta self-join.)
+
+    An aggregate, not a window: partial aggregation keeps one row per key
+    and task before the shuffle, so a hot key never lands whole in a task."""
+    rest = [c for c in history.columns if c not in DAY_KEY]
+    newest = history.groupBy(*DAY_KEY).agg(
+        F.max_by(F.struct(*rest), F.struct("loaded_at_utc", "id")).alias("_r"))
+    return newest.select(*DAY_KEY, "_r.*").select(*history.columns)
 
 
 def upsert_keep_valid(stored: DataFrame, incoming: DataFrame) -> DataFrame:

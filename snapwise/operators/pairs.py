@@ -7,9 +7,11 @@ table whose size is the number of polls, not the number of members.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapwise.operators.ordering import global_row_number, neighbours
+
 T = "extracted_at_utc"
 GUILD_KEY = ["world", "guild_name"]
 PAIR_KEY = ["guild_name", "world", "previous_snapshot_time", "latest_snapshot_time"]
@@ -36,13 +38,8 @@ def snapshot_index(roster: DataFrame) -> DataFrame:
     next_snapshot_time. A null world is kept out (its pairs cannot be
     recorded in a ledger whose key is NOT NULL).
     """
-    w = Window.partitionBy(*GUILD_KEY).orderBy(T)
-    return (snapshots(roster.filter(F.col("world").isNotNull()))
-            .withColumns({
-                "seq": F.row_number().over(w),
-                "previous_snapshot_time": F.lag(T).over(w),
-                "next_snapshot_time": F.lead(T).over(w),
-            }))
+    snaps = snapshots(roster.filter(F.col("world").isNotNull()))
+    return neighbours(snaps, GUILD_KEY, T, "previous_snapshot_time", "next_snapshot_time", "seq")
 
 
 def snapshot_pairs(roster: DataFrame) -> DataFrame:
@@ -61,21 +58,24 @@ def snapshot_times(roster: DataFrame) -> DataFrame:
 def snapshot_pairs_global(roster: DataFrame) -> DataFrame:
     """Consecutive pairs over all guilds' times (the older, global rule).
 
-    The window has no partition key, so it runs in one task; it is fed only
-    the distinct snapshot times, whose count is the number of polls.
+    Computed on the distinct times with positions and an equi-join on
+    position - 1 (``ordering.neighbours``), never a one-task window.
     """
-    w = Window.orderBy("snapshot_time")
-    return (snapshot_times(roster)
-            .withColumn("previous_snapshot_time", F.lag("snapshot_time").over(w))
-            .filter(F.col("previous_snapshot_time").isNotNull())
-            .select("previous_snapshot_time",
-                    F.col("snapshot_time").alias("latest_snapshot_time")))
+    n = neighbours(snapshot_times(roster), [], "snapshot_time", prev_name="previous_snapshot_time")
+    return (n.filter(F.col("previous_snapshot_time").isNotNull())
+             .select("previous_snapshot_time", F.col("snapshot_time").alias("latest_snapshot_time")))
 
 
 def snapshot_ranks(roster: DataFrame) -> DataFrame:
-    """Dense rank of snapshot times, newest first (global)."""
-    w = Window.orderBy(F.col("snapshot_time").desc())
-    return snapshot_times(roster).withColumn("snapshot_rank", F.dense_rank().over(w))
+    """Dense rank of snapshot times, newest first (global). Over the
+    distinct times the dense rank is the row position."""
+    return global_row_number(snapshot_times(roster), [F.col("snapshot_time").desc()], "snapshot_rank")
+
+
+def newest_two_times(roster: DataFrame) -> DataFrame:
+    """Ranks 1 and 2 of E04 only: a bounded top-2 (each task keeps 2 rows)."""
+    top = snapshot_times(roster).orderBy(F.col("snapshot_time").desc()).limit(2)
+    return global_row_number(top, [F.col("snapshot_time").desc()], "snapshot_rank")
 
 
 def due_pairs(roster: DataFrame, ledger: DataFrame, pair_limit: int,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapwise.functions.exprs import RETENTION_DAYS
+from snapwise.operators.ordering import row_number_by
 
 GUILD = ["guild_name", "world"]
 MEMBER = ["guild_name", "world", "character_name"]
@@ -118,9 +119,10 @@ def level_panel(level_changes: DataFrame, daily_minutes: DataFrame,
 
 def ranked(df: DataFrame, order: list[Column], rank_col: str = "panel_rank",
            by: list[str] | None = None) -> DataFrame:
-    """Attach the display position per guild (row_number over the panel order)."""
-    w = Window.partitionBy(*(by if by is not None else GUILD)).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w))
+    """Attach the display position per guild (row_number over the panel
+    order), skew-safe: a guild with most of the rows is still split over
+    many tasks (``ordering.row_number_by``)."""
+    return row_number_by(df, list(by if by is not None else GUILD), order, rank_col)
 
 
 def top_n(df: DataFrame, order: list[Column], n: int, rank_col: str = "top_rank") -> DataFrame:
