@@ -1101,3 +1101,15 @@ def q_stream_changes(spark, sf):
     jobs = MB.run_available_now(spark, landing, root, max_files_per_trigger=40,
                                 checkpoint=RW.fresh_dir(spark, "stream-ckpt"))
     return jobs.table("level_changes")
+
+
+@register("run_report")
+def q_run_report(spark, sf):
+    """The run-log rows of one online and one general increment,
+    the report serialized as JSON text (null parameters kept)."""
+    opts = {"ignoreNullFields": "false"}
+    on = _online_inc(spark, sf).report
+    ge = _general_inc(spark, sf).report
+    return (on.select(F.lit("online").alias("run_type"), F.to_json(F.struct(*on.columns), opts).alias("report"))
+              .unionByName(ge.select(F.lit("general").alias("run_type"),
+                                     F.to_json(F.struct(*ge.columns), opts).alias("report"))))

@@ -7,7 +7,7 @@ table whose size is the number of polls, not the number of members.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapwise.operators.ordering import global_row_number, neighbours
@@ -37,9 +37,19 @@ def snapshot_index(roster: DataFrame) -> DataFrame:
     Columns: world, guild_name, extracted_at_utc, seq, previous_snapshot_time,
     next_snapshot_time. A null world is kept out (its pairs cannot be
     recorded in a ledger whose key is NOT NULL).
+
+    The window is keyed by guild but only ever sees the guild's *distinct*
+    poll times (one row per poll, never per member), so a group is bounded
+    by the polling cadence times the retention window, whatever the guild's
+    size; it stays lazy (no materialization) because every timeline uses it.
     """
-    snaps = snapshots(roster.filter(F.col("world").isNotNull()))
-    return neighbours(snaps, GUILD_KEY, T, "previous_snapshot_time", "next_snapshot_time", "seq")
+    w = Window.partitionBy(*GUILD_KEY).orderBy(T)
+    return (snapshots(roster.filter(F.col("world").isNotNull()))
+            .withColumns({
+                "seq": F.row_number().over(w),
+                "previous_snapshot_time": F.lag(T).over(w),
+                "next_snapshot_time": F.lead(T).over(w),
+            }))
 
 
 def snapshot_pairs(roster: DataFrame) -> DataFrame:
