@@ -126,7 +126,8 @@ def apply_online(state: OnlineState, due: DataFrame, new_iv: DataFrame, as_of: C
          "all_time_online_minutes_rows": total_rows, "processed_pair_rows_written": ledger_new},
         {"scope_world": world, "scope_guild_name": guild_name, "pair_limit": pair_limit,
          "storage_policy": "dense_intervals" if dense else "store_previous_online_intervals_only"})
-    return Increment(OnlineState(intervals, days, totals, ledger), report, due)
+    return Increment(OnlineState(intervals, days, totals, ledger), report, due,
+                     {"intervals": new_iv, "online_ledger": ledger_new})
 
 
 def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
@@ -198,7 +199,9 @@ def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
         {"scope_world": world, "scope_guild_name": guild_name, "pair_limit": pair_limit})
     new_state = GeneralState(pairs, level_changes, joins, leaves, rank_changes, latest_members,
                              ledger, state.intervals)
-    return Increment(new_state, report, due)
+    incoming = {"pairs": pairs_in, "level_changes": lc_in, "joins": joins_in, "leaves": leaves_in,
+                "rank_changes": rank_in, "general_ledger": ledger_new}
+    return Increment(new_state, report, due, incoming)
 
 
 def _counts_report(frames: dict[str, DataFrame], params: dict[str, object]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapwise.functions.exprs import DEFAULT_CAP_MINUTES
-from snapwise.operators.pairs import scope
+from snapwise.operators.pairs import PAIR_KEY, scope
 from snapwise.plans import incremental as INC
 from snapwise.plans import rebuild as RB
 from snapwise.plans import retention as RT
@@ -55,6 +55,8 @@ SCHEMAS = {
                       f"last_connected_at {TS}",
 }
 MEMBER_KEY = ["guild_name", "world", "character_name", "extracted_at_utc"]
+APPEND_ONLY = ("intervals", "online_ledger", "pairs", "level_changes", "joins", "leaves", "rank_changes",
+               "general_ledger", "run_log")
 
 
 class SnapshotJobs:
@@ -88,21 +90,23 @@ class SnapshotJobs:
         return report
 
     # -- ingest (A10) -------------------------------------------------------
-    def ingest_envelopes(self, envelopes: DataFrame) -> int:
-        """Flatten landed envelopes and insert new member rows (replays are
-        ignored by key). Members are stored partitioned by snapshot date."""
-        rows = RW.flatten(envelopes, clean=True).filter(F.col("world").isNotNull())
-        stored = self.members()
-        new = RW.insert_ignore(stored, rows, MEMBER_KEY)
-        out = stored.unionByName(new).withColumn("snapshot_date", F.to_date("extracted_at_utc"))
-        self.store.write("members", out, partition_by=["snapshot_date"])
-        return 1
+    def ingest_envelopes(self, envelopes: DataFrame) -> None:
+        """Flatten landed envelopes and insert new member rows."""
+        self.ingest_members(RW.flatten(envelopes, clean=True).filter(F.col("world").isNotNull()))
 
     def ingest_members(self, rows: DataFrame) -> None:
+        """A10 insert-ignore as an appended part partitioned by snapshot date.
+
+        The guard reads only the stored rows of the incoming snapshots
+        (semi-join on the small set of (world, guild, time) keys), so a
+        replayed batch writes nothing and a new batch costs O(batch)."""
         stored = self.members()
-        new = RW.insert_ignore(stored, rows.select(*stored.columns), MEMBER_KEY)
-        out = stored.unionByName(new).withColumn("snapshot_date", F.to_date("extracted_at_utc"))
-        self.store.write("members", out, partition_by=["snapshot_date"])
+        rows = rows.select(*stored.columns)
+        snaps = rows.select("world", "guild_name", "extracted_at_utc").distinct()
+        stored_same = stored.join(snaps, ["world", "guild_name", "extracted_at_utc"], "left_semi")
+        new = RW.insert_ignore(stored_same, rows, MEMBER_KEY)
+        self.store.append_part("members", new.withColumn("snapshot_date", F.to_date("extracted_at_utc")),
+                               partition_by=["snapshot_date"])
 
     # -- increments (K01-K03) ----------------------------------------------
     def run_online(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
@@ -117,10 +121,11 @@ class SnapshotJobs:
         new_iv = self.store.write("_new_online_intervals", new_iv)
         inc = INC.apply_online(st, due, new_iv, as_of, pair_limit, world, guild_name, dense)
         report = self.store.write("_report_online", inc.report)
-        self.store.write("intervals", inc.state.intervals)
+        self._append_new("intervals", st.intervals, inc.extra["intervals"], due, INC.INTERVAL_KEY)
         self.store.write("days", inc.state.days)
         self.store.write("totals", inc.state.totals)
-        self.store.write("online_ledger", inc.state.ledger)  # last: commits the batch
+        # last: commits the batch
+        self._append_new("online_ledger", st.ledger, inc.extra["online_ledger"], due, PAIR_KEY)
         return self._log("online", as_of, report)
 
     def run_general(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
@@ -136,12 +141,33 @@ class SnapshotJobs:
         inc = INC.general_increment(roster, st, as_of, pair_limit, world, guild_name, cap, roster_mode,
                                     due=due, timeline=tl)
         report = self.store.write("_report_general", inc.report)
-        s = inc.state
-        for name in ("pairs", "level_changes", "joins", "leaves", "rank_changes", "latest_members"):
-            self.store.write(name, getattr(s, name))
-        self.store.write("general_ledger", s.ledger)  # last
+        keys = {"pairs": PAIR_KEY, "level_changes": INC.INTERVAL_KEY, "joins": INC.INTERVAL_KEY,
+                "leaves": INC.INTERVAL_KEY, "rank_changes": INC.INTERVAL_KEY}
+        for name, key in keys.items():
+            self._append_new(name, getattr(st, name), inc.extra[name], due, key)
+        self.store.write("latest_members", inc.state.latest_members)
+        self._append_new("general_ledger", st.ledger, inc.extra["general_ledger"], due, PAIR_KEY)  # last
         return self._log("general", as_of, report)
 
+    def _append_new(self, name: str, stored: DataFrame, incoming: DataFrame, due: DataFrame,
+                    key: list[str]) -> None:
+        """Guarded append of one increment's rows as a new part: the guard
+        only reads the stored rows of the due pairs (broadcast semi-join),
+        and only the new rows are written - O(batch), not O(table)."""
+        stored_due = stored.join(due.select(*PAIR_KEY), PAIR_KEY, "left_semi")
+        add = incoming.select(*stored.columns).join(stored_due.select(*key), key, "left_anti")
+        self.store.append_part(name, add)
+
+    def compact(self, min_parts: int = 32) -> list[str]:
+        """Fold accumulated parts of the append-only tables into versions."""
+        done = []
+        for name in APPEND_ONLY:
+            if self.store.exists(name) and self.store.compact(name, min_parts):
+                done.append(name)
+        if self.store.exists("members") and self.store.compact("members", min_parts, ["snapshot_date"]):
+            done.append("members")
+        return done
+
     def run_until_caught_up(self, as_of: Column, pair_limit: int = 100, max_runs: int = 1000) -> int:
         """Online then general (N07 order) until no due pairs remain."""
         runs = 0
@@ -151,6 +177,7 @@ class SnapshotJobs:
             runs += 1
             if a == 0 and b == 0:
                 break
+        self.compact()
         return runs
 
     def _empty_report(self) -> DataFrame:

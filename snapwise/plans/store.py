@@ -1,11 +1,15 @@
 """Versioned table store on any Hadoop-compatible file system.
 
-Overwriting a table a job also reads is unsafe, so every write goes to a
-new folder ``<root>/<table>/v=<n>``; the Spark commit protocol marks a
-complete write with ``_SUCCESS``, and readers take the highest complete
-version. Publishing is therefore atomic per table, a failed or lost job
-leaves at most an incomplete folder that is never read, and reading back a
-written version cuts the lineage of long incremental chains.
+Overwriting a table a job also reads is unsafe, so every full write goes to
+a new folder ``<root>/<table>/v=<n>_upto=<m>``; the Spark commit protocol
+marks a complete write with ``_SUCCESS``, and readers take the highest
+complete version. Append-only tables (change events, intervals, ledgers)
+also take parts ``<table>/a=<m>`` holding only one increment's new rows;
+a read is the newest version plus every complete part after its ``upto``,
+and ``compact`` folds the parts into a new version. An increment therefore
+writes O(batch) rows, publishing stays atomic per folder, a lost job leaves
+only an incomplete folder that is never read, and reading back a written
+version or part cuts the lineage of long incremental chains.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_VERSION = re.compile(r"^v=(\d+)$")
+_VERSION = re.compile(r"^v=(\d+)(?:_upto=(\d+))?$")
+_PART = re.compile(r"^a=(\d+)$")
 
 
 class TableStore:
@@ -30,57 +35,122 @@ class TableStore:
     def table_dir(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _versions(self, name: str) -> list[int]:
+    def _list(self, name: str, pattern) -> list[tuple[int, int]]:
         d = self._path(self.table_dir(name))
         if not self._fs.exists(d):
             return []
         out = []
         for st in self._fs.listStatus(d):
-            m = _VERSION.match(st.getPath().getName())
+            m = pattern.match(st.getPath().getName())
             if m and self._fs.exists(self._path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
+                out.append((int(m.group(1)), int(m.group(2) or 0) if m.re is _VERSION else 0))
         return sorted(out)
 
+    def _versions(self, name: str) -> list[int]:
+        return [v for v, _ in self._list(name, _VERSION)]
+
+    def _version_dir(self, name: str, v: int) -> str:
+        for vv, upto in self._list(name, _VERSION):
+            if vv == v:
+                return f"{self.table_dir(name)}/v={v}" + (f"_upto={upto}" if upto else "")
+        raise FileNotFoundError(f"{name} v={v}")
+
+    def _parts(self, name: str) -> list[int]:
+        return [p for p, _ in self._list(name, _PART)]
+
     def current_version(self, name: str) -> int | None:
         v = self._versions(name)
         return v[-1] if v else None
 
+    def _visible(self, name: str) -> list[str]:
+        versions = self._list(name, _VERSION)
+        paths, upto = [], 0
+        if versions:
+            v, upto = versions[-1]
+            paths.append(self._version_dir(name, v))
+        paths += [f"{self.table_dir(name)}/a={p}" for p in self._parts(name) if p > upto]
+        return paths
+
     def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        return bool(self._visible(name))
 
     # -- read / write -------------------------------------------------------
     def read(self, name: str) -> DataFrame:
-        v = self.current_version(name)
-        if v is None:
+        paths = self._visible(name)
+        if not paths:
             raise FileNotFoundError(f"table {name} has no complete version under {self.root}")
-        return self.spark.read.parquet(f"{self.table_dir(name)}/v={v}")
+        # Partitioned folders cannot share one read (one root each): read each
+        # folder and union; compaction keeps the number of parts small.
+        out = self.spark.read.parquet(paths[0])
+        for p in paths[1:]:
+            out = out.unionByName(self.spark.read.parquet(p))
+        return out
 
     def read_or(self, name: str, empty: DataFrame) -> DataFrame:
         return self.read(name) if self.exists(name) else empty
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        """Write ``df`` as the next version, then return it read back."""
-        v = (self.current_version(name) or 0) + 1
-        path = f"{self.table_dir(name)}/v={v}"
+    def _write_to(self, path: str, df: DataFrame, partition_by: list[str] | None) -> None:
         if self._fs.exists(self._path(path)):  # an incomplete earlier attempt
             self._fs.delete(self._path(path), True)
         w = df.write.mode("errorifexists")
-        if partition_by:
+        # An empty partitioned write leaves no file to carry the schema; write
+        # empty outputs unpartitioned (one empty, schema-carrying file).
+        if partition_by and not df.isEmpty():
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """Write ``df`` as the next full version (it supersedes every part
+        visible now), then return it read back."""
+        v = (self.current_version(name) or 0) + 1
+        parts = self._parts(name)
+        upto = parts[-1] if parts else 0
+        # an incomplete attempt of the same version may exist with another suffix
+        d = self._path(self.table_dir(name))
+        if self._fs.exists(d):
+            for st in self._fs.listStatus(d):
+                m = _VERSION.match(st.getPath().getName())
+                if m and int(m.group(1)) == v:
+                    self._fs.delete(st.getPath(), True)
+        self._write_to(f"{self.table_dir(name)}/v={v}" + (f"_upto={upto}" if upto else ""), df, partition_by)
         return self.read(name)
 
+    def append_part(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Append ``df`` as one new part (only the new rows of an increment)."""
+        parts = self._parts(name)
+        p = (parts[-1] if parts else 0) + 1
+        self._write_to(f"{self.table_dir(name)}/a={p}", df, partition_by)
+        return p
+
+    def part_count(self, name: str) -> int:
+        versions = self._list(name, _VERSION)
+        upto = versions[-1][1] if versions else 0
+        return len([p for p in self._parts(name) if p > upto])
+
+    def compact(self, name: str, min_parts: int = 1, partition_by: list[str] | None = None) -> bool:
+        """Fold the visible parts into a new full version."""
+        if self.part_count(name) < min_parts:
+            return False
+        self.write(name, self.read(name), partition_by)
+        return True
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Append-only tables (run log): next version = previous + rows."""
-        if self.exists(name):
-            df = self.read(name).unionByName(df, allowMissingColumns=True)
-        return self.write(name, df)
+        """Append-only log tables: one part per call."""
+        self.append_part(name, df)
+        return self.read(name)
 
     def vacuum(self, name: str, keep: int = 2) -> int:
-        """Drop all but the newest ``keep`` complete versions."""
-        vs = self._versions(name)
+        """Drop all but the newest ``keep`` complete versions, and the parts
+        the oldest kept version already contains."""
+        versions = self._list(name, _VERSION)
         dropped = 0
-        for v in vs[:-keep] if keep else vs:
-            self._fs.delete(self._path(f"{self.table_dir(name)}/v={v}"), True)
+        for v, _ in versions[:-keep] if keep else versions:
+            self._fs.delete(self._path(self._version_dir(name, v)), True)
             dropped += 1
+        kept = versions[-keep:] if keep else []
+        if kept:
+            oldest_upto = kept[0][1]
+            for p in self._parts(name):
+                if p <= oldest_upto:
+                    self._fs.delete(self._path(f"{self.table_dir(name)}/a={p}"), True)
         return dropped

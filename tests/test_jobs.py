@@ -70,3 +70,18 @@ def test_crash_before_ledger_replays(spark, tmp_root):
     full = RB.rebuild_all(roster)
     for name in ("intervals", "days", "totals"):
         assert same(jobs.table(name), full[name]), name
+
+
+def test_store_parts_and_compaction(spark, tmp_root):
+    st = TableStore(spark, tmp_root)
+    st.append_part("e", spark.range(2))
+    st.append_part("e", spark.range(3))
+    assert st.read("e").count() == 5 and st.part_count("e") == 2
+    assert st.compact("e")
+    assert st.part_count("e") == 0 and st.read("e").count() == 5
+    st.append_part("e", spark.range(4))
+    assert st.read("e").count() == 9
+    os.makedirs(os.path.join(tmp_root, "e", "a=4"))  # incomplete part is invisible
+    assert st.read("e").count() == 9
+    st.write("e", spark.range(1))  # a full version supersedes every visible part
+    assert st.read("e").count() == 1
