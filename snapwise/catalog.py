@@ -17,6 +17,7 @@ from snapwise.operators import activity as AC
 from snapwise.operators import changes as CH
 from snapwise.operators import pairs as PR
 from snapwise.operators import roster as RO
+from snapwise.session import ensure_checkpoint_dir
 from snapwise.sources import adapters as AD
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +34,15 @@ def register(name: str):
 
 
 def _roster(spark, sf):
-    return AD.roster(spark, sf)
+    """Member snapshots from the driver tables, landed once per query call.
+
+    In production the members table is stored (``plans.jobs``) and every
+    query reads it; here the adapter's output is materialized with a reliable
+    checkpoint in the shared ``spark.checkpoint.dir`` so a query that reads
+    the roster in several branches (index, timeline, latest roster) scans a
+    stored table instead of re-running the adapter's aggregations."""
+    ensure_checkpoint_dir(spark)
+    return AD.roster(spark, sf).checkpoint(eager=True)
 
 
 # ---------------------------------------------------------------------------

@@ -85,3 +85,23 @@ def test_store_parts_and_compaction(spark, tmp_root):
     assert st.read("e").count() == 9
     st.write("e", spark.range(1))  # a full version supersedes every visible part
     assert st.read("e").count() == 1
+
+
+def test_late_snapshots_rebuild_the_guild(spark, tmp_root):
+    from snapwise.plans.jobs import invalidate, late_guilds
+    roster = AD.roster(spark, SF_SMALL)
+    t = F.col("extracted_at_utc")
+    lo, hi = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
+    middle = roster.filter((t >= lo) & (t < hi))
+    jobs = SnapshotJobs(spark, tmp_root)
+    jobs.ingest_members(roster.filter((t < lo) | (t >= hi)))
+    jobs.run_until_caught_up(as_of(), pair_limit=1000)
+    late = late_guilds(middle, jobs.table("online_ledger"))
+    assert late.count() > 0
+    jobs.ingest_members(middle)
+    invalidate(jobs, late)
+    jobs.run_until_caught_up(as_of(), pair_limit=1000)
+    full = RB.rebuild_all(roster)
+    for name in ("intervals", "days", "totals", "pairs", "level_changes", "joins", "leaves",
+                 "rank_changes", "latest_members"):
+        assert same(jobs.table(name), full[name]), name
