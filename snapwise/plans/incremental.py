@@ -61,9 +61,13 @@ class Increment:
     extra: dict = field(default_factory=dict)
 
 
-def due_timeline(roster: DataFrame, due: DataFrame) -> DataFrame:
-    """The member timeline restricted to the snapshots of the due pairs."""
-    idx = snapshot_index(roster)
+def due_timeline(roster: DataFrame, due: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """The member timeline restricted to the snapshots of the due pairs.
+
+    ``index`` is the guild snapshot index; a job passes the one built from
+    its small snapshots table, and ``roster`` may then hold only the member
+    rows of the batch's snapshot dates."""
+    idx = index if index is not None else snapshot_index(roster)
     times = (due.select("world", "guild_name", F.col("previous_snapshot_time").alias(T))
                 .unionByName(due.select("world", "guild_name", F.col("latest_snapshot_time").alias(T)))
                 .distinct())
@@ -100,8 +104,14 @@ def plan_online(roster: DataFrame, state: OnlineState, pair_limit: int = 100,
     """Due pairs and the interval rows of exactly those pairs."""
     due = due_pairs(roster, state.ledger, pair_limit, world, guild_name)
     tl = due_timeline(scope(roster, world, guild_name), due)
+    return due, batch_intervals(tl, due, cap, dense)
+
+
+def batch_intervals(tl: DataFrame, due: DataFrame, cap: int = DEFAULT_CAP_MINUTES,
+                    dense: bool = False) -> DataFrame:
+    """Interval rows of exactly the due pairs, from a batch timeline."""
     new_iv = AC.dense_intervals_from(tl, cap) if dense else AC.intervals_from(tl, cap)
-    return due, _in_due(new_iv, due)
+    return _in_due(new_iv, due)
 
 
 def apply_online(state: OnlineState, due: DataFrame, new_iv: DataFrame, as_of: Column,

@@ -39,6 +39,7 @@ SCHEMAS = {
     "general_ledger": f"guild_name string, world string, previous_snapshot_time {TS}, "
                       f"latest_snapshot_time {TS}, processed_at_utc {TS}",
     "pairs": f"guild_name string, world string, previous_snapshot_time {TS}, latest_snapshot_time {TS}",
+    "snapshots": f"guild_name string, world string, extracted_at_utc {TS}",
     "level_changes": f"guild_name string, world string, character_name string, vocation string, "
                      f"guild_rank string, previous_level int, current_level int, level_gain int, "
                      f"previous_snapshot_time {TS}, latest_snapshot_time {TS}, estimated_online_minutes int",
@@ -56,7 +57,7 @@ SCHEMAS = {
 }
 MEMBER_KEY = ["guild_name", "world", "character_name", "extracted_at_utc"]
 APPEND_ONLY = ("intervals", "online_ledger", "pairs", "level_changes", "joins", "leaves", "rank_changes",
-               "general_ledger", "run_log")
+               "general_ledger", "run_log", "snapshots")
 
 
 class SnapshotJobs:
@@ -73,6 +74,27 @@ class SnapshotJobs:
     def members(self) -> DataFrame:
         return self.table("members")
 
+    def snapshots(self) -> DataFrame:
+        """One row per stored poll (world, guild, time): the pairing input."""
+        return self.table("snapshots")
+
+    def members_between(self, lo, hi) -> DataFrame:
+        """Member rows of snapshot dates lo..hi only: a filter on the partition
+        column, so the scan reads just those date folders."""
+        if not self.store.exists("members"):
+            return self.members()
+        m = self.store.read("members").filter(F.col("snapshot_date").between(F.lit(lo), F.lit(hi)))
+        return m.select(*self.members().columns)
+
+    def _batch_dates(self, due: DataFrame, extra_times: DataFrame | None = None):
+        """Smallest and largest snapshot date a batch reads (two scalars)."""
+        times = due.select(F.col("previous_snapshot_time").alias("t")).unionByName(
+            due.select(F.col("latest_snapshot_time").alias("t")))
+        if extra_times is not None:
+            times = times.unionByName(extra_times.select(F.col(extra_times.columns[0]).alias("t")))
+        row = times.agg(F.to_date(F.min("t")).alias("lo"), F.to_date(F.max("t")).alias("hi")).first()
+        return row["lo"], row["hi"]
+
     def online_state(self) -> INC.OnlineState:
         return INC.OnlineState(self.table("intervals"), self.table("days"), self.table("totals"),
                                self.table("online_ledger"))
@@ -107,18 +129,25 @@ class SnapshotJobs:
         new = RW.insert_ignore(stored_same, rows, MEMBER_KEY)
         self.store.append_part("members", new.withColumn("snapshot_date", F.to_date("extracted_at_utc")),
                                partition_by=["snapshot_date"])
+        # the poll list (small: one row per snapshot), written after the members
+        known = self.snapshots()
+        self.store.append_part("snapshots", snaps.select(*known.columns).join(
+            known, ["world", "guild_name", "extracted_at_utc"], "left_anti"))
 
     # -- increments (K01-K03) ----------------------------------------------
     def run_online(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
                    guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES,
                    dense: bool = False) -> DataFrame:
-        roster = self.members()
+        snaps = self.snapshots()
         st = self.online_state()
-        due, new_iv = INC.plan_online(roster, st, pair_limit, world, guild_name, cap, dense)
-        due = self.store.write("_due_online", due)
+        from snapwise.operators.pairs import due_pairs, snapshot_index
+        due = self.store.write("_due_online", due_pairs(snaps, st.ledger, pair_limit, world, guild_name))
         if due.isEmpty():
             return self._log("online", as_of, self._empty_report())
-        new_iv = self.store.write("_new_online_intervals", new_iv)
+        lo, hi = self._batch_dates(due)
+        roster = scope(self.members_between(lo, hi), world, guild_name)
+        tl = INC.due_timeline(roster, due, index=snapshot_index(snaps))
+        new_iv = self.store.write("_new_online_intervals", INC.batch_intervals(tl, due, cap, dense))
         inc = INC.apply_online(st, due, new_iv, as_of, pair_limit, world, guild_name, dense)
         report = self.store.write("_report_online", inc.report)
         self._append_new("intervals", st.intervals, inc.extra["intervals"], due, INC.INTERVAL_KEY)
@@ -131,13 +160,22 @@ class SnapshotJobs:
     def run_general(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
                     guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES,
                     roster_mode: str = "replace") -> DataFrame:
-        roster = self.members()
+        snaps = self.snapshots()
         st = self.general_state()
-        from snapwise.operators.pairs import due_pairs
-        due = self.store.write("_due_general", due_pairs(roster, st.ledger, pair_limit, world, guild_name))
+        from snapwise.operators.pairs import due_pairs, snapshot_index
+        due = self.store.write("_due_general", due_pairs(snaps, st.ledger, pair_limit, world, guild_name))
         if due.isEmpty():
             return self._log("general", as_of, self._empty_report())
-        tl = self.store.write("_due_timeline", INC.due_timeline(scope(roster, world, guild_name), due))
+        # The batch reads its own snapshots plus the newest snapshot of each
+        # touched guild (for the latest roster); nothing older.
+        touched_latest = (snaps.join(due.select("world", "guild_name").distinct(), ["world", "guild_name"],
+                                     "left_semi")
+                               .groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("t"))
+                               .select("t"))
+        lo, hi = self._batch_dates(due, touched_latest)
+        roster = self.members_between(lo, hi)
+        tl = self.store.write("_due_timeline",
+                              INC.due_timeline(scope(roster, world, guild_name), due, index=snapshot_index(snaps)))
         inc = INC.general_increment(roster, st, as_of, pair_limit, world, guild_name, cap, roster_mode,
                                     due=due, timeline=tl)
         report = self.store.write("_report_general", inc.report)
@@ -194,13 +232,14 @@ class SnapshotJobs:
     def run_retention(self, days: int = 7) -> DataFrame:
         tables = {k: self.table(k) for k in ("days", "intervals", "level_changes", "joins", "leaves",
                                              "rank_changes", "pairs", "members")}
-        tables["raw"] = self.members().select("guild_name", "world", "extracted_at_utc").distinct()
+        tables["raw"] = self.snapshots()
         kept, report = RT.apply_retention(tables, days)
         report = self.store.write("_report_retention", report)
         for key in ("days", "intervals", "level_changes", "joins", "leaves", "rank_changes", "pairs"):
             self.store.write(key, kept[key])
         self.store.write("members", kept["members"].withColumn("snapshot_date", F.to_date("extracted_at_utc")),
                          partition_by=["snapshot_date"])
+        self.store.write("snapshots", kept["raw"].select(*self.snapshots().columns))
         return report
 
 

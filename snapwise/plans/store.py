@@ -83,7 +83,7 @@ class TableStore:
         # folder and union; compaction keeps the number of parts small.
         out = self.spark.read.parquet(paths[0])
         for p in paths[1:]:
-            out = out.unionByName(self.spark.read.parquet(p))
+            out = out.unionByName(self.spark.read.parquet(p), allowMissingColumns=True)
         return out
 
     def read_or(self, name: str, empty: DataFrame) -> DataFrame:
