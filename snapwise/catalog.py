@@ -1122,3 +1122,19 @@ def q_run_report(spark, sf):
     return (on.select(F.lit("online").alias("run_type"), F.to_json(F.struct(*on.columns), opts).alias("report"))
               .unionByName(ge.select(F.lit("general").alias("run_type"),
                                      F.to_json(F.struct(*ge.columns), opts).alias("report"))))
+
+
+# First-generation views on global pairs
+@register("member_joins_global_pairs")
+def q_member_joins_global_pairs(spark, sf):
+    return CH.member_joins_global_pairs(_roster(spark, sf))
+
+
+@register("member_leaves_global_pairs")
+def q_member_leaves_global_pairs(spark, sf):
+    return CH.member_leaves_global_pairs(_roster(spark, sf))
+
+
+@register("rank_changes_global_pairs")
+def q_rank_changes_global_pairs(spark, sf):
+    return CH.rank_changes_global_pairs(_roster(spark, sf))

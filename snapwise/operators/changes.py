@@ -208,3 +208,44 @@ def rank_changes_latest(roster: DataFrame) -> DataFrame:
              .select("guild_name", "world", "character_name", "previous_guild_rank",
                      F.col("guild_rank").alias("current_guild_rank"),
                      "previous_snapshot_time", F.col(T).alias("latest_snapshot_time")))
+
+
+def _global_sides(roster: DataFrame):
+    """Member rows at the latest / previous time of each global pair."""
+    pairs = snapshot_pairs_global(roster)
+    latest = roster.join(pairs, roster[T] == pairs.latest_snapshot_time).drop(T)
+    previous = roster.join(pairs, roster[T] == pairs.previous_snapshot_time).drop(T)
+    return latest, previous
+
+
+_GLOBAL_KEY = ["guild_name", "world", "character_name", "previous_snapshot_time", "latest_snapshot_time"]
+
+
+def _move_columns():
+    return ["guild_name", "world", "character_name", "vocation", "level", "guild_rank", "status",
+            F.col("joined").alias("joined_date"), "previous_snapshot_time", "latest_snapshot_time"]
+
+
+def member_joins_global_pairs(roster: DataFrame) -> DataFrame:
+    """C07 (first historical view): in the latest snapshot of a global pair,
+    absent from its previous one (anti-join)."""
+    latest, previous = _global_sides(roster)
+    return latest.join(previous.select(*_GLOBAL_KEY), _GLOBAL_KEY, "left_anti").select(*_move_columns())
+
+
+def member_leaves_global_pairs(roster: DataFrame) -> DataFrame:
+    """C09 (first historical view): in the previous snapshot of a global
+    pair, absent from its latest one."""
+    latest, previous = _global_sides(roster)
+    return previous.join(latest.select(*_GLOBAL_KEY), _GLOBAL_KEY, "left_anti").select(*_move_columns())
+
+
+def rank_changes_global_pairs(roster: DataFrame) -> DataFrame:
+    """C11 (first historical view): rank differs (``<>``) across a global pair."""
+    latest, previous = _global_sides(roster)
+    p = previous.select(*_GLOBAL_KEY, F.col("guild_rank").alias("previous_guild_rank"))
+    j = latest.join(p, _GLOBAL_KEY)
+    return (j.filter(F.col("guild_rank") != F.col("previous_guild_rank"))
+             .select("guild_name", "world", "character_name", "previous_guild_rank",
+                     F.col("guild_rank").alias("current_guild_rank"),
+                     "previous_snapshot_time", "latest_snapshot_time"))
