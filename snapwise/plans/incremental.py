@@ -137,7 +137,8 @@ def apply_online(state: OnlineState, due: DataFrame, new_iv: DataFrame, as_of: C
         {"scope_world": world, "scope_guild_name": guild_name, "pair_limit": pair_limit,
          "storage_policy": "dense_intervals" if dense else "store_previous_online_intervals_only"})
     return Increment(OnlineState(intervals, days, totals, ledger), report, due,
-                     {"intervals": new_iv, "online_ledger": ledger_new})
+                     {"intervals": new_iv, "online_ledger": ledger_new, "days": day_rows,
+                      "totals": total_rows})
 
 
 def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
@@ -210,7 +211,7 @@ def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
     new_state = GeneralState(pairs, level_changes, joins, leaves, rank_changes, latest_members,
                              ledger, state.intervals)
     incoming = {"pairs": pairs_in, "level_changes": lc_in, "joins": joins_in, "leaves": leaves_in,
-                "rank_changes": rank_in, "general_ledger": ledger_new}
+                "rank_changes": rank_in, "general_ledger": ledger_new, "latest_members": fresh}
     return Increment(new_state, report, due, incoming)
 
 

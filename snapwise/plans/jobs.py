@@ -56,6 +56,10 @@ SCHEMAS = {
                       f"last_connected_at {TS}",
 }
 MEMBER_KEY = ["guild_name", "world", "character_name", "extracted_at_utc"]
+# Upserted by key through revisioned parts; the latest roster is replaced per guild.
+KEYED = {"days": ["world", "guild_name", "character_name", "activity_date"],
+         "totals": ["world", "guild_name", "character_name"]}
+GROUP_REPLACED = {"latest_members": ["world", "guild_name"]}
 APPEND_ONLY = ("intervals", "online_ledger", "pairs", "level_changes", "joins", "leaves", "rank_changes",
                "general_ledger", "run_log", "snapshots")
 
@@ -68,7 +72,14 @@ class SnapshotJobs:
     # -- state --------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
         empty = self.spark.createDataFrame([], SCHEMAS[name])
-        df = self.store.read_or(name, empty)
+        if not self.store.exists(name):
+            return empty
+        if name in KEYED:
+            df = self.store.read_latest_by(name, KEYED[name])
+        elif name in GROUP_REPLACED:
+            df = self.store.read_latest_by(name, GROUP_REPLACED[name], whole_group=True)
+        else:
+            df = self.store.read(name)
         return df.select(*empty.columns)
 
     def members(self) -> DataFrame:
@@ -151,8 +162,9 @@ class SnapshotJobs:
         inc = INC.apply_online(st, due, new_iv, as_of, pair_limit, world, guild_name, dense)
         report = self.store.write("_report_online", inc.report)
         self._append_new("intervals", st.intervals, inc.extra["intervals"], due, INC.INTERVAL_KEY)
-        self.store.write("days", inc.state.days)
-        self.store.write("totals", inc.state.totals)
+        # keyed upserts as revisions: only the recomputed affected rows are written
+        self.store.append_revision("days", inc.extra["days"])
+        self.store.append_revision("totals", inc.extra["totals"])
         # last: commits the batch
         self._append_new("online_ledger", st.ledger, inc.extra["online_ledger"], due, PAIR_KEY)
         return self._log("online", as_of, report)
@@ -183,7 +195,11 @@ class SnapshotJobs:
                 "leaves": INC.INTERVAL_KEY, "rank_changes": INC.INTERVAL_KEY}
         for name, key in keys.items():
             self._append_new(name, getattr(st, name), inc.extra[name], due, key)
-        self.store.write("latest_members", inc.state.latest_members)
+        if roster_mode == "replace":
+            # the touched guilds' fresh rosters, each replacing its guild whole
+            self.store.append_revision("latest_members", inc.extra["latest_members"])
+        else:
+            self.store.write("latest_members", inc.state.latest_members)
         self._append_new("general_ledger", st.ledger, inc.extra["general_ledger"], due, PAIR_KEY)  # last
         return self._log("general", as_of, report)
 
@@ -204,6 +220,10 @@ class SnapshotJobs:
                 done.append(name)
         if self.store.exists("members") and self.store.compact("members", min_parts, ["snapshot_date"]):
             done.append("members")
+        for name in (*KEYED, *GROUP_REPLACED):
+            if self.store.exists(name) and self.store.part_count(name) >= min_parts:
+                self.store.write(name, self.table(name))  # resolved rows, revision 0
+                done.append(name)
         return done
 
     def run_until_caught_up(self, as_of: Column, pair_limit: int = 100, max_runs: int = 1000) -> int:

@@ -122,6 +122,38 @@ class TableStore:
         self._write_to(f"{self.table_dir(name)}/a={p}", df, partition_by)
         return p
 
+    # -- revisioned parts: upserts without rewriting the table -------------
+    def append_revision(self, name: str, df: DataFrame) -> int:
+        """Append rows that supersede older rows (see ``read_latest_by``);
+        each row carries the part number as its revision ``_rev``."""
+        from pyspark.sql import functions as F
+        parts = self._parts(name)
+        p = (parts[-1] if parts else 0) + 1
+        self._write_to(f"{self.table_dir(name)}/a={p}", df.withColumn("_rev", F.lit(p)), None)
+        return p
+
+    def read_latest_by(self, name: str, key: list[str], whole_group: bool = False) -> DataFrame:
+        """Resolve revisions: per ``key`` the row of the newest revision
+        (keyed upsert), or with ``whole_group`` every row of the newest
+        revision of each ``key`` group (a group replaced as a whole).
+
+        Keyed resolution is a partial aggregate (combined per task before the
+        shuffle); group resolution joins a per-group max revision (one row
+        per group). Rows of a full version have revision 0."""
+        from pyspark.sql import functions as F
+        df = self.read(name)
+        if "_rev" not in df.columns:
+            return df
+        df = df.withColumn("_rev", F.coalesce(F.col("_rev"), F.lit(0)))
+        rest = [c for c in df.columns if c not in key and c != "_rev"]
+        if whole_group:
+            newest = df.groupBy(*key).agg(F.max("_rev").alias("_newest"))
+            out = df.join(newest, key).filter(F.col("_rev") == F.col("_newest")).drop("_newest")
+        else:
+            out = (df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("_rev")).alias("_r"))
+                     .select(*key, "_r.*"))
+        return out.select(*[c for c in df.columns if c != "_rev"])
+
     def part_count(self, name: str) -> int:
         versions = self._list(name, _VERSION)
         upto = versions[-1][1] if versions else 0

@@ -105,3 +105,15 @@ def test_late_snapshots_rebuild_the_guild(spark, tmp_root):
     for name in ("intervals", "days", "totals", "pairs", "level_changes", "joins", "leaves",
                  "rank_changes", "latest_members"):
         assert same(jobs.table(name), full[name]), name
+
+
+def test_store_revisions(spark, tmp_root):
+    st = TableStore(spark, tmp_root)
+    cols = "g string, k string, v int"
+    st.write("kv", spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("b", "z", 1)], cols))
+    st.append_revision("kv", spark.createDataFrame([("a", "x", 2)], cols))
+    st.append_revision("kv", spark.createDataFrame([("a", "x", 3), ("b", "w", 3)], cols))
+    keyed = {(r.g, r.k): r.v for r in st.read_latest_by("kv", ["g", "k"]).collect()}
+    assert keyed == {("a", "x"): 3, ("a", "y"): 1, ("b", "z"): 1, ("b", "w"): 3}
+    grouped = sorted((r.g, r.k, r.v) for r in st.read_latest_by("kv", ["g"], whole_group=True).collect())
+    assert grouped == [("a", "x", 3), ("b", "w", 3)]  # each group replaced whole by its newest revision
