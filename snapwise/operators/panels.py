@@ -73,12 +73,9 @@ def default_range(bounds: DataFrame, as_of: Column | None = None,
     """Default window of ``days`` ending at ``as_of`` (default: the
     newest snapshot time of the data), clamped to each guild's first date."""
     if as_of is None:
-        as_of_df = bounds.agg(F.max("max_snapshot_time").alias("_as_of")).withColumn("_k", F.lit(1))
-        # One-row scalar attached through a constant key (broadcast, no cross join).
-        b = bounds.withColumn("_k", F.lit(1)).join(F.broadcast(as_of_df), "_k")
-        as_of = F.col("_as_of")
-    else:
-        b = bounds
+        # the data's newest time as a scalar subquery (computed once)
+        as_of = bounds.agg(F.max("max_snapshot_time")).scalar()
+    b = bounds
     end = F.to_date(as_of)
     start = F.greatest(F.date_sub(end, days), F.to_date("min_snapshot_time"))
     return b.select(*GUILD, start.alias("start_date"), end.alias("end_date"))
@@ -172,9 +169,9 @@ def tagged_counts(frames: dict[str, DataFrame], name_col: str = "metric",
 
 
 def one_row_join(frames: list[DataFrame]) -> DataFrame:
-    """Place single-row aggregates side by side through a constant key."""
-    out = None
-    for df in frames:
-        df = df.withColumn("_k", F.lit(1))
-        out = df if out is None else out.join(F.broadcast(df), "_k")
-    return out.drop("_k")
+    """Place single-row aggregates side by side: every column becomes a
+    scalar subquery of one output row (no join; Spark merges subqueries over
+    the same input)."""
+    spark = frames[0].sparkSession
+    cols = [df.select(c).scalar().alias(c) for df in frames for c in df.columns]
+    return spark.range(1).select(*cols)

@@ -74,10 +74,9 @@ def snapshot_count(roster: DataFrame) -> DataFrame:
 
 def latest_snapshot_rows(roster: DataFrame) -> DataFrame:
     """Rows in the newest snapshot (scalar max, then a filtered count)."""
-    mx = roster.agg(F.max(T).alias("latest_snapshot_time"))
-    rows = roster.join(F.broadcast(mx), roster[T] == mx.latest_snapshot_time, "left_semi") \
-                 .agg(F.count(F.lit(1)).alias("member_rows"))
-    return one_row_join([mx, rows])
+    mx = roster.agg(F.max(T)).scalar()
+    rows = roster.filter(F.col(T) == mx).agg(F.count(F.lit(1)).alias("member_rows"))
+    return one_row_join([roster.agg(F.max(T).alias("latest_snapshot_time")), rows])
 
 
 def table_ranges(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

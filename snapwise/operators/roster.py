@@ -31,8 +31,7 @@ def latest_roster_by_guild(roster: DataFrame) -> DataFrame:
 
 def latest_roster_global(roster: DataFrame) -> DataFrame:
     """C17 v1: members of the newest snapshot over all guilds (scalar max)."""
-    mx = roster.agg(F.max(T).alias("_mx"))
-    r = roster.join(F.broadcast(mx), roster[T] == F.col("_mx"), "left_semi")
+    r = roster.filter(F.col(T) == roster.agg(F.max(T)).scalar())
     return r.select("guild_name", "world", "character_name", "guild_rank", "vocation",
                     "level", "status", F.col("joined").alias("joined_date"), T)
 

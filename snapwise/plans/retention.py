@@ -1,8 +1,8 @@
 """Retention (K14, K15) and maintenance migrations.
 
-The cutoff is a one-row aggregate joined to each table through a constant
-key (broadcast), so the whole job stays distributed: nothing is collected
-to the driver. On stored, date-partitioned tables the keep-filter prunes
+The cutoff is a scalar subquery (one aggregate, computed once), so the
+whole job stays distributed: nothing is collected to the driver and no
+table is joined to it. On stored, date-partitioned tables the keep-filter prunes
 whole partitions; the job layer writes the kept rows as a new version.
 """
 
@@ -30,20 +30,15 @@ NO_SOURCE_STEP = "no_raw_snapshots_found"
 FINAL_STEP = "analyze_completed"
 
 
-def retention_cutoff(raw: DataFrame, days: int = RETENTION_DAYS) -> DataFrame:
-    """One row: ``_cutoff`` = newest raw time - ``days`` (null when empty)."""
-    return raw.agg(F.max("extracted_at_utc").alias("_mx")).select(
-        F.timestamp_add("DAY", F.lit(-int(days)), F.col("_mx")).alias("_cutoff"))
+def retention_cutoff(raw: DataFrame, days: int = RETENTION_DAYS) -> Column:
+    """Newest raw time - ``days`` as a scalar subquery (null when empty)."""
+    return F.timestamp_add("DAY", F.lit(-int(days)), raw.agg(F.max("extracted_at_utc")).scalar())
 
 
-def _with_cutoff(df: DataFrame, cutoff: DataFrame) -> DataFrame:
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(cutoff.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
-def _old(col: str, by_date: bool) -> Column:
+def _old(col: str, by_date: bool, cutoff: Column) -> Column:
     if by_date:
-        return F.col(col) < F.to_date("_cutoff")
-    return F.col(col) < F.col("_cutoff")
+        return F.col(col) < F.to_date(cutoff)
+    return F.col(col) < cutoff
 
 
 def apply_retention(tables: dict[str, DataFrame], days: int = RETENTION_DAYS
@@ -55,22 +50,24 @@ def apply_retention(tables: dict[str, DataFrame], days: int = RETENTION_DAYS
     day stays whole while some of its intervals go (N22). An empty raw table
     yields the single no-op report row."""
     cutoff = retention_cutoff(tables["raw"], days)
+    spark = tables["raw"].sparkSession
     kept: dict[str, DataFrame] = {}
     parts = []
     for order, (step, key, col, by_date) in enumerate(RETENTION_STEPS, start=1):
-        t = _with_cutoff(tables[key], cutoff)
-        kept[key] = t.filter(~F.coalesce(_old(col, by_date), F.lit(False))).drop("_cutoff")
-        parts.append(t.filter(_old(col, by_date)).agg(F.count(F.lit(1)).alias("deleted_rows"))
+        t = tables[key]
+        kept[key] = t.filter(~F.coalesce(_old(col, by_date, cutoff), F.lit(False)))
+        parts.append(t.filter(_old(col, by_date, cutoff)).agg(F.count(F.lit(1)).alias("deleted_rows"))
                       .select(F.lit(step).alias("step_name"), "deleted_rows", F.lit(order).alias("step_order")))
-    final = cutoff.select(F.lit(FINAL_STEP).alias("step_name"), F.lit(0).cast("bigint").alias("deleted_rows"),
-                          F.lit(len(RETENTION_STEPS) + 1).alias("step_order"))
+    parts.append(spark.range(1).select(F.lit(FINAL_STEP).alias("step_name"),
+                                       F.lit(0).cast("bigint").alias("deleted_rows"),
+                                       F.lit(len(RETENTION_STEPS) + 1).alias("step_order")))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
-    report = _with_cutoff(report.unionByName(final), cutoff).filter(F.col("_cutoff").isNotNull()).drop("_cutoff")
-    noop = cutoff.filter(F.col("_cutoff").isNull()).select(
+    report = report.filter(cutoff.isNotNull())
+    noop = spark.range(1).select(
         F.lit(NO_SOURCE_STEP).alias("step_name"), F.lit(0).cast("bigint").alias("deleted_rows"),
-        F.lit(0).alias("step_order"))
+        F.lit(0).alias("step_order")).filter(cutoff.isNull())
     return kept, report.unionByName(noop)
 
 
