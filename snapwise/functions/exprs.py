@@ -107,17 +107,6 @@ def null_safe_differs(a, b) -> Column:
     return ~col(a).eqNullSafe(col(b))
 
 
-def round_half_up_ratio(numerator, denominator, scale: int) -> Column:
-    """round(numerator / denominator, scale) half away from zero, as decimal.
-
-    Computed in decimal arithmetic (never double) so published roundings are
-    exact.
-    """
-    num = col(numerator).cast("decimal(38,0)")
-    den = F.nullif(col(denominator).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    return F.round(num / den, scale)
-
-
 def round_ratio(numerator, denominator, scale: int) -> Column:
     """round(numerator / denominator, scale), half away from zero, exact.
 
