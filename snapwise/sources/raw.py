@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from snapwise.functions.exprs import nonempty, parse_joined_date, slug
 from snapwise.session import scratch_path
 
-SOURCE_NAME = "tibiadata"
+SOURCE_NAME = "roster_api"
 ENTITY_TYPE = "guild"
 MEMBERS_PER_DOCUMENT = 500
 

@@ -221,6 +221,6 @@ def test_latest_raw_file_by_path(spark):
     # Across entities the slug outranks the time within a day.
     df = spark.createDataFrame([("Zeta Guild", dt.datetime(2024, 5, 1, 1)), ("Alpha", dt.datetime(2024, 5, 1, 23))],
                                "e string, t timestamp_ntz")
-    p = df.select(RW.logical_path(F.lit("tibiadata"), F.col("e"), F.col("t")).alias("p"), "e")
+    p = df.select(RW.logical_path(F.lit("roster_api"), F.col("e"), F.col("t")).alias("p"), "e")
     top = p.orderBy(F.col("p").desc()).first()
     assert top.e == "Zeta Guild" and top.p.endswith("zeta_guild_20240501T010000Z.json")
