@@ -38,3 +38,15 @@ def op8_token_files(spark, sf_dir):
 def op10_simhash(spark, sf_dir):
     from snapwise.llm.simhash import simhash_groups
     return simhash_groups(read_table(spark, sf_dir, "documents"), 4, 4)
+
+
+@register
+def op3_quality(spark, sf_dir):
+    from snapwise.llm.quality import score_quality
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register
+def op7_host_rules(spark, sf_dir):
+    from snapwise.llm.host_rules import host_rules
+    return host_rules(read_table(spark, sf_dir, "documents"))
