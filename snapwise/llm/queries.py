@@ -50,3 +50,38 @@ def op3_quality(spark, sf_dir):
 def op7_host_rules(spark, sf_dir):
     from snapwise.llm.host_rules import host_rules
     return host_rules(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_embedding_groups(spark, sf_dir):
+    from snapwise.llm.embeddings import embedding_groups
+    return embedding_groups(read_table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@register
+def op5_warc(spark, sf_dir):
+    from snapwise.llm.warc import page_records, read_warc, write_warc
+    folder = common.shared_folder(spark, "warc")
+    names = write_warc(read_table(spark, sf_dir, "pages"), folder, 0)
+    return page_records(read_warc(spark, folder, names))
+
+
+#: Shares of the tokens that the mixture is to have.
+TARGETS = {"general": 0.96, "low_quality": 0.02, "toxic": 0.02}
+
+
+@register
+def op6_mixing(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from snapwise.llm.mixing import label_domains, mixture
+    mixed = mixture(read_table(spark, sf_dir, "documents"),
+                    label_domains(read_table(spark, sf_dir, "labels")), TARGETS)
+    return mixed.select("doc_id", "n_tokens",
+                        *[F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(sorted(TARGETS))], "rate")
+
+
+@register
+def op9_chat_preferences(spark, sf_dir):
+    from snapwise.llm.chat import format_preferences, reply_swaps
+    return format_preferences(*reply_swaps(read_table(spark, sf_dir, "conversations")))
