@@ -101,7 +101,7 @@ def host_rules(docs: DataFrame) -> DataFrame:
     ignored)."""
     return judged(docs, F.col("doc_id")).select(
         F.col("doc").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "host_rate", "kept")
+        "base_failed", "kept")
 
 
 def keep_by_host_rules(docs: DataFrame) -> DataFrame:

@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from snapwise.llm.common import let, stage, words
 
 #: Hash buckets of the classifier, the bound on labelled rows it is counted on,
-#: the weight of a word that no document has, the least sureness (in standard
-#: errors) of a word's evidence, and the fit's end.
-BUCKETS, MAX_LABELLED, SMOOTHING, SURENESS, STEPS, TOLERANCE = 1 << 17, 20_000, 0.01, 5.0, 25, 1e-6
+#: the smoothing of counts, what makes a bucket speak for a domain
+#: (standard errors above, and factor over, its share of all), and the fit's end.
+BUCKETS, MAX_LABELLED, SMOOTHING, SURENESS, EFFECT, STEPS, TOLERANCE = 1 << 17, 20_000, 0.5, 5.0, 2.0, 25, 1e-6
 
 
 def _counted(text: Column) -> Column:
@@ -40,9 +40,10 @@ def _counted(text: Column) -> Column:
 
 
 def domain_model(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float]]:
-    """A row per bucket with a weight per domain (the log of the bucket's share
-    in the domain over its share overall, zero where that is not sure), and the
-    log priors of the domains."""
+    """A row per bucket with a weight per domain (its presence against its
+    absence, by the log of the bucket's share of the domain's documents over its
+    share of all; zero where it does not speak for the domain), and the domains' scores of a text
+    that has none of the buckets."""
     known = labels.filter(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.min("domain").alias("domain")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED) \
@@ -50,35 +51,37 @@ def domain_model(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tupl
     # At most MAX_LABELLED rows are broadcast.
     labelled = stage(docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("_sw_id"))
                      .select("domain", _counted(F.col("text"))["buckets"].alias("buckets")), "labelled")
-    sizes = {r["domain"]: (r["n"], r["size"]) for r in labelled.groupBy("domain").agg(
-        F.count("*").alias("n"), F.sum(F.size("buckets")).alias("size")).collect()}
-    every, size = (sum(s[k] for s in sizes.values()) for k in (0, 1))
+    total = {r["domain"]: r["n"] for r in labelled.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    every = sum(total.values())
     counts = labelled.select("domain", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(domains)])
-    # Shares of all the buckets that documents have, so that long documents do
-    # not count as evidence.
-    overall = (F.col("n") + SMOOTHING) / (size + SMOOTHING * BUCKETS)
+    overall = (F.col("n") + SMOOTHING) / (every + 2 * SMOOTHING)
     weights = []
     for k, d in enumerate(domains):
-        own = sizes.get(d, (0, 0))[1]
-        here = (F.col(f"n{k}") + SMOOTHING * overall * BUCKETS) / (own + SMOOTHING * BUCKETS)
-        sure = F.abs(here - overall) >= SURENESS * F.sqrt(overall / F.lit(own + 1.0))
-        weights.append(F.when(sure, F.log(here / overall)).otherwise(0.0).alias(f"w{k}"))
-    priors = [math.log((sizes.get(d, (0, 0))[0] + 1) / (every + len(domains))) for d in domains]
-    return stage(counts.select("bucket", *weights), "model"), priors
-
-
-def with_posteriors(docs: DataFrame, model: DataFrame, priors: list[float]) -> DataFrame:
+        own = total.get(d, 0)
+        here = (F.col(f"n{k}") + SMOOTHING) / (own + 2 * SMOOTHING)
+        tells = (here - overall >= SURENESS * F.sqrt(overall / F.lit(own + 1.0))) & (here >= EFFECT * overall)
+        there, absent = F.log(here / overall), F.log((1 - here) / (1 - overall))
+        weights += [F.when(tells, there - absent).otherwise(0.0).alias(f"w{k}"),
+                    F.when(tells, absent).otherwise(0.0).alias(f"a{k}")]
+    model = stage(counts.select("bucket", *weights), "model")
+    absent = model.agg(*[F.sum(f"a{k}") for k in range(len(domains))]).first()
+    bases = [math.log((total.get(d, 0) + 1) / (every + len(domains))) + float(absent[k] or 0.0)
+             for k, d in enumerate(domains)]
+    return model.select("bucket", *[f"w{k}" for k in range(len(domains))]), bases
+
+
+def with_posteriors(docs: DataFrame, model: DataFrame, bases: list[float]) -> DataFrame:
     """``row, doc_id, n_tokens`` (words) and ``p``, the posterior over the
-    domains, of each row of ``docs``. A text without words has the priors. A
+    domains, of each row of ``docs``. A text without words has none of the buckets. A
     document's buckets are summed up in the task that reads it; only a row per
     document is shuffled."""
     counted = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _counted(F.col("text")).alias("c"))
     # The model has at most BUCKETS rows.
     sums = counted.select("row", "doc_id", F.col("c.n_tokens").alias("n_tokens"), F.explode_outer("c.buckets").alias("bucket")) \
         .join(F.broadcast(model), "bucket", "left").groupBy("row", "doc_id", "n_tokens") \
-        .agg(*[F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"s{k}") for k in range(len(priors))])
-    score = [F.col(f"s{k}") + F.lit(p) for k, p in enumerate(priors)]
+        .agg(*[F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"s{k}") for k in range(len(bases))])
+    score = [F.col(f"s{k}") + F.lit(p) for k, p in enumerate(bases)]
     most = F.greatest(*score) if len(score) > 1 else score[0]
     raised = [F.exp(s - most) for s in score]
     return sums.select("row", "doc_id", "n_tokens", F.array(*[e / sum(raised, F.lit(0.0)) for e in raised]).alias("p"))
@@ -141,6 +144,8 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], to
         if metric is not whole and sum(map(abs, gap_of(new[1]))) >= far:
             new = stepped(whole)
         rate, reached, metric = new
+        if sum(map(abs, gap_of(reached))) > 0.99 * far:
+            break  # the targets cannot be met more closely
     return rate
 
 

@@ -85,3 +85,10 @@ def op6_mixing(spark, sf_dir):
 def op9_chat_preferences(spark, sf_dir):
     from snapwise.llm.chat import format_preferences, reply_swaps
     return format_preferences(*reply_swaps(read_table(spark, sf_dir, "conversations")))
+
+
+@register
+def op4_lm_scoring(spark, sf_dir):
+    from snapwise.llm.lm_scoring import cross_entropy_difference
+    good = read_table(spark, sf_dir, "labels").filter("quality = 1")
+    return cross_entropy_difference(read_table(spark, sf_dir, "documents"), good)

@@ -48,20 +48,18 @@ def fingerprint(data: bytes | None, shingle: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every whole text."""
+    """``row, doc_id, fp`` (the 64 bits as a signed long) of every whole text;
+    ``row`` numbers the rows as they are read."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            ids, fps = [], []
-            for doc_id, data in rows_of([batch], "doc_id", "data"):
-                ids.append(doc_id)
-                fps.append(fingerprint(data, shingle))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(fps, "u8").view("i8"))],
-                                             names=["doc_id", "fp"])
+            fps = [fingerprint(data, shingle) for (data,) in rows_of([batch], "data")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.array(fps, "u8").view("i8"))], names=["row", "doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("binary").alias("data")).mapInArrow(run, "row long, doc_id long, fp long")
 
 
 def block_scheme(count: int, radius: int) -> int:
@@ -158,17 +156,38 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4) -> DataFrame:
     return units.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(compare, "a long, b long").distinct()
 
 
+def _members(rows: DataFrame, radius: int) -> DataFrame:
+    """``fp, component, least`` of the distinct fingerprints of ``rows``."""
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    nodes = stage(connected_components(fingerprint_links(distinct.select("fp"), radius)), "nodes")
+    return distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left") \
+        .withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs`` (doc_id,
     text; other columns are ignored). Null and empty texts have fingerprint zero
     and link like any other. Rows with equal ids are each returned; component_id
     is the smallest id that is not null, null if a component has none."""
     rows = stage(fingerprints(docs, shingle), "fingerprints")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    nodes = stage(connected_components(fingerprint_links(distinct.select("fp"), radius)), "nodes")
-    member = distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left") \
-        .withColumn("component", F.coalesce("component", "fp"))
+    member = _members(rows, radius)
     smallest = member.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = member.join(smallest, "component").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one_of_each_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, a table that reads the same twice, without all but
+    one of each component: the one with the smallest id stays (null ids last; of
+    equal ids the first row), with all its columns."""
+    rows = stage(fingerprints(docs, shingle), "fingerprints")
+    placed = stage(rows.join(_members(rows, radius).select("fp", "component"), "fp")
+                   .select("row", "doc_id", "component"), "placed")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    kept = placed.groupBy("component").agg(F.min(key).alias("k"), F.count("*").alias("n")) \
+        .filter("n > 1").select("component", F.col("k.row").alias("stays"))
+    # Only the rows that go are joined with the texts.
+    gone = placed.join(kept, "component").filter(F.col("row") != F.col("stays")).select(F.col("row").alias("_sw_row"))
+    return docs.withColumn("_sw_row", F.monotonically_increasing_id()).join(gone, "_sw_row", "left_anti") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
