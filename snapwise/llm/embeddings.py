@@ -19,12 +19,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapwise.llm.common import Staged, rows_of, smallest_reachable, stage
+from snapwise.llm.common import Staged, smallest_reachable, stage
 from snapwise.llm.components import connected_components
 
-#: Classes of a tile, of a block inside a unit, dimensions of a step, and the
-#: doubt around the threshold within which a pair's cosine is computed anew.
-TILE, BLOCK, STEP, DOUBT = 2048, 512, 16, 1e-9
+#: Classes of a tile, of a block inside a unit, dimensions of a step, and what
+#: single precision may lose in a bound.
+TILE, BLOCK, STEP, ROUNDING = 2048, 1024, 24, 5e-5
 #: Tiles at most; beyond that tiles grow, so that their list stays small.
 MAX_TILES = 2048
 
@@ -36,10 +36,13 @@ def _valid():
     return F.coalesce(e.isNotNull() & (F.size(e) > 0) & finite & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def _unit(rows):
-    """Unit vectors of a list of lists, scaled first so that no square overflows."""
+def _unit(column):
+    """Unit vectors of an Arrow column of lists of one length, scaled first so
+    that no square overflows."""
     import numpy as np
-    x = np.array(rows, "f8")
+    import pyarrow as pa
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    x = column.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(len(column), -1)
     x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
@@ -54,9 +57,8 @@ def principal_axes(classes: DataFrame, dim: int):
         import pyarrow as pa
         total = np.zeros((dim, dim))
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            if rows:
-                u = _unit(rows)
+            if batch.num_rows:
+                u = _unit(batch.column(0))
                 total += u.T @ u
         yield pa.RecordBatch.from_pandas(pd.DataFrame({"at": np.arange(dim * dim), "value": total.ravel()}),
                                          preserve_index=False)
@@ -70,37 +72,47 @@ def principal_axes(classes: DataFrame, dim: int):
     return np.linalg.eigh((moment + moment.T) / 2)[1][:, ::-1].copy()
 
 
-def near_pairs(a, b, ua, ub, threshold: float):
-    """(i, j) with cosine of ua[i], ub[j] at least ``threshold``; ``a`` and ``b``
-    are the same vectors rotated. Leading dimensions first."""
+class Side:
+    """Vectors of one side of a unit: the unit vectors, and the factors whose
+    products over the steps add up to the bound: the leading products in single
+    precision and, as a last factor, the suffix norms in place of the rest."""
+
+    def __init__(self, u, axes, sign: int):
+        import numpy as np
+        self.u = u
+        rotated = u @ axes if axes is not None and axes.shape[0] == u.shape[1] else u
+        self.lead = rotated[:, 0]
+        self.steps, before = [], None
+        for lo in range(0, u.shape[1], STEP):
+            rest = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", rotated[:, lo + STEP:], rotated[:, lo + STEP:])))
+            factors = [rotated[:, lo:lo + STEP], rest[:, None]]
+            if before is not None:
+                factors.append(sign * before[:, None])  # takes the bound before out
+            self.steps.append(np.concatenate(factors, axis=1).astype("f4"))
+            before = rest
+
+
+def near_pairs(a: Side, rows: slice, b: Side, others: slice, threshold: float):
+    """Pairs with a cosine of at least ``threshold``, as places in the slices:
+    leading dimensions first, until no pair can reach it any more or so few that
+    they are decided one by one."""
     import numpy as np
-    dim = a.shape[1]
-    part = np.zeros((len(a), len(b)))
-    pairs = None
-    for lo in range(0, dim, STEP):
-        hi = min(lo + STEP, dim)
-        if pairs is None:
-            part += a[:, lo:hi] @ b[:, lo:hi].T
-        else:
-            part += np.einsum("ij,ij->i", a[pairs[0], lo:hi], b[pairs[1], lo:hi])
-        rest_a, rest_b = (np.sqrt(np.maximum(0, np.einsum("ij,ij->i", x[:, hi:], x[:, hi:]))) for x in (a, b))
-        bound = part + (np.outer(rest_a, rest_b) if pairs is None else rest_a[pairs[0]] * rest_b[pairs[1]])
-        able = bound >= threshold - DOUBT
+    bound = None
+    for x, y in zip(a.steps, b.steps):
+        part = x[rows] @ y[others].T
+        bound = part if bound is None else bound + part
+        able = bound >= threshold - ROUNDING
         count = np.count_nonzero(able)
         if not count:
             return np.zeros(0, "int64"), np.zeros(0, "int64")
-        if pairs is not None:
-            pairs, part = (pairs[0][able], pairs[1][able]), part[able]
-        elif count < able.size // 8:
-            pairs, part = np.nonzero(able), part[able]
-    i, j = np.nonzero(part >= threshold - DOUBT) if pairs is None else pairs
-    value = part[i, j] if pairs is None else part
-    near = value >= threshold - DOUBT
-    i, j, value = i[near], j[near], value[near]
-    doubt = np.flatnonzero(value < threshold + DOUBT)
-    ok = np.ones(len(i), bool)
-    ok[doubt] = np.einsum("ij,ij->i", ua[i[doubt]], ub[j[doubt]]) >= threshold
-    return i[ok], j[ok]
+        if count < able.size // 512:
+            break
+    i, j = np.nonzero(able)
+    near = np.empty(len(i), bool)
+    for at in range(0, len(i), 1 << 15):
+        k = slice(at, at + (1 << 15))
+        near[k] = np.einsum("ij,ij->i", a.u[rows][i[k]], b.u[others][j[k]]) >= threshold
+    return i[near], j[near]
 
 
 def _unit_links(table, axes, threshold: float):
@@ -108,10 +120,11 @@ def _unit_links(table, axes, threshold: float):
     import numpy as np
     import pyarrow as pa
     cid, weight, side = (table.column(n).to_numpy() for n in ("cid", "n", "side"))
-    u = _unit(table.column("embedding").to_pylist())
-    rotated = u @ axes if axes is not None and axes.shape[0] == u.shape[1] else u
-    order = np.lexsort((cid, rotated[:, 0], side))
-    cid, weight, side, u, rotated = cid[order], weight[order], side[order], u[order], rotated[order]
+    u = _unit(table.column("embedding"))
+    lead = (u @ axes)[:, 0] if axes.shape[0] == u.shape[1] else u[:, 0]
+    order = np.lexsort((cid, lead, side))
+    cid, weight, side, u = cid[order], weight[order], side[order], u[order]
+    a, b = Side(u, axes, 1), Side(u, axes, -1)
     two = bool(side.any())
     cut = int(np.searchsorted(side, 2)) if two else len(cid)
     links = np.zeros(len(cid), "int64")
@@ -120,7 +133,7 @@ def _unit_links(table, axes, threshold: float):
         hi = min(lo + BLOCK, cut)
         for at in range(cut if two else lo, len(cid), BLOCK):
             end = min(at + BLOCK, len(cid))
-            i, j = near_pairs(rotated[lo:hi], rotated[at:end], u[lo:hi], u[at:end], threshold)
+            i, j = near_pairs(a, slice(lo, hi), b, slice(at, end), threshold)
             i, j = i + lo, j + at
             if not two:
                 i, j = i[i < j], j[i < j]
@@ -161,19 +174,16 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         import numpy as np
         import pyarrow as pa
         for batch in batches:
-            cid, rows_ = batch.column(0), batch.column(1).to_pylist()
-            angle = np.zeros(len(rows_))
-            by_dim: dict[int, list[int]] = {}
-            for at, row in enumerate(rows_):
-                by_dim.setdefault(len(row), []).append(at)
-            for dim, at in by_dim.items():
-                u = _unit([rows_[k] for k in at])
+            cid, column = batch.column(0), batch.column(1)
+            angle, dims = np.zeros(len(cid)), column.value_lengths().to_numpy()
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                u = _unit(column.take(pa.array(at)))
                 lead = u @ axes[:, 0] if dim == axes.shape[0] else u[:, 0]
                 angle[at] = np.arccos(np.clip(lead, -1, 1))
             yield pa.RecordBatch.from_arrays([cid, pa.array(angle)], names=["cid", "angle"])
 
-    angles = Staged(classes.select("cid", F.size("embedding").alias("d"), "embedding").select("cid", "embedding")
-                    .mapInArrow(first_angle, "cid long, angle double"), "angles").df
+    angles = Staged(classes.select("cid", "embedding").mapInArrow(first_angle, "cid long, angle double"), "angles").df
     count = angles.count()
     tiles = min(MAX_TILES, -(-count // TILE))
     cuts = sorted(set(angles.approxQuantile("angle", [k / tiles for k in range(1, tiles)], 0.05 / tiles))) \
