@@ -85,18 +85,22 @@ def snapshot_ranks(roster: DataFrame) -> DataFrame:
 def newest_two_times(roster: DataFrame) -> DataFrame:
     """Ranks 1 and 2 of E04 only: a bounded top-2 (each task keeps 2 rows)."""
     top = snapshot_times(roster).orderBy(F.col("snapshot_time").desc()).limit(2)
-    return global_row_number(top, [F.col("snapshot_time").desc()], "snapshot_rank")
+    # Two rows at most: their window needs no distribution.
+    return top.withColumn("snapshot_rank", F.row_number().over(Window.orderBy(F.col("snapshot_time").desc())))
 
 
-def due_pairs(roster: DataFrame, ledger: DataFrame, pair_limit: int,
+def due_pairs(roster: DataFrame, ledger: DataFrame, pair_limit: int | None,
               world: str | None = None, guild_name: str | None = None) -> DataFrame:
-    """C19 + S01: pairs not in the ledger, oldest latest time first, at most n.
+    """C19 + S01: pairs not in the ledger, oldest latest time first, at most n
+    (None: all of them, without a sort).
 
     The limit is the feature (a run's batch size); ties are broken by world
     and guild so the batch is deterministic.
     """
-    if pair_limit is None or pair_limit < 1:
+    if pair_limit is not None and pair_limit < 1:
         raise ValueError("pair_limit must be at least 1")
     pairs = snapshot_pairs(scope(roster, world, guild_name))
     due = pairs.join(ledger.select(*PAIR_KEY), PAIR_KEY, "left_anti")
+    if pair_limit is None:
+        return due
     return due.orderBy("latest_snapshot_time", "world", "guild_name").limit(pair_limit)

@@ -83,21 +83,6 @@ def _ledger_rows(due: DataFrame, as_of: Column) -> DataFrame:
     return due.select(*PAIR_KEY, as_of.alias("processed_at_utc"))
 
 
-def empty_online_state(spark, cap_type="int") -> OnlineState:
-    ts = "timestamp_ntz"
-    iv = spark.createDataFrame([], f"guild_name string, world string, character_name string, "
-                                   f"previous_snapshot_time {ts}, latest_snapshot_time {ts}, "
-                                   f"previous_status string, latest_status string, interval_minutes int, "
-                                   f"estimated_online_minutes int")
-    days = spark.createDataFrame([], "guild_name string, world string, character_name string, "
-                                     "activity_date date, estimated_online_minutes int, online_interval_rows int")
-    totals = spark.createDataFrame([], "guild_name string, world string, character_name string, "
-                                       "estimated_online_minutes int")
-    ledger = spark.createDataFrame([], f"guild_name string, world string, previous_snapshot_time {ts}, "
-                                       f"latest_snapshot_time {ts}, processed_at_utc {ts}")
-    return OnlineState(iv, days, totals, ledger)
-
-
 def plan_online(roster: DataFrame, state: OnlineState, pair_limit: int = 100,
                 world: str | None = None, guild_name: str | None = None,
                 cap: int = DEFAULT_CAP_MINUTES, dense: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -149,6 +134,20 @@ def online_increment(roster: DataFrame, state: OnlineState, as_of: Column,
     return apply_online(state, due, new_iv, as_of, pair_limit, world, guild_name, dense)
 
 
+def batch_events(tl: DataFrame, due: DataFrame, intervals: DataFrame,
+                 cap: int = DEFAULT_CAP_MINUTES) -> dict[str, DataFrame]:
+    """The event rows of exactly the due pairs, from a batch timeline."""
+    lc = _in_due(CH.level_changes_from(tl, cap), due)
+    # Minutes come from the stored interval table, 0 when absent.
+    iv = intervals.select(*INTERVAL_KEY, F.col("estimated_online_minutes").alias("_m"))
+    lc = (lc.drop("estimated_online_minutes").join(iv, INTERVAL_KEY, "left")
+            .withColumn("estimated_online_minutes", F.coalesce(F.col("_m"), F.lit(0)).cast("int"))
+            .drop("_m"))
+    return {"pairs": due.select(*PAIR_KEY), "level_changes": lc,
+            "joins": _in_due(CH.joins_from(tl), due), "leaves": _in_due(CH.leaves_from(tl), due),
+            "rank_changes": _in_due(CH.rank_changes_from(tl), due)}
+
+
 def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
                       pair_limit: int = 100, world: str | None = None, guild_name: str | None = None,
                       cap: int = DEFAULT_CAP_MINUTES, roster_mode: str = "replace",
@@ -166,16 +165,9 @@ def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
     r = scope(roster, world, guild_name)
     tl = due_timeline(r, due) if timeline is None else timeline
 
-    lc_in = _in_due(CH.level_changes_from(tl, cap), due)
-    # Minutes come from the stored interval table, 0 when absent.
-    iv = state.intervals.select(*INTERVAL_KEY, F.col("estimated_online_minutes").alias("_m"))
-    lc_in = (lc_in.drop("estimated_online_minutes").join(iv, INTERVAL_KEY, "left")
-                  .withColumn("estimated_online_minutes", F.coalesce(F.col("_m"), F.lit(0)).cast("int"))
-                  .drop("_m"))
-    joins_in = _in_due(CH.joins_from(tl), due)
-    leaves_in = _in_due(CH.leaves_from(tl), due)
-    rank_in = _in_due(CH.rank_changes_from(tl), due)
-    pairs_in = due.select(*PAIR_KEY)
+    new = batch_events(tl, due, state.intervals, cap)
+    pairs_in, lc_in, joins_in, leaves_in, rank_in = (
+        new[k] for k in ("pairs", "level_changes", "joins", "leaves", "rank_changes"))
 
     pairs = guarded_append(state.pairs, pairs_in, PAIR_KEY)
     level_changes = guarded_append(state.level_changes, lc_in, INTERVAL_KEY)
@@ -216,16 +208,15 @@ def general_increment(roster: DataFrame, state: GeneralState, as_of: Column,
 
 
 def _counts_report(frames: dict[str, DataFrame], params: dict[str, object]) -> DataFrame:
-    """One report row: a count per step (each an aggregate, joined on a
-    constant key) plus the run's parameters."""
-    first = next(iter(frames.values()))
-    cols = [df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in frames.items()]
-    for k, v in params.items():
-        lit = F.lit(v)
-        if v is None:
-            lit = lit.cast("string")
-        cols.append(lit.alias(k))
-    return first.sparkSession.range(1).select(F.lit(True).alias("success"), *cols)
+    """One report row: a count per step (all of them one aggregate of one-row
+    partial counts) plus the run's parameters."""
+    counts = None
+    for name, df in frames.items():
+        one = df.agg(F.count(F.lit(1)).alias("_n")).select(F.lit(name).alias("_step"), "_n")
+        counts = one if counts is None else counts.unionByName(one)
+    row = counts.agg(*[F.max(F.when(F.col("_step") == name, F.col("_n"))).alias(name) for name in frames])
+    given = [F.lit(v).cast("string").alias(k) if v is None else F.lit(v).alias(k) for k, v in params.items()]
+    return row.select(F.lit(True).alias("success"), *frames, *given)
 
 
 def seed_ledger(intervals: DataFrame, as_of: Column) -> DataFrame:

@@ -1,13 +1,18 @@
-"""Persistent jobs over a ``TableStore``: ingest, online / general
-increments, full rebuild, retention.
-
-Write order makes every job safe to re-run after a lost executor or a crash
-at any point: the batch definition (due pairs) and the heavy intermediate
-(the due-restricted timeline / interval rows) are written first; result
-tables next, each as a new version; the ledger last; the run report is
-appended at the end. A crash before the ledger write leaves the ledger at
-the old version, so the next run selects the same due pairs and the keyed
-upserts / guarded appends produce the same tables again.
+"""Persistent jobs over partitioned tables: ingest, online / general increments,
+rebuilds, retention.
+
+A job takes the next batch number, writes its definition (the due pairs) under
+it, then its result rows, and its ledger rows last. Rows of a batch without
+ledger rows are not read. A job that died is taken up again with the same
+definition and number, and overwrites the partitions it had written.
+
+A guild is rebuilt by one small append to ``rebuilds``: its derived and ledger
+rows of all batches up to that number no longer count, so the next increments
+see all its pairs as due. That append is atomic; nothing is rewritten.
+
+Additive results are stored as parts per batch and summed when read: minutes per
+day and member, and the last signs of life. The latest roster is the stored
+members of each guild's newest snapshot with these signs.
 """
 
 from __future__ import annotations
@@ -15,15 +20,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwise.functions.exprs import DEFAULT_CAP_MINUTES
-from snapwise.operators.pairs import PAIR_KEY, scope
+from snapwise.functions.exprs import DEFAULT_CAP_MINUTES, is_online
+from snapwise.operators import activity as AC
+from snapwise.operators.pairs import PAIR_KEY, due_pairs, scope, snapshot_index
 from snapwise.plans import incremental as INC
-from snapwise.plans import rebuild as RB
 from snapwise.plans import retention as RT
-from snapwise.plans.store import TableStore
+from snapwise.plans.tables import BATCH, Tables
 from snapwise.sources import raw as RW
 
 TS = "timestamp_ntz"
+# The column contracts of the stored tables.
 SCHEMAS = {
     "members": f"snapshot_id string, extracted_at_utc {TS}, guild_name string, world string, "
                "character_name string, guild_rank string, vocation string, level int, status string, "
@@ -39,6 +45,11 @@ SCHEMAS = {
     "general_ledger": f"guild_name string, world string, previous_snapshot_time {TS}, "
                       f"latest_snapshot_time {TS}, processed_at_utc {TS}",
     "pairs": f"guild_name string, world string, previous_snapshot_time {TS}, latest_snapshot_time {TS}",
+    "signs": f"guild_name string, world string, character_name string, last_online_at {TS}, "
+             f"last_level_change_at {TS}",
+    "raw": f"snapshot_id string, guild_name string, source string, extracted_at_utc {TS}, raw_json string",
+    "rebuilds": "guild_name string, world string",
+    "run_log": f"run_type string, run_at_utc {TS}, report string",
     "snapshots": f"guild_name string, world string, extracted_at_utc {TS}",
     "level_changes": f"guild_name string, world string, character_name string, vocation string, "
                      f"guild_rank string, previous_level int, current_level int, level_gain int, "
@@ -55,188 +66,246 @@ SCHEMAS = {
                       f"guild_rank string, current_level int, latest_snapshot_time {TS}, "
                       f"last_connected_at {TS}",
 }
-MEMBER_KEY = ["guild_name", "world", "character_name", "extracted_at_utc"]
-# Upserted by key through revisioned parts; the latest roster is replaced per guild.
-KEYED = {"days": ["world", "guild_name", "character_name", "activity_date"],
-         "totals": ["world", "guild_name", "character_name"]}
-GROUP_REPLACED = {"latest_members": ["world", "guild_name"]}
-APPEND_ONLY = ("intervals", "online_ledger", "pairs", "level_changes", "joins", "leaves", "rank_changes",
-               "general_ledger", "run_log", "snapshots")
+SNAPSHOT_KEY = ["world", "guild_name", "extracted_at_utc"]
+MEMBER_KEY = ["guild_name", "world", "character_name"]
+ROW_KEY = [*MEMBER_KEY, "extracted_at_utc"]
+GUILD_KEY = ["guild_name", "world"]
+#: The ledger that commits the batches of each kind of job, and the tables of
+#: the kind that a reader must not see before.
+LEDGERS = {"online": "online_ledger", "general": "general_ledger"}
+KIND = {"intervals": "online", "days": "online", "totals": "online", "online_ledger": "online",
+        "pairs": "general", "level_changes": "general", "joins": "general", "leaves": "general",
+        "rank_changes": "general", "general_ledger": "general"}
 
 
 class SnapshotJobs:
-    def __init__(self, spark: SparkSession, root: str):
+    """``dense`` keeps days and members without minutes."""
+
+    def __init__(self, spark: SparkSession, root: str, dense: bool = False):
         self.spark = spark
-        self.store = TableStore(spark, root)
+        self.dense = dense
+        self.store = Tables(spark, root)
 
     # -- state --------------------------------------------------------------
+    def _new_batch(self, kind: str) -> int:
+        number = max(self.store.batches("batches"), default=0) + 1
+        self.store.put("batches", self.spark.range(1).select(F.lit(kind).alias("kind")), number)
+        return number
+
+    def _open(self, kind: str) -> set[int]:
+        """Batches of a kind that are defined and not committed: at most one."""
+        return self.store.batches(f"due_{kind}") - self.store.batches(LEDGERS[kind])
+
+    def _stored(self, name: str) -> DataFrame:
+        """Rows of committed batches that no later rebuild voids."""
+        df = self.store.read(name, SCHEMAS[name])
+        kinds = [KIND[name]] if name in KIND else list(LEDGERS)
+        gone = set().union(*(self._open(k) for k in kinds))
+        if gone:
+            df = df.filter(~F.col(BATCH).isin(*gone))
+        if self.store.exists("rebuilds"):
+            void = self.store.read("rebuilds", SCHEMAS["rebuilds"]).groupBy(*GUILD_KEY).agg(F.max(BATCH).alias("_void"))
+            df = df.join(void, GUILD_KEY, "left").filter(F.col(BATCH) > F.coalesce("_void", F.lit(-1))).drop("_void")
+        return df
+
     def table(self, name: str) -> DataFrame:
-        empty = self.spark.createDataFrame([], SCHEMAS[name])
-        if not self.store.exists(name):
-            return empty
-        if name in KEYED:
-            df = self.store.read_latest_by(name, KEYED[name])
-        elif name in GROUP_REPLACED:
-            df = self.store.read_latest_by(name, GROUP_REPLACED[name], whole_group=True)
-        else:
-            df = self.store.read(name)
-        return df.select(*empty.columns)
+        """The rows of a table as a reader sees them."""
+        if name == "members":
+            return self.members()
+        if name == "latest_members":
+            return self.latest_members()
+        if name in ("snapshots", "raw", "run_log"):
+            return self.store.read(name, SCHEMAS[name]).drop(BATCH)
+        rows = self._stored(name)
+        columns = [c for c in rows.columns if c != BATCH]
+        if name in ("days", "totals"):
+            sums = [c for c in ("estimated_online_minutes", "online_interval_rows") if c in columns]
+            rows = rows.groupBy(*[c for c in columns if c not in sums]).agg(*[F.sum(c).cast("int").alias(c) for c in sums])
+            if not self.dense:
+                rows = rows.filter(F.col("estimated_online_minutes") > 0)
+        elif name == "signs":
+            rows = rows.groupBy(*MEMBER_KEY).agg(*[F.max(c).alias(c) for c in ("last_online_at", "last_level_change_at")])
+        return rows.select(*self._columns(name))
+
+    @staticmethod
+    def _columns(name: str) -> list[str]:
+        return [c.split()[0] for c in SCHEMAS[name].split(", ")]
+
+    def _members(self) -> DataFrame:
+        return self.store.read("members", SCHEMAS["members"], f"snapshot_date date, {BATCH} long")
 
     def members(self) -> DataFrame:
-        return self.table("members")
+        return self._members().select(*self._columns("members"))
 
     def snapshots(self) -> DataFrame:
         """One row per stored poll (world, guild, time): the pairing input."""
         return self.table("snapshots")
 
-    def members_between(self, lo, hi) -> DataFrame:
-        """Member rows of snapshot dates lo..hi only: a filter on the partition
-        column, so the scan reads just those date folders."""
-        if not self.store.exists("members"):
-            return self.members()
-        m = self.store.read("members").filter(F.col("snapshot_date").between(F.lit(lo), F.lit(hi)))
-        return m.select(*self.members().columns)
-
-    def _batch_dates(self, due: DataFrame, extra_times: DataFrame | None = None):
-        """Smallest and largest snapshot date a batch reads (two scalars)."""
-        times = due.select(F.col("previous_snapshot_time").alias("t")).unionByName(
-            due.select(F.col("latest_snapshot_time").alias("t")))
-        if extra_times is not None:
-            times = times.unionByName(extra_times.select(F.col(extra_times.columns[0]).alias("t")))
-        row = times.agg(F.to_date(F.min("t")).alias("lo"), F.to_date(F.max("t")).alias("hi")).first()
-        return row["lo"], row["hi"]
+    def members_at(self, times: DataFrame) -> DataFrame:
+        """Member rows of the given (world, guild, time) snapshots. The join also
+        has the partition date, so only those date folders are read."""
+        times = times.distinct().withColumn("snapshot_date", F.to_date("extracted_at_utc"))
+        return self._members().join(times, [*SNAPSHOT_KEY, "snapshot_date"], "left_semi").select(*self._columns("members"))
 
-    def online_state(self) -> INC.OnlineState:
-        return INC.OnlineState(self.table("intervals"), self.table("days"), self.table("totals"),
-                               self.table("online_ledger"))
+    def latest_members(self) -> DataFrame:
+        newest = self.snapshots().groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("extracted_at_utc"))
+        return self.members_at(newest).join(self.table("signs"), MEMBER_KEY, "left").select(
+            *MEMBER_KEY, "vocation", "guild_rank", F.col("level").alias("current_level"),
+            F.col("extracted_at_utc").alias("latest_snapshot_time"),
+            F.greatest("last_online_at", "last_level_change_at").alias("last_connected_at")) \
+            .select(*self._columns("latest_members"))
 
-    def general_state(self) -> INC.GeneralState:
-        return INC.GeneralState(self.table("pairs"), self.table("level_changes"), self.table("joins"),
-                                self.table("leaves"), self.table("rank_changes"),
-                                self.table("latest_members"), self.table("general_ledger"),
-                                self.table("intervals"))
+    def online_state(self) -> INC.OnlineState:
+        return INC.OnlineState(*(self.table(n) for n in ("intervals", "days", "totals", "online_ledger")))
 
-    def _log(self, run_type: str, as_of: Column, report: DataFrame) -> DataFrame:
+    def _log(self, run_type: str, as_of: Column, report: DataFrame, batch: int) -> DataFrame:
         row = report.select(F.lit(run_type).alias("run_type"), as_of.alias("run_at_utc"),
                             F.to_json(F.struct(*report.columns)).alias("report"))
-        self.store.append("run_log", row)
+        self.store.put("run_log", row, batch)
         return report
 
-    # -- ingest (A10) -------------------------------------------------------
-    def ingest_envelopes(self, envelopes: DataFrame) -> None:
-        """Flatten landed envelopes and insert new member rows."""
-        self.ingest_members(RW.flatten(envelopes, clean=True).filter(F.col("world").isNotNull()))
-
-    def ingest_members(self, rows: DataFrame) -> None:
-        """A10 insert-ignore as an appended part partitioned by snapshot date.
-
-        The guard reads only the stored rows of the incoming snapshots
-        (semi-join on the small set of (world, guild, time) keys), so a
-        replayed batch writes nothing and a new batch costs O(batch)."""
-        stored = self.members()
-        rows = rows.select(*stored.columns)
-        snaps = rows.select("world", "guild_name", "extracted_at_utc").distinct()
-        stored_same = stored.join(snaps, ["world", "guild_name", "extracted_at_utc"], "left_semi")
-        new = RW.insert_ignore(stored_same, rows, MEMBER_KEY)
-        self.store.append_part("members", new.withColumn("snapshot_date", F.to_date("extracted_at_utc")),
-                               partition_by=["snapshot_date"])
-        # the poll list (small: one row per snapshot), written after the members
-        known = self.snapshots()
-        self.store.append_part("snapshots", snaps.select(*known.columns).join(
-            known, ["world", "guild_name", "extracted_at_utc"], "left_anti"))
+    # -- ingest (A04, A10) --------------------------------------------------
+    def ingest_envelopes(self, envelopes: DataFrame, as_of: Column | None = None, clean: bool = True) -> DataFrame:
+        """Store the raw documents, insert their new member rows, log the run;
+        returns its one-row report."""
+        envelopes = self.store.work(envelopes)
+        batch = self._new_batch("ingest")
+        raw = RW.raw_table(envelopes).distinct()
+        known = self.table("raw").select("snapshot_id", "raw_json")
+        raw = self.store.work(raw.join(known, ["snapshot_id", "raw_json"], "left_anti").select(*self._columns("raw")))
+        rows = RW.flatten(envelopes, clean=clean).filter(F.col("world").isNotNull())
+        new, late = self._ingest(rows, batch)
+        if not raw.isEmpty():
+            self.store.put("raw", raw, batch)
+        as_of = F.lit(None).cast(TS) if as_of is None else as_of
+        counts = INC._counts_report({"document_rows": envelopes, "raw_rows": raw, "member_rows": new,
+                                     "rebuilt_guilds": late}, {})
+        counts = self.store.work(counts)
+        self._log("ingest", as_of, counts, batch)
+        return counts
+
+    def ingest_members(self, rows: DataFrame) -> DataFrame:
+        """A10 insert-ignore; returns the rows that were added.
+
+        The guard reads only the stored rows of the incoming snapshots, so a
+        redelivered batch writes nothing and a new one costs O(batch)."""
+        return self._ingest(rows, None)[0]
+
+    def _ingest(self, rows: DataFrame, batch: int | None) -> tuple[DataFrame, DataFrame]:
+        rows = self.store.work(rows.select(*self._columns("members")))
+        snaps = rows.select(*SNAPSHOT_KEY).distinct()
+        new = self.store.work(RW.insert_ignore(self.members_at(snaps), rows, ROW_KEY))
+        late = self.store.work(late_guilds(new, self._taken_pairs()))
+        unknown = self.store.work(snaps.join(self.snapshots(), SNAPSHOT_KEY, "left_anti"))
+        empty = new.isEmpty()
+        if empty and unknown.isEmpty():
+            return new, late
+        batch = self._new_batch("ingest") if batch is None else batch
+        # First the mark: a crash after it costs a rebuild, one before the
+        # members are stored leaves the delivery to be repeated.
+        if not late.isEmpty():
+            self.store.put("rebuilds", late.select(*self._columns("rebuilds")), batch)
+        if not empty:
+            self.store.put("members", new.withColumn("snapshot_date", F.to_date("extracted_at_utc")), batch,
+                           ("snapshot_date",))
+        self.store.put("snapshots", unknown.select(*self._columns("snapshots")), batch)
+        return new, late
 
     # -- increments (K01-K03) ----------------------------------------------
-    def run_online(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
-                   guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES,
-                   dense: bool = False) -> DataFrame:
-        snaps = self.snapshots()
-        st = self.online_state()
-        from snapwise.operators.pairs import due_pairs, snapshot_index
-        due = self.store.write("_due_online", due_pairs(snaps, st.ledger, pair_limit, world, guild_name))
-        if due.isEmpty():
-            return self._log("online", as_of, self._empty_report())
-        lo, hi = self._batch_dates(due)
-        roster = scope(self.members_between(lo, hi), world, guild_name)
-        tl = INC.due_timeline(roster, due, index=snapshot_index(snaps))
-        new_iv = self.store.write("_new_online_intervals", INC.batch_intervals(tl, due, cap, dense))
-        inc = INC.apply_online(st, due, new_iv, as_of, pair_limit, world, guild_name, dense)
-        report = self.store.write("_report_online", inc.report)
-        self._append_new("intervals", st.intervals, inc.extra["intervals"], due, INC.INTERVAL_KEY)
-        # keyed upserts as revisions: only the recomputed affected rows are written
-        self.store.append_revision("days", inc.extra["days"])
-        self.store.append_revision("totals", inc.extra["totals"])
-        # last: commits the batch
-        self._append_new("online_ledger", st.ledger, inc.extra["online_ledger"], due, PAIR_KEY)
-        return self._log("online", as_of, report)
-
-    def run_general(self, as_of: Column, pair_limit: int = 100, world: str | None = None,
-                    guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES,
-                    roster_mode: str = "replace") -> DataFrame:
-        snaps = self.snapshots()
-        st = self.general_state()
-        from snapwise.operators.pairs import due_pairs, snapshot_index
-        due = self.store.write("_due_general", due_pairs(snaps, st.ledger, pair_limit, world, guild_name))
-        if due.isEmpty():
-            return self._log("general", as_of, self._empty_report())
-        # The batch reads its own snapshots plus the newest snapshot of each
-        # touched guild (for the latest roster); nothing older.
-        touched_latest = (snaps.join(due.select("world", "guild_name").distinct(), ["world", "guild_name"],
-                                     "left_semi")
-                               .groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("t"))
-                               .select("t"))
-        lo, hi = self._batch_dates(due, touched_latest)
-        roster = self.members_between(lo, hi)
-        tl = self.store.write("_due_timeline",
-                              INC.due_timeline(scope(roster, world, guild_name), due, index=snapshot_index(snaps)))
-        inc = INC.general_increment(roster, st, as_of, pair_limit, world, guild_name, cap, roster_mode,
-                                    due=due, timeline=tl)
-        report = self.store.write("_report_general", inc.report)
-        keys = {"pairs": PAIR_KEY, "level_changes": INC.INTERVAL_KEY, "joins": INC.INTERVAL_KEY,
-                "leaves": INC.INTERVAL_KEY, "rank_changes": INC.INTERVAL_KEY}
-        for name, key in keys.items():
-            self._append_new(name, getattr(st, name), inc.extra[name], due, key)
-        if roster_mode == "replace":
-            # the touched guilds' fresh rosters, each replacing its guild whole
-            self.store.append_revision("latest_members", inc.extra["latest_members"])
-        else:
-            self.store.write("latest_members", inc.state.latest_members)
-        self._append_new("general_ledger", st.ledger, inc.extra["general_ledger"], due, PAIR_KEY)  # last
-        return self._log("general", as_of, report)
-
-    def _append_new(self, name: str, stored: DataFrame, incoming: DataFrame, due: DataFrame,
-                    key: list[str]) -> None:
-        """Guarded append of one increment's rows as a new part: the guard
-        only reads the stored rows of the due pairs (broadcast semi-join),
-        and only the new rows are written - O(batch), not O(table)."""
-        stored_due = stored.join(due.select(*PAIR_KEY), PAIR_KEY, "left_semi")
-        add = incoming.select(*stored.columns).join(stored_due.select(*key), key, "left_anti")
-        self.store.append_part(name, add)
-
-    def compact(self, min_parts: int = 32) -> list[str]:
-        """Fold accumulated parts of the append-only tables into versions."""
-        done = []
-        for name in APPEND_ONLY:
-            if self.store.exists(name) and self.store.compact(name, min_parts):
-                done.append(name)
-        if self.store.exists("members") and self.store.compact("members", min_parts, ["snapshot_date"]):
-            done.append("members")
-        for name in (*KEYED, *GROUP_REPLACED):
-            if self.store.exists(name) and self.store.part_count(name) >= min_parts:
-                self.store.write(name, self.table(name))  # resolved rows, revision 0
-                done.append(name)
-        return done
-
-    def run_until_caught_up(self, as_of: Column, pair_limit: int = 100, max_runs: int = 1000) -> int:
-        """Online then general (N07 order) until no due pairs remain."""
-        runs = 0
-        while runs < max_runs:
-            a = self.run_online(as_of, pair_limit).first()["processed_pairs"]
-            b = self.run_general(as_of, pair_limit).first()["processed_pairs"]
-            runs += 1
-            if a == 0 and b == 0:
-                break
-        self.compact()
-        return runs
+    def _taken_pairs(self) -> DataFrame:
+        """The pairs of committed and open batches."""
+        pairs = self.table("online_ledger").select(*PAIR_KEY).unionByName(self.table("general_ledger").select(*PAIR_KEY))
+        for kind in LEDGERS:
+            if left := self._open(kind):
+                pairs = pairs.unionByName(self.store.read(f"due_{kind}", SCHEMAS["pairs"])
+                                          .filter(F.col(BATCH).isin(*left)).select(*PAIR_KEY))
+        return pairs
+
+    def _take(self, kind: str, pair_limit: int | None, world: str | None, guild_name: str | None):
+        """(batch number, due pairs) of an open batch, else of a new one; the
+        number is None where nothing is due."""
+        name = f"due_{kind}"
+        left = self._open(kind)
+        if not left:
+            due = self.store.work(due_pairs(self.snapshots(), self.table(LEDGERS[kind]), pair_limit, world, guild_name))
+            if due.isEmpty():
+                return None, due
+            left = {self._new_batch(kind)}
+            self.store.put(name, due.select(*PAIR_KEY), *left)
+        batch = min(left)
+        due = self.store.read(name, SCHEMAS["pairs"]).filter(F.col(BATCH) == batch).select(*PAIR_KEY)
+        return batch, due
+
+    def _timeline(self, due: DataFrame) -> DataFrame:
+        """The timeline of the due pairs' own snapshots; nothing older is read."""
+        times = due.select("world", "guild_name", F.col("previous_snapshot_time").alias("extracted_at_utc")) \
+            .unionByName(due.select("world", "guild_name", F.col("latest_snapshot_time").alias("extracted_at_utc")))
+        return INC.due_timeline(self.members_at(times), due, index=snapshot_index(self.snapshots()))
+
+    def _commit(self, kind: str, due: DataFrame, as_of: Column, batch: int) -> None:
+        self.store.put(LEDGERS[kind], due.select(*PAIR_KEY, as_of.alias("processed_at_utc")), batch)
+
+    def _rows_of(self, name: str, batch: int) -> DataFrame:
+        return self.store.read(name, SCHEMAS[name]).filter(F.col(BATCH) == batch).drop(BATCH)
+
+    def run_online(self, as_of: Column, pair_limit: int | None = 100, world: str | None = None,
+                   guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES) -> DataFrame:
+        batch, due = self._take("online", pair_limit, world, guild_name)
+        if batch is None:
+            return self._empty_report()
+        rows = INC.batch_intervals(self._timeline(due), due, cap, self.dense)
+        self.store.put("intervals", rows.select(*self._columns("intervals")), batch)
+        new = self._rows_of("intervals", batch)
+        self.store.put("days", AC.minutes_by_day(new, keep_zero=True), batch)
+        self.store.put("totals", AC.minutes_total(new, keep_zero=True), batch)
+        self.store.put("signs", new.filter(is_online(F.col("previous_status"))).groupBy(*MEMBER_KEY).agg(
+            F.max("previous_snapshot_time").alias("last_online_at"),
+            F.lit(None).cast(TS).alias("last_level_change_at")), batch)
+        self._commit("online", due, as_of, batch)
+        day_key = [*MEMBER_KEY, "activity_date"]
+        report = self.store.work(INC._counts_report(
+            {"processed_pairs": due, "online_interval_rows": new,
+             "daily_online_minutes_rows": self.table("days").join(self._rows_of("days", batch), day_key, "left_semi"),
+             "all_time_online_minutes_rows": self.table("totals").join(self._rows_of("totals", batch), MEMBER_KEY, "left_semi"),
+             "processed_pair_rows_written": due},
+            {"scope_world": world, "scope_guild_name": guild_name, "pair_limit": pair_limit,
+             "storage_policy": "dense_intervals" if self.dense else "store_previous_online_intervals_only"}))
+        return self._log("online", as_of, report, batch)
+
+    def run_general(self, as_of: Column, pair_limit: int | None = 100, world: str | None = None,
+                    guild_name: str | None = None, cap: int = DEFAULT_CAP_MINUTES) -> DataFrame:
+        batch, due = self._take("general", pair_limit, world, guild_name)
+        if batch is None:
+            return self._empty_report()
+        minutes = self.table("intervals").join(due, PAIR_KEY, "left_semi")
+        events = INC.batch_events(self.store.work(self._timeline(due)), due, minutes, cap)
+        for name, rows in events.items():
+            self.store.put(name, rows.select(*self._columns(name)), batch)
+        self.store.put("signs", self._rows_of("level_changes", batch).groupBy(*MEMBER_KEY).agg(
+            F.lit(None).cast(TS).alias("last_online_at"),
+            F.max("latest_snapshot_time").alias("last_level_change_at")), batch)
+        self._commit("general", due, as_of, batch)
+        touched = due.select("world", "guild_name").distinct()
+        newest = self.snapshots().join(touched, ["world", "guild_name"], "left_semi") \
+            .groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("extracted_at_utc"))
+        report = self.store.work(INC._counts_report(
+            {"processed_pairs": due, "snapshot_pair_rows": self._rows_of("pairs", batch),
+             "level_change_rows": self._rows_of("level_changes", batch), "join_rows": self._rows_of("joins", batch),
+             "leave_rows": self._rows_of("leaves", batch), "rank_change_rows": self._rows_of("rank_changes", batch),
+             "latest_member_rows": self.members_at(newest), "processed_pair_rows_written": due},
+            {"scope_world": world, "scope_guild_name": guild_name, "pair_limit": pair_limit}))
+        return self._log("general", as_of, report, batch)
+
+    def run_until_caught_up(self, as_of: Column, pair_limit: int | None = 100) -> int:
+        """Online then general (N07 order) until no pair is due; the number of
+        rounds. Each round commits its pairs, so their number only falls."""
+        rounds = 0
+        while True:
+            done = [job(as_of, pair_limit).first()["processed_pairs"] for job in (self.run_online, self.run_general)]
+            self.store.clear_work()
+            rounds += 1
+            if not any(done):
+                return rounds
 
     def _empty_report(self) -> DataFrame:
         return self.spark.range(1).select(F.lit(True).alias("success"),
@@ -244,40 +313,54 @@ class SnapshotJobs:
                                           F.lit("No unprocessed snapshot pairs found").alias("message"))
 
     # -- rebuild / retention (K04, K06, K14) -------------------------------
-    def rebuild_all(self, cap: int = DEFAULT_CAP_MINUTES) -> None:
-        tables = RB.rebuild_all(self.members(), cap)
-        for name, df in tables.items():
-            self.store.write(name, df)
+    def rebuild(self, as_of: Column, world: str | None = None, guild_name: str | None = None,
+                pair_limit: int | None = None) -> DataFrame:
+        """Recompute a guild, a world or everything from the members:
+        mark it, then run the increments over all its pairs at once (or in
+        batches). Other guilds' rows are neither read nor written. Returns the
+        row counts of the scope by table; the ledgers hold its pairs."""
+        guilds = scope(self.snapshots(), world, guild_name).select(*GUILD_KEY).distinct()
+        self.store.put("rebuilds", guilds.select(*self._columns("rebuilds")), self._new_batch("rebuild"))
+        for job in (self.run_online, self.run_general):
+            while job(as_of, pair_limit, world, guild_name).first()["processed_pairs"]:
+                pass
+        names = ("pairs", "level_changes", "joins", "leaves", "rank_changes", "intervals", "days", "totals",
+                 "latest_members")
+        return self.store.work(INC._counts_report(
+            {f"{n}_rows": scope(self.table(n), world, guild_name) for n in names},
+            {"scope_world": world, "scope_guild_name": guild_name}))
 
     def run_retention(self, days: int = 7) -> DataFrame:
-        tables = {k: self.table(k) for k in ("days", "intervals", "level_changes", "joins", "leaves",
-                                             "rank_changes", "pairs", "members")}
-        tables["raw"] = self.snapshots()
-        kept, report = RT.apply_retention(tables, days)
-        report = self.store.write("_report_retention", report)
-        for key in ("days", "intervals", "level_changes", "joins", "leaves", "rank_changes", "pairs"):
-            self.store.write(key, kept[key])
-        self.store.write("members", kept["members"].withColumn("snapshot_date", F.to_date("extracted_at_utc")),
-                         partition_by=["snapshot_date"])
-        self.store.write("snapshots", kept["raw"].select(*self.snapshots().columns))
+        """Report the rows older than the cutoff, then drop them. Only the
+        partitions that hold such rows are touched; a crash leaves rows that the
+        next run drops."""
+        names = ("days", "intervals", "level_changes", "joins", "leaves", "rank_changes", "pairs", "members", "raw")
+        tables = {n: self.table(n) for n in names}
+        # Snapshots that came without a document still age (A10 alone).
+        if not self.store.exists("raw"):
+            tables["raw"] = self.snapshots()
+        report = self.store.work(RT.apply_retention(tables, days)[1])
+        cutoff = tables["raw"].agg(F.timestamp_add("DAY", F.lit(-int(days)), F.max("extracted_at_utc"))).first()[0]
+        if cutoff is None:
+            return report
+        cut = F.lit(cutoff).cast(TS)
+        steps = {key: (col, by_date) for _, key, col, by_date in RT.RETENTION_STEPS}
+        for name in (*names, "snapshots"):
+            if self.store.exists(name):
+                col, by_date = steps.get(name, ("extracted_at_utc", False))
+                fresh = F.coalesce(F.col(col) >= (F.to_date(cut) if by_date else cut), F.lit(True))
+                by = ("snapshot_date",) if name == "members" else ()
+                rows = self._members() if by else self.store.read(name, SCHEMAS[name])
+                self.store.keep(name, rows, fresh, by)
         return report
 
 
 def late_guilds(new_members: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Guilds that received a snapshot older than their newest processed
-    pair end (it would split an already processed pair)."""
+    """Guilds that received rows of a snapshot at or before their newest
+    processed pair end: an older snapshot splits a processed pair, further rows
+    of a processed one change its joins, leaves and roster."""
     frontier = ledger.groupBy("world", "guild_name").agg(F.max("latest_snapshot_time").alias("_f"))
-    t = new_members.select("world", "guild_name", "extracted_at_utc").distinct()
+    t = new_members.select(*SNAPSHOT_KEY).distinct()
     return (t.join(frontier, ["world", "guild_name"])
-             .filter(F.col("extracted_at_utc") < F.col("_f"))
+             .filter(F.col("extracted_at_utc") <= F.col("_f"))
              .select("world", "guild_name").distinct())
-
-
-def invalidate(jobs: SnapshotJobs, guilds: DataFrame) -> None:
-    """Drop every derived row and ledger entry of ``guilds`` so the next
-    increments rebuild them from the member snapshots (scoped rebuild)."""
-    key = ["world", "guild_name"]
-    for name in ("intervals", "days", "totals", "online_ledger", "general_ledger", "pairs",
-                 "level_changes", "joins", "leaves", "rank_changes", "latest_members"):
-        if jobs.store.exists(name):
-            jobs.store.write(name, jobs.table(name).join(guilds, key, "left_anti"))

@@ -2,9 +2,8 @@
 
 A rebuild recomputes every result table from the member snapshots with the
 one-pass timeline. A scoped rebuild recomputes one (world, guild) and
-replaces only that guild's rows; stored tables partitioned by world and
-guild let the job layer overwrite just those partitions (dynamic partition
-overwrite) instead of rewriting the table.
+replaces only that guild's rows (the stored form, which touches no other guild,
+is ``SnapshotJobs.rebuild``).
 """
 
 from __future__ import annotations
@@ -22,9 +21,11 @@ RESULT_TABLES = ("pairs", "level_changes", "joins", "leaves", "rank_changes", "i
                  "days", "totals", "latest_members")
 
 
-def rebuild_all(roster: DataFrame, cap: int = DEFAULT_CAP_MINUTES) -> dict[str, DataFrame]:
-    """Every result table, in dependency order, from one timeline."""
-    tl = CH.timeline(roster)
+def rebuild_all(roster: DataFrame, cap: int = DEFAULT_CAP_MINUTES,
+                timeline: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every result table, in dependency order, from one timeline (a caller
+    that uses several of them passes the timeline written once)."""
+    tl = CH.timeline(roster) if timeline is None else timeline
     iv = AC.intervals_from(tl, cap)
     lc = CH.level_changes_from(tl, cap)
     return {

@@ -1,8 +1,8 @@
 """Serving views (A11): named, read-only column contracts over the stored
 result tables, registered as temporary views for SQL readers.
 
-A view is a projection of a stored (versioned) table, so readers always see
-the newest complete version; the column lists are the dashboard contracts.
+A view is a projection of a stored table (``SnapshotJobs.table``), so readers see
+committed batches only; the column lists are the dashboard contracts.
 """
 
 from __future__ import annotations

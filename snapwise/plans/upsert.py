@@ -1,14 +1,13 @@
 """Keyed merge primitives.
 
 No table format with MERGE is assumed. An upsert is a keyed full outer join
-(or anti-join + union) producing the next version of the table, which the
-job layer writes as a new version; idempotent by construction.
+(or anti-join + union) producing the next state of the table; idempotent by
+construction.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
@@ -22,26 +21,6 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     return kept.unionByName(inc)
 
 
-def upsert_columns(stored: DataFrame, incoming: DataFrame, key: list[str],
-                   rules: dict[str, F.Column]) -> DataFrame:
-    """ON CONFLICT (key) DO UPDATE with per-column rules.
-
-    ``rules`` maps a column to an expression over ``s_<col>`` (stored) and
-    ``i_<col>`` (incoming); unlisted columns take incoming when the key
-    matched or was new, else stored."""
-    cols = [c for c in stored.columns if c not in key]
-    s = stored.select(*key, *[F.col(c).alias("s_" + c) for c in cols], F.lit(True).alias("_s"))
-    i = incoming.select(*key, *[F.col(c).alias("i_" + c) for c in cols], F.lit(True).alias("_i"))
-    j = s.join(i, key, "full_outer")
-    has_i = F.coalesce(F.col("_i"), F.lit(False))
-    out = []
-    for c in cols:
-        default = F.when(has_i, F.col("i_" + c)).otherwise(F.col("s_" + c))
-        out.append(F.when(has_i & F.col("_s").isNotNull(), rules[c]).otherwise(default).alias(c)
-                   if c in rules else default.alias(c))
-    return j.select(*key, *out).select(*stored.columns)
-
-
 def guarded_append(stored: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """C20: INSERT ... WHERE NOT EXISTS (same key already stored)."""
     new = incoming.join(stored.select(*key), key, "left_anti")

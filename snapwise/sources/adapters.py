@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapwise.functions.exprs import idiv, micros_between
+from snapwise.sources.raw import snapshot_key
 from snapwise.sources.tables import read_table
 
 # ---------------------------------------------------------------------------
@@ -86,16 +87,10 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.lit("offline")).alias("status"),
                  F.col("joined"),
              ))
-    out = out.withColumn("snapshot_id", snapshot_id(F.col("guild_name"), F.col("extracted_at_utc")))
+    out = out.withColumn("snapshot_id", snapshot_key(F.col("world"), F.col("guild_name"), F.col("extracted_at_utc")))
     return out.select(*ROSTER_COLUMNS)
 
 
-def snapshot_id(guild, t):
-    """Deterministic snapshot id from (entity, time): replays produce the same id."""
-    micros = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t)
-    return F.sha2(F.concat_ws("|", guild, micros.cast("string")), 256)
-
-
 def market_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw market payload rows: (world, item_id, id, time, buy_offer, sell_offer)."""
     ev = read_table(spark, sf_dir, "events")

@@ -10,14 +10,12 @@ chunks), so no single task ever builds one unbounded document.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapwise.functions.exprs import nonempty, parse_joined_date, slug
-from snapwise.session import scratch_path
+from snapwise.session import fresh_dir  # noqa: F401  (landing folders)
 
 SOURCE_NAME = "roster_api"
 ENTITY_TYPE = "guild"
@@ -59,10 +57,11 @@ def parse_iso_utc(s) -> F.Column:
     return F.to_timestamp(s).cast("timestamp_ntz")
 
 
-def snapshot_key(entity, t) -> F.Column:
-    """Deterministic snapshot id from entity and time (replays give the same id)."""
+def snapshot_key(world, entity, t) -> F.Column:
+    """Deterministic snapshot id from world (null: empty), entity and time
+    (replays give the same id)."""
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t)
-    return F.sha2(F.concat_ws("|", entity, micros.cast("string")), 256)
+    return F.sha2(F.concat_ws("|", F.coalesce(world, F.lit("")), entity, micros.cast("string")), 256)
 
 
 def envelopes_from_roster(roster: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
@@ -71,9 +70,12 @@ def envelopes_from_roster(roster: DataFrame, source: str = SOURCE_NAME) -> DataF
     Columns: the envelope struct fields plus ``snapshot_date`` (partition).
     """
     snap = ["world", "guild_name", "extracted_at_utc"]
-    sizes = roster.groupBy(*snap).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = roster.groupBy(*snap).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(c).alias(f"_{c}") for c in snap], "_n")
     chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(MEMBERS_PER_DOCUMENT)))
-    r = roster.join(sizes, snap).withColumn(
+    # Documents without a world are landed too.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in snap]
+    r = roster.join(sizes, same[0] & same[1] & same[2]).withColumn(
         "_chunk", F.pmod(F.xxhash64("character_name"), chunks.cast("bigint")))
     member = F.struct(
         F.col("character_name").alias("name"), F.lit(None).cast("string").alias("title"),
@@ -121,7 +123,7 @@ def raw_table(envelopes: DataFrame) -> DataFrame:
     """Raw document rows with id, entity, source, time and full JSON."""
     t = parse_iso_utc(F.col("metadata.extracted_at_utc"))
     return envelopes.select(
-        snapshot_key(F.col("metadata.entity_name"), t).alias("snapshot_id"),
+        snapshot_key(F.col("data.guild.world"), F.col("metadata.entity_name"), t).alias("snapshot_id"),
         F.col("metadata.entity_name").alias("guild_name"),
         F.col("metadata.source").alias("source"),
         t.alias("extracted_at_utc"),
@@ -136,7 +138,7 @@ def flatten(envelopes: DataFrame, clean: bool = True) -> DataFrame:
     """
     t = parse_iso_utc(F.col("metadata.extracted_at_utc"))
     base = envelopes.select(
-        snapshot_key(F.col("metadata.entity_name"), t).alias("snapshot_id"),
+        snapshot_key(F.col("data.guild.world"), F.col("metadata.entity_name"), t).alias("snapshot_id"),
         t.alias("extracted_at_utc"),
         F.col("metadata.entity_name").alias("guild_name"),
         F.col("data.guild.world").alias("world"),
@@ -165,8 +167,3 @@ def insert_ignore(stored: DataFrame, incoming: DataFrame, key: list[str]) -> Dat
     """A10: rows of ``incoming`` whose key is not stored yet (deduplicated)."""
     fresh = incoming.dropDuplicates(key)
     return fresh.join(stored.select(*key), key, "left_anti")
-
-
-def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint folder."""
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")

@@ -9,8 +9,9 @@ a batch the way its pair limit bounds a run.
 
 Exactly-once comes from the state, not from the sink: a re-delivered batch
 inserts nothing new (keyed insert-ignore) and finds no due pairs (ledger).
-Late snapshots (older than a guild's processed frontier, N20) invalidate
-that guild's derived rows, which the same batch then rebuilds.
+Rows of a snapshot at or before a guild's processed frontier (N20), also a
+later part of a snapshot that came in several files, void that guild's derived
+rows, which the same batch then rebuilds.
 """
 
 from __future__ import annotations
@@ -19,24 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from snapwise.plans.jobs import SnapshotJobs, invalidate, late_guilds
-from snapwise.session import scratch_path
+from snapwise.plans.jobs import SnapshotJobs
+from snapwise.session import fresh_dir
 from snapwise.sources import raw as RW
 
 
 def process_batch(spark: SparkSession, root: str, batch: DataFrame, pair_limit: int,
                   clean: bool = True) -> None:
     jobs = SnapshotJobs(spark, root)
-    rows = RW.flatten(batch, clean=clean).filter(F.col("world").isNotNull())
-    rows = jobs.store.write("_batch_members", rows)
-    if rows.isEmpty():
-        return
-    late = late_guilds(rows, jobs.table("online_ledger"))
-    jobs.ingest_members(rows)
-    if not late.isEmpty():
-        invalidate(jobs, jobs.store.write("_late_guilds", late))
+    jobs.ingest_envelopes(batch, clean=clean)
     # The run time recorded in ledgers is the data's newest snapshot time.
-    as_of = jobs.members().agg(F.max("extracted_at_utc")).first()[0]
+    as_of = jobs.snapshots().agg(F.max("extracted_at_utc")).first()[0]
     jobs.run_until_caught_up(F.lit(as_of).cast("timestamp_ntz"), pair_limit)
 
 
@@ -51,7 +45,7 @@ def start(spark: SparkSession, landing_dir: str, root: str, checkpoint: str | No
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
     stream = reader.json(landing_dir)
-    ckpt = checkpoint or scratch_path(spark, "stream-checkpoint")
+    ckpt = checkpoint or fresh_dir(spark, "stream-checkpoint")
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
         process_batch(batch_df.sparkSession, root, batch_df, pair_limit, clean)

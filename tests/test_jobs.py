@@ -1,119 +1,192 @@
-"""Persistent jobs: incremental in any batch size == full rebuild; reruns
-and crash replays change nothing; the store never reads a partial write."""
+"""Persistent jobs: increments in any batch size equal a full rebuild; reruns,
+redelivered data and crashes at any write change nothing."""
 
+import datetime as dt
 import os
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from snapwise.plans import incremental as INC
 from snapwise.plans import rebuild as RB
-from snapwise.plans.jobs import SnapshotJobs
-from snapwise.plans.store import TableStore
+from snapwise.plans.jobs import SCHEMAS, SnapshotJobs
+from snapwise.plans.tables import Tables
 from snapwise.sources import adapters as AD
+from snapwise.sources import raw as RW
 from tests.conftest import SF_SMALL
 
+RESULTS = ("intervals", "days", "totals", "pairs", "level_changes", "joins", "leaves", "rank_changes", "latest_members")
+DAY = dt.datetime(2024, 1, 1)
 
 
 def as_of():
     return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
 
 
-def same(a, b):
-    cols = sorted(a.columns)
-    return a.select(*cols).exceptAll(b.select(*cols)).isEmpty() and \
-        b.select(*cols).exceptAll(a.select(*cols)).isEmpty()
+def rows_of(df):
+    return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
 
-def test_store_versions(spark, tmp_root):
-    st = TableStore(spark, tmp_root)
-    st.write("t", spark.range(3))
-    st.write("t", spark.range(5))
-    assert st.current_version("t") == 2 and st.read("t").count() == 5
-    os.makedirs(os.path.join(tmp_root, "t", "v=3"))  # a crashed, incomplete write
-    assert st.current_version("t") == 2
-    st.write("t", spark.range(7))  # replaces the incomplete folder
-    assert st.current_version("t") == 3 and st.read("t").count() == 7
-    assert st.vacuum("t", keep=1) == 2
+def rebuilt(roster):
+    """The result tables that a full rebuild gives."""
+    return {n: rows_of(d) for n, d in RB.rebuild_all(roster).items()}
+
+
+def differing(jobs, want):
+    return [n for n in RESULTS if rows_of(jobs.table(n)) != want[n]]
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    roster = small_roster(spark)
+    return roster, rebuilt(roster)
+
+
+def small_roster(spark, hours=(0, 1, 2, 3, 30)):
+    """Two guilds; members come, go, rise and change rank; nulls among them."""
+    rows = []
+    for guild, world in (("G", "w"), ("H", "w")):
+        for k, hour in enumerate(hours):
+            t = DAY + dt.timedelta(hours=hour, minutes=7 * (guild == "H"))
+            for name in "abcd":
+                if (name == "b" and k == 2) or (name == "c" and k < 1) or (name == "d" and k > 2):
+                    continue
+                rows.append((f"{guild}{k}", t, guild, world, name, "lead" if name == "a" and k > 1 else "member",
+                             None if name == "c" else "knight", None if name == "d" and k == 1 else 10 + k * (name != "b"),
+                             [None, "online", "offline"][(k + ord(name)) % 3], None))
+    return spark.createDataFrame(rows, SCHEMAS["members"])
+
+
+def files(root):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if "_work" not in d)
 
 
 def test_incremental_equals_rebuild_and_reruns_are_noops(spark, tmp_root):
     roster = AD.roster(spark, SF_SMALL)
     jobs = SnapshotJobs(spark, tmp_root)
     jobs.ingest_members(roster)
-    runs = jobs.run_until_caught_up(as_of(), pair_limit=130)
-    assert runs >= 3
-    full = RB.rebuild_all(roster)
-    for name in ("intervals", "days", "totals", "pairs", "level_changes", "joins", "leaves",
-                 "rank_changes", "latest_members"):
-        assert same(jobs.table(name), full[name]), name
-    before = {n: jobs.store.current_version(n) for n in ("intervals", "online_ledger", "general_ledger")}
+    assert jobs.run_until_caught_up(as_of(), pair_limit=130) >= 3
+    assert differing(jobs, rebuilt(roster)) == []
+    before = files(tmp_root)
     assert jobs.run_online(as_of(), 130).first()["processed_pairs"] == 0
     assert jobs.run_general(as_of(), 130).first()["processed_pairs"] == 0
-    after = {n: jobs.store.current_version(n) for n in before}
-    assert before == after
-    # replayed ingest inserts nothing
-    jobs.ingest_members(roster)
+    jobs.ingest_members(roster)  # a redelivery
+    assert files(tmp_root) == before
     assert jobs.members().count() == roster.count()
-    assert jobs.table("online_ledger").count() == full["pairs"].count()
 
 
-def test_crash_before_ledger_replays(spark, tmp_root):
-    roster = AD.roster(spark, SF_SMALL)
+def test_small_batches_and_no_limit_agree(spark, tmp_root, small):
+    roster, want = small
+    for limit in (3, None):
+        jobs = SnapshotJobs(spark, os.path.join(tmp_root, str(limit)))
+        jobs.ingest_members(roster)
+        jobs.run_until_caught_up(as_of(), limit)
+        assert differing(jobs, want) == [], limit
+    assert jobs.table("online_ledger").count() == jobs.table("general_ledger").count() == 8
+
+
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("job", ["online", "general", "ingest_late", "rebuild"])
+def test_crash_at_every_write(spark, tmp_root, monkeypatch, small, job):
+    """A crash at the first write, then at the second of the next attempt, and so
+    on until an attempt gets through."""
+    roster, want = small
+    late = F.col("extracted_at_utc") == F.lit(DAY + dt.timedelta(hours=1)).cast("timestamp_ntz")
+    put, at, crashed = Tables.put, 0, True
+    jobs = SnapshotJobs(spark, tmp_root)
+    jobs.ingest_members(roster.filter(~late) if job == "ingest_late" else roster)
+    if job != "online":
+        jobs.run_online(as_of(), None)
+    if job in ("ingest_late", "rebuild"):
+        jobs.run_general(as_of(), None)
+    while crashed:
+        at += 1
+        jobs, calls = SnapshotJobs(spark, tmp_root), [0]
+
+        def failing(self, *a, **k):
+            calls[0] += 1
+            if calls[0] == at:
+                raise Crash
+            put(self, *a, **k)
+
+        monkeypatch.setattr(Tables, "put", failing)
+        try:
+            {"online": lambda: jobs.run_online(as_of(), 3), "general": lambda: jobs.run_general(as_of(), 3),
+             "ingest_late": lambda: jobs.ingest_members(roster), "rebuild": lambda: jobs.rebuild(as_of(), "w", "G")}[job]()
+            crashed = False
+        except Crash:
+            pass
+    monkeypatch.setattr(Tables, "put", put)
+    jobs.run_until_caught_up(as_of(), None)
+    assert differing(jobs, want) == []
+    assert at > 3
+
+
+def test_late_and_split_snapshots_rebuild_the_guild(spark, tmp_root, small):
+    roster, want = small
+    split = F.col("character_name") == "b"
+    late = F.col("extracted_at_utc") == F.lit(DAY + dt.timedelta(hours=2)).cast("timestamp_ntz")
+    jobs = SnapshotJobs(spark, tmp_root)
+    for part in (roster.filter(~split & ~late), roster.filter(split & ~late), roster.filter(late)):
+        assert jobs.ingest_members(part).count() == part.count()
+        jobs.run_until_caught_up(as_of(), None)
+    assert differing(jobs, want) == []
+
+
+def test_ingest_stores_documents_and_reports(spark, tmp_root, small):
+    roster = small[0]
+    docs = RW.envelopes_from_roster(roster).drop("snapshot_date")
+    jobs = SnapshotJobs(spark, tmp_root)
+    report = jobs.ingest_envelopes(docs, as_of(), clean=False).first()
+    assert (report["document_rows"], report["raw_rows"], report["member_rows"], report["rebuilt_guilds"]) == \
+        (10, 10, roster.count(), 0)
+    report = jobs.ingest_envelopes(docs, as_of(), clean=False).first()
+    assert (report["raw_rows"], report["member_rows"]) == (0, 0)
+    assert jobs.table("raw").count() == 10
+    assert [r.run_type for r in jobs.table("run_log").collect()] == ["ingest"] * 2
+
+
+def test_rebuild_one_guild(spark, tmp_root, small):
+    roster, want = small
     jobs = SnapshotJobs(spark, tmp_root)
     jobs.ingest_members(roster)
-    st = jobs.online_state()
-    due, new_iv = INC.plan_online(roster, st, 1000)
-    inc = INC.apply_online(st, due, new_iv, as_of(), 1000)
-    jobs.store.write("intervals", inc.state.intervals)  # ... then the job dies
-    assert not jobs.store.exists("online_ledger")
-    jobs.run_online(as_of(), 1000)
-    full = RB.rebuild_all(roster)
-    for name in ("intervals", "days", "totals"):
-        assert same(jobs.table(name), full[name]), name
-
-
-def test_store_parts_and_compaction(spark, tmp_root):
-    st = TableStore(spark, tmp_root)
-    st.append_part("e", spark.range(2))
-    st.append_part("e", spark.range(3))
-    assert st.read("e").count() == 5 and st.part_count("e") == 2
-    assert st.compact("e")
-    assert st.part_count("e") == 0 and st.read("e").count() == 5
-    st.append_part("e", spark.range(4))
-    assert st.read("e").count() == 9
-    os.makedirs(os.path.join(tmp_root, "e", "a=4"))  # incomplete part is invisible
-    assert st.read("e").count() == 9
-    st.write("e", spark.range(1))  # a full version supersedes every visible part
-    assert st.read("e").count() == 1
-
-
-def test_late_snapshots_rebuild_the_guild(spark, tmp_root):
-    from snapwise.plans.jobs import invalidate, late_guilds
-    roster = AD.roster(spark, SF_SMALL)
-    t = F.col("extracted_at_utc")
-    lo, hi = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
-    middle = roster.filter((t >= lo) & (t < hi))
+    jobs.run_until_caught_up(as_of(), None)
+    report = jobs.rebuild(as_of(), "w", "G").first()
+    columns = {n: sorted(d.columns).index("guild_name") for n, d in ((n, jobs.table(n)) for n in want)}
+    full = {n: sum(k for r, k in rows.items() if r[columns[n]] == "G") for n, rows in want.items()}
+    assert {n: report[f"{n}_rows"] for n in full} == full
+    assert differing(jobs, want) == []
+    assert jobs.run_online(as_of()).first()["processed_pairs"] == 0  # the ledgers hold its pairs
+
+
+def test_retention_drops_old_rows_only(spark, tmp_root, small):
+    roster = small[0]
     jobs = SnapshotJobs(spark, tmp_root)
-    jobs.ingest_members(roster.filter((t < lo) | (t >= hi)))
-    jobs.run_until_caught_up(as_of(), pair_limit=1000)
-    late = late_guilds(middle, jobs.table("online_ledger"))
-    assert late.count() > 0
-    jobs.ingest_members(middle)
-    invalidate(jobs, late)
-    jobs.run_until_caught_up(as_of(), pair_limit=1000)
-    full = RB.rebuild_all(roster)
-    for name in ("intervals", "days", "totals", "pairs", "level_changes", "joins", "leaves",
-                 "rank_changes", "latest_members"):
-        assert same(jobs.table(name), full[name]), name
-
-
-def test_store_revisions(spark, tmp_root):
-    st = TableStore(spark, tmp_root)
-    cols = "g string, k string, v int"
-    st.write("kv", spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("b", "z", 1)], cols))
-    st.append_revision("kv", spark.createDataFrame([("a", "x", 2)], cols))
-    st.append_revision("kv", spark.createDataFrame([("a", "x", 3), ("b", "w", 3)], cols))
-    keyed = {(r.g, r.k): r.v for r in st.read_latest_by("kv", ["g", "k"]).collect()}
-    assert keyed == {("a", "x"): 3, ("a", "y"): 1, ("b", "z"): 1, ("b", "w"): 3}
-    grouped = sorted((r.g, r.k, r.v) for r in st.read_latest_by("kv", ["g"], whole_group=True).collect())
-    assert grouped == [("a", "x", 3), ("b", "w", 3)]  # each group replaced whole by its newest revision
+    jobs.ingest_members(roster)
+    jobs.run_until_caught_up(as_of(), 3)
+    cutoff = roster.agg(F.max("extracted_at_utc")).first()[0] - dt.timedelta(days=1)
+    kept = {n: {tuple(r) for r in jobs.table(n).filter(F.col(c) >= F.lit(cutoff).cast("timestamp_ntz")).collect()}
+            for n, c in (("members", "extracted_at_utc"), ("intervals", "latest_snapshot_time"),
+                         ("joins", "latest_snapshot_time"), ("pairs", "latest_snapshot_time"))}
+    totals = jobs.table("totals").collect()
+    report = {r.step_name: r.deleted_rows for r in jobs.run_retention(1).collect()}
+    assert report["guild_member_snapshot"] == roster.count() - len(kept["members"]) > 0
+    for name, rows in kept.items():
+        assert {tuple(r) for r in jobs.table(name).collect()} == rows, name
+    assert sorted(jobs.table("totals").collect()) == sorted(totals)
+    assert sum(r.deleted_rows for r in jobs.run_retention(1).collect()) == 0
+
+
+def test_tables_overwrite_their_own_partitions(spark, tmp_root):
+    t = Tables(spark, tmp_root)
+    t.put("t", spark.range(3), 1)
+    t.put("t", spark.range(5), 2)
+    t.put("t", spark.range(4), 1)  # the batch runs again
+    df = t.read("t", "id long")
+    assert sorted((r.batch, r.id) for r in df.collect()) == [(1, k) for k in range(4)] + [(2, k) for k in range(5)]
+    assert t.batches("t") == {1, 2} and t.batches("none") == set()
+    t.keep("t", df, F.col("id") == 4)
+    assert [(r.batch, r.id) for r in t.read("t", "id long").collect()] == [(2, 4)]
