@@ -17,8 +17,9 @@ from snapwise.operators import activity as AC
 from snapwise.operators import changes as CH
 from snapwise.operators import pairs as PR
 from snapwise.operators import roster as RO
-from snapwise.session import ensure_checkpoint_dir
+from snapwise.session import fresh_dir
 from snapwise.sources import adapters as AD
+from snapwise.sources.tables import table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -33,16 +34,35 @@ def register(name: str):
     return deco
 
 
-def _roster(spark, sf):
-    """Member snapshots from the driver tables, landed once per query call.
+#: Folder of the landed roster by application, input and its time of change.
+_LANDED: dict[tuple, str] = {}
+
 
-    In production the members table is stored (``plans.jobs``) and every
-    query reads it; here the adapter's output is materialized with a reliable
-    checkpoint in the shared ``spark.checkpoint.dir`` so a query that reads
-    the roster in several branches (index, timeline, latest roster) scans a
-    stored table instead of re-running the adapter's aggregations."""
-    ensure_checkpoint_dir(spark)
-    return AD.roster(spark, sf).checkpoint(eager=True)
+def _roster(spark, sf):
+    """The stored member snapshots of a set of driver tables.
+
+    As in production, queries read a stored table, lazily: the adapter's output
+    is landed once per session and input as Parquet ordered by time, so that
+    column pruning and pushed filters (time, world, guild) reach the scan. The
+    folder goes when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf, "events"))
+    changed = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime()
+    key = (spark.sparkContext.applicationId, sf, changed)
+    if key not in _LANDED:
+        folder = fresh_dir(spark, "roster")
+        AD.roster(spark, sf).repartitionByRange("extracted_at_utc", "world", "guild_name", F.xxhash64("character_name")) \
+            .sortWithinPartitions("extracted_at_utc", "world", "guild_name").write.parquet(folder)
+        _LANDED[key] = folder
+    return spark.read.parquet(_LANDED[key])
+
+
+def _timeline(spark, roster):
+    """The member timeline, written once for a query that derives several
+    results from it: one window over the members however many there are."""
+    folder = fresh_dir(spark, "timeline")
+    tl = CH.timeline(roster)
+    tl.write.parquet(folder)
+    return spark.read.schema(tl.schema).parquet(folder)
 
 
 # ---------------------------------------------------------------------------
@@ -105,6 +125,25 @@ def q_level_changes_latest(spark, sf):
     return CH.level_changes_latest(_roster(spark, sf))
 
 
+def _of_last_pair(spark, sf, events):
+    """The events of each guild's newest snapshot pair."""
+    r = _roster(spark, sf)
+    newest = PR.snapshots(r).groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("latest_snapshot_time"))
+    return events(r).join(newest, ["world", "guild_name", "latest_snapshot_time"], "left_semi")
+
+
+@register("level_changes_last_pair")
+def q_level_changes_last_pair(spark, sf):
+    """C02 by guild: what changed in each guild's newest pair."""
+    return _of_last_pair(spark, sf, CH.level_changes_strict)
+
+
+@register("rank_changes_last_pair")
+def q_rank_changes_last_pair(spark, sf):
+    """C11 by guild."""
+    return _of_last_pair(spark, sf, CH.rank_changes)
+
+
 @register("member_joins_latest")
 def q_member_joins_latest(spark, sf):
     return CH.member_joins_latest(_roster(spark, sf))
@@ -391,7 +430,7 @@ def q_top_rank_changes(spark, sf):
 
 def _event_frames(spark, sf):
     r = _roster(spark, sf)
-    tl = CH.timeline(r)
+    tl = _timeline(spark, r)
     return r, {
         "level_changes": CH.level_changes_from(tl),
         "guild_joins": CH.joins_from(tl),
@@ -467,6 +506,31 @@ def q_market_upsert(spark, sf):
     return MK.upsert_keep_valid(stored, incoming)
 
 
+@register("market_two_loads")
+def q_market_two_loads(spark, sf):
+    """Stored market history after two overlapping loads, the second given twice."""
+    from snapwise.plans.state_jobs import MarketJobs
+    jobs = MarketJobs(spark, fresh_dir(spark, "market"))
+    v = _valid(spark, sf)
+    first = v.filter(F.col("observed_at_utc") < AD.ts_lit(AD.MARKET_STORED_BEFORE))
+    second = v.filter(F.col("observed_at_utc") >= AD.ts_lit(AD.MARKET_INCOMING_FROM))
+    for part in (first, second, second):
+        rows = jobs.load(part)
+    return jobs.history(rows)
+
+
+@register("panel_market")
+def q_panel_market(spark, sf):
+    """One item's history on one world within a range of days, in time order."""
+    history = MK.api_market_history(_daily(spark, sf), AD.market_items(spark, sf))
+    busiest = history.groupBy("world", "item_id").agg(F.count("*").alias("n")) \
+        .orderBy(F.desc("n"), "world", "item_id").limit(1).select("world", "item_id")
+    t = F.col("observed_at_utc")
+    one = history.join(busiest, ["world", "item_id"]).filter(
+        (t >= AD.ts_lit("2024-01-05 00:00:00")) & (t < AD.ts_lit("2024-01-21 00:00:00")))
+    return one.select(*history.columns).orderBy("observed_at_utc")
+
+
 @register("api_market_items")
 def q_api_market_items(spark, sf):
     return MK.api_market_items(AD.market_items(spark, sf))
@@ -587,6 +651,20 @@ def q_queue_release_stale(spark, sf):
     return RQ.release_stale(_queue(spark, sf), _q_as_of())
 
 
+@register("queue_two_runs")
+def q_queue_two_runs(spark, sf):
+    """Stored queue over two runs: a claim, the outcomes of two in three of the
+    claimed guilds, and 20 minutes later the release of what still runs."""
+    from snapwise.plans.state_jobs import QueueJobs
+    jobs = QueueJobs(spark, fresh_dir(spark, "queue"))
+    jobs.load(_queue(spark, sf))
+    claimed = jobs.claim(_q_as_of(), CLAIM_BATCH, CLAIM_WORLD)
+    jobs.outcomes(claimed.filter("guild_id % 3 > 0").select(
+        "guild_id", (F.col("guild_id") % 3 == 1).alias("succeeded"),
+        F.repeat(F.col("guild_name"), 60).alias("error_message")), _q_as_of())
+    return jobs.release_stale(F.timestamp_add("MINUTE", F.lit(20), _q_as_of()))
+
+
 @register("queue_reset_interval")
 def q_queue_reset_interval(spark, sf):
     return RQ.reset_interval(_queue(spark, sf), RESET_WORLD, _q_as_of(), RESET_MINUTES)
@@ -692,6 +770,14 @@ def q_dup_check(spark, sf):
     return QA.dup_check(_roster(spark, sf), ["guild_name", "world", "character_name", "extracted_at_utc"])
 
 
+@register("dup_check_replayed")
+def q_dup_check_replayed(spark, sf):
+    """D20 on a table that took a delivery twice, without the insert guard."""
+    r = _roster(spark, sf)
+    again = r.filter(F.col("extracted_at_utc") >= AD.ts_lit("2024-01-28 00:00:00"))
+    return QA.dup_check(r.unionByName(again), ["guild_name", "world", "character_name", "extracted_at_utc"])
+
+
 @register("snapshot_inventory")
 def q_snapshot_inventory(spark, sf):
     return QA.snapshot_inventory(_roster(spark, sf))
@@ -710,7 +796,7 @@ def q_latest_snapshot_rows(spark, sf):
 @register("object_counts")
 def q_object_counts(spark, sf):
     r = _roster(spark, sf)
-    tl = CH.timeline(r)
+    tl = _timeline(spark, r)
     iv = AC.intervals_from(tl)
     lc = CH.level_changes_from(tl)
     frames = {
@@ -865,7 +951,7 @@ def _inc_as_of():
 
 def _seed(spark, sf, dense=False):
     r = _roster(spark, sf)
-    tl = CH.timeline(r)
+    tl = _timeline(spark, r)
     seed_pairs = PR.snapshot_pairs(r).filter(F.col("latest_snapshot_time") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
     ledger = seed_pairs.withColumn("processed_at_utc", AD.ts_lit(AD.LEDGER_SEED_BEFORE))
     iv_all = AC.dense_intervals_from(tl) if dense else AC.intervals_from(tl)
@@ -902,8 +988,7 @@ def q_due_pairs(spark, sf):
 
 @register("ledger_seed")
 def q_ledger_seed(spark, sf):
-    r, _, _, _ = _seed(spark, sf, dense=True)
-    tl = CH.timeline(r)
+    _, tl, _, _ = _seed(spark, sf, dense=True)
     stored = AC.dense_intervals_from(tl).filter(
         F.col("latest_snapshot_time") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
     return INC.seed_ledger(stored, AD.ts_lit(AD.LEDGER_SEED_BEFORE))
@@ -1018,7 +1103,7 @@ REBUILD_WORLD, REBUILD_GUILD = "w0", "g1"
 
 def _retention(spark, sf):
     r = _roster(spark, sf)
-    tables = RB.rebuild_all(r)
+    tables = RB.rebuild_all(r, timeline=_timeline(spark, r))
     tables["members"] = r
     tables["raw"] = PR.snapshots(r)
     return RT.apply_retention(tables)
@@ -1046,6 +1131,16 @@ def q_retention_check(spark, sf):
     })
 
 
+@register("api_views")
+def q_api_views(spark, sf):
+    """Rows behind each serving view, read through the view's name."""
+    from snapwise.plans import serving as SV
+    r = _roster(spark, sf)
+    names = SV.register_api_views(spark, RB.rebuild_all(r, timeline=_timeline(spark, r)))
+    return PN.tagged_counts({n: spark.table(n) for n in sorted(names) if n in SV.API_VIEWS},
+                            name_col="view_name", value_col="row_count")
+
+
 @register("retention_cascade")
 def q_retention_cascade(spark, sf):
     r = _roster(spark, sf)
@@ -1074,7 +1169,7 @@ def q_backfill_observed_date(spark, sf):
 def _stale_tables(spark, sf):
     r = _roster(spark, sf)
     old = r.filter(F.col("extracted_at_utc") < AD.ts_lit(AD.LEDGER_SEED_BEFORE))
-    return r, RB.rebuild_all(old)
+    return r, RB.rebuild_all(old, timeline=_timeline(spark, old))
 
 
 @register("rebuild_scope")
@@ -1091,7 +1186,8 @@ def q_rebuild_scope_days(spark, sf):
 
 @register("rebuild_all")
 def q_rebuild_all(spark, sf):
-    tables = RB.rebuild_all(_roster(spark, sf))
+    r = _roster(spark, sf)
+    tables = RB.rebuild_all(r, timeline=_timeline(spark, r))
     return PN.tagged_counts(tables, name_col="table_name", value_col="row_count")
 
 
@@ -1112,6 +1208,26 @@ def q_stream_changes(spark, sf):
     return jobs.table("level_changes")
 
 
+def _drained(spark, sf):
+    """The stored jobs, run in batches until no pair is due."""
+    from snapwise.plans.jobs import SnapshotJobs
+    jobs = SnapshotJobs(spark, fresh_dir(spark, "jobs"))
+    jobs.ingest_members(_roster(spark, sf))
+    pairs = jobs.snapshots().count()
+    jobs.run_until_caught_up(_inc_as_of(), max(1, pairs // 2))
+    return jobs
+
+
+@register("inc_drained_days")
+def q_inc_drained_days(spark, sf):
+    return _drained(spark, sf).table("days")
+
+
+@register("inc_drained_latest_members")
+def q_inc_drained_latest_members(spark, sf):
+    return _drained(spark, sf).table("latest_members")
+
+
 @register("run_report")
 def q_run_report(spark, sf):
     """The run-log rows of one online and one general increment,

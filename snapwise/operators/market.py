@@ -34,8 +34,11 @@ def valid_observations(raw: DataFrame) -> DataFrame:
 def daily_merge(valid: DataFrame) -> DataFrame:
     """Per (world, item, day): the last valid buy and the last valid sell
     (a missing side never overwrites), and the last observation time.
-    Payload order is taken as (time, id)."""
-    order = F.struct("observed_at_utc", "id")
+    Payload order is taken as (time, id), packed into one decimal so that the
+    aggregate is a hash aggregate."""
+    micros = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("observed_at_utc"))
+    order = (micros.cast("decimal(18,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
+             + F.coalesce("id", F.lit(0)).cast("decimal(19,0)")).cast("decimal(38,0)")
     return valid.groupBy(*DAY_KEY).agg(
         F.max("observed_at_utc").alias("observed_at_utc"),
         F.max_by("buy_offer", F.when(F.col("buy_offer").isNotNull(), order)).alias("buy_offer"),

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapwise.session import ensure_checkpoint_dir
+from snapwise.session import fresh_dir
 
 _PID, _POS = "_rn_pid", "_rn_pos"
 
@@ -36,11 +36,11 @@ def row_number_by(df: DataFrame, by: list[str], order: list[Column], name: str,
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id()))
-    # Partition ids and positions must be identical in both uses below, so
-    # the numbered rows are materialized once (reliable checkpoint in the
-    # shared spark.checkpoint.dir, which also cuts the lineage).
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    # Partition ids and positions must be identical in both uses below, so the
+    # numbered rows are written once, to the shared folder.
+    folder = fresh_dir(df.sparkSession, "numbered")
+    ranged.write.parquet(folder)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(folder)
     slices = ranged.groupBy(_PID, *by).agg(F.min(_POS).alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))

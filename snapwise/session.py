@@ -7,8 +7,9 @@ session comes from the platform and only ``checkpoint_dir`` is consulted.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,7 +33,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", "8g")
-    builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="snapwise-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -42,8 +42,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the platform sets it to a shared file system; it is only
-    filled in here when unset (local tests), with a fresh scratch folder.
+    A cluster must name one that all machines reach; only a local run without
+    the setting gets a scratch folder of its own, removed when the driver ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -51,15 +51,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    # Unset: only happens in local runs and tests.
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="snapwise-ckpt-")
+    delete_at_exit(spark, local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    root = ensure_checkpoint_dir(spark)
-    if "://" in root:
-        return root.rstrip("/") + "/" + name
-    return os.path.join(root, name)
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system, when the driver ends."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+
+
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new, unique folder under the shared checkpoint folder for written
+    intermediates of this session."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path
