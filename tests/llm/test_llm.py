@@ -215,7 +215,6 @@ def test_fingerprint_links_find_every_component(spark, monkeypatch, chunk, tile)
     fps = np.array(sorted(fps), "u8")
     label = components_of(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
     distinct = spark.createDataFrame([(int(f),) for f in fps.view("i8")], "fp long")
-    # The compare function runs in worker processes: hand the sizes over by running it here.
     got = connected_components(simhash.fingerprint_links(distinct, 4)).collect()
     found = {r.node: r.component for r in got}
     groups = {}
