@@ -158,7 +158,6 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     non-finite components, link with nothing and are their own component.
     Repeated rows link with each other like other equal vectors. component_id
     is the smallest id of a component that is not null."""
-    # Sums over floats depend on their order, so the rows are written once.
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", _valid().alias("ok"))
     classes = stage(rows.filter("ok").groupBy("embedding").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("least"))
