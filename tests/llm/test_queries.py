@@ -1,13 +1,17 @@
 """The registered training-data queries against DuckDB, and the pipeline."""
 
+from collections import Counter
+
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
+from snapwise.llm import mixing, quality
 from snapwise.llm.oracle import ORACLE_SQL
-from snapwise.llm.queries import QUERIES
+from snapwise.llm.queries import QUERIES, TARGETS
 from tests.conftest import SF_SMALL
-from tests.llm.test_llm import DOCS, EXTRA, LABELS, ODD, check_gapless, plain_counts
+from tests.llm.test_llm import DOCS, EXTRA, LABELS, ODD, check_gapless, components_of, plain_counts, plain_fingerprint
 from tools.compare import canon, duck
 
 
@@ -36,12 +40,23 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / str(number)))
         before, docs = docs, spark.read.parquet(str(tmp_path / str(number)))
         sizes.append(docs.count())
+        if number == 0:
+            scores = quality.score_quality(before, spark.read.parquet(f"{SF_SMALL}/labels.parquet")).collect()
+            assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in scores if r.predicted}
         if number == 1:
             kept = {r.doc_id for r in docs.collect()}
             assert kept == {r.doc_id for r in before.collect() if not plain_counts(r.text)[5]}
         if number == 2:
-            ids = [r.doc_id for r in docs.collect()]
-            assert len(ids) == len(set(ids)) < sizes[-2]
+            rows = sorted((r.doc_id, r.text) for r in before.collect())
+            fps = np.array([plain_fingerprint(t) for _, t in rows], "u8")
+            label = components_of(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4)
+            assert sorted(r.doc_id for r in docs.collect()) == sorted(rows[k][0] for k in set(label.tolist()))
+            assert sizes[-1] < sizes[-2]
+        if number == 3:
+            labels = mixing.label_domains(spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+            rates = {r.doc_id: r.rate for r in mixing.mixture(before, labels, TARGETS).collect()}
+            copies = Counter(r.doc_id for r in docs.collect())
+            assert all(int(rate) <= copies[i] <= int(rate) + 1 for i, rate in rates.items())
     assert sizes[0] > sizes[1] >= sizes[2] > sizes[3] > 0
     assert 0 < len(check_gapless(docs.collect()))
 
