@@ -41,7 +41,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, cut: str,
     dtype = DTYPES[width]
 
     def write(batches):
-        import os
         import uuid
 
         import numpy as np

@@ -8,7 +8,6 @@ from array import array
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
