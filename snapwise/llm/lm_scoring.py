@@ -24,8 +24,9 @@ from snapwise.llm.common import rows_of, stage
 #: have; the weights of the bigram, unigram and uniform parts.
 FLOOR, PAIR_FLOOR, WEIGHTS = 2e-5, 2e-6, (0.6, 0.39, 0.01)
 UNKNOWN, BOUNDARY = 0, 1
-#: Distinct words, and pairs, that a task holds before it hands on its counts.
-HELD = 500_000
+#: Distinct words, and pairs, that a task holds before it hands on its counts,
+#: and the number of target ids up to which they are broadcast.
+HELD, BROADCAST = 500_000, 2_000_000
 
 
 def _words(text: str | None) -> list[str]:
@@ -151,7 +152,7 @@ class Scorer:
 
 
 def fit_models(rows: DataFrame) -> Scorer:
-    """Both models of staged ``rows`` (text, target)."""
+    """Both models of ``rows`` (text, target)."""
     import numpy as np
     words = stage(word_counts(rows), "words")
     total = words.agg(F.sum("n")).first()[0] or 0
@@ -177,10 +178,13 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     A null, empty or blank text has no token and scores zero. Repeated rows count
     and are scored as often as they stand. Null ids are in no target; without a
     target the target model is the uniform one."""
-    ids = targets.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct() \
-        .select(F.col("doc_id").alias("_sw_id"), F.lit(True).alias("_sw_in"))
-    rows = stage(docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_sw_id"), "left")
-                 .select("doc_id", "text", F.coalesce("_sw_in", F.lit(False)).alias("target")), "corpus")
+    ids = stage(targets.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
+                .select(F.col("doc_id").alias("_sw_id"), F.lit(True).alias("_sw_in")), "target")
+    few = ids.count() <= BROADCAST
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_sw_id"), "left") \
+        .select("doc_id", "text", F.coalesce("_sw_in", F.lit(False)).alias("target"))
+    if not few:  # the texts are shuffled once, not for each pass over them
+        rows = stage(rows, "corpus")
     shared = docs.sparkSession.sparkContext.broadcast(fit_models(rows))
 
     def score(batches):
