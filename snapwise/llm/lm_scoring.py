@@ -1,16 +1,18 @@
 """Cross-entropy difference of two matched n-gram language models.
 
 Target and background model are word bigram models of one form, interpolated with
-unigrams, over one vocabulary: the words whose share of the corpus' tokens is at
-least ``FLOOR``, one unknown word for the rest, and one mark before and after
-each text. Counts come from every whole text. A document's score is the mean,
-over its tokens, of the loss under the target model less that under the
-background model: the lower, the more it is like the target.
-
-Counting combines the texts of a task before the shuffle, so a common word or a
-repeated text is a few rows per task. As shares add up to one, at most 1 / FLOOR
-words and 1 / PAIR_FLOOR pairs pass their floor, whatever the size of the corpus;
-that bounds what is broadcast. The mass of other pairs goes to the unigrams.
+unigrams, over one vocabulary: every word of the corpus, one unknown word, and one
+mark before and after each text. Counts come from every whole text, and every word
+and pair counts, however rare. A document's score is the mean, over its tokens, of
+the loss under the target model less that under the background model: the lower,
+the more it is like the target.
+
+Neither words nor pairs are broadcast or sent to the driver. Tasks cut their texts
+into chunks and number the words of each; a chunk's distinct words and pairs, as
+hashes in order, go to buckets of hashes, which add them up and send the sums
+back to the chunk, whose documents they score. A common word or a repeated text is
+one item per chunk, and the number of buckets grows with the texts. Two of n items
+share their 63-bit hash, and so their count, with a chance of n * n / 2^64.
 """
 
 from __future__ import annotations
@@ -20,107 +22,187 @@ from pyspark.sql import functions as F
 
 from snapwise.llm.common import rows_of, stage
 
-#: Share of the corpus' tokens that a word, and of its pairs that a pair, must
-#: have; the weights of the bigram, unigram and uniform parts.
-FLOOR, PAIR_FLOOR, WEIGHTS = 2e-5, 2e-6, (0.6, 0.39, 0.01)
-UNKNOWN, BOUNDARY = 0, 1
-#: Distinct words, and pairs, that a task holds before it hands on its counts,
-#: and the number of target ids up to which they are broadcast.
-HELD, BROADCAST = 500_000, 2_000_000
+#: Weights of the bigram, unigram and uniform parts.
+WEIGHTS = (0.6, 0.39, 0.01)
+BOUNDARY = 0
+#: Tokens of a chunk, bytes of text for each bucket, and the number of target ids
+#: up to which they are broadcast.
+CHUNK, BUCKET, BROADCAST = 1_500_000, 16 << 20, 2_000_000
 
 
 def _words(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word, n, n_target`` over the whole texts of ``rows`` (text, target)."""
-    def count(batches):
-        from collections import Counter
+def _pack(*arrays) -> bytes:
+    """Arrays as bytes: the first bytes of all numbers, then the second ones."""
+    import pickle
 
-        import pyarrow as pa
+    import numpy as np
+    import pyarrow as pa
+    return pickle.dumps([(a.dtype.str, len(a), pa.compress(
+        np.ascontiguousarray(a.view("u1").reshape(len(a), a.itemsize).T).tobytes(), codec="zstd", asbytes=True)) for a in arrays])
 
-        def out(every, target):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(every.keys(), pa.string()), pa.array(every.values(), pa.int64()),
-                 pa.array([target[w] for w in every], pa.int64())], names=["word", "n", "n_target"])
-
-        every, target = Counter(), Counter()
-        for text, is_target in rows_of(batches, "text", "target"):
-            words = _words(text)
-            every.update(words)
-            if is_target:
-                target.update(words)
-            if len(every) > HELD:
-                yield out(every, target)
-                every, target = Counter(), Counter()
-        yield out(every, target)
-
-    return rows.select("text", "target").mapInArrow(count, "word string, n long, n_target long") \
-        .groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-class Vocabulary:
-    def __init__(self, words: list[str]):
-        self.ids = {w: k + 2 for k, w in enumerate(words)}
-        self.size = len(words) + 2
-
-    def pairs(self, text: str | None):
-        """(word before, word) keys of a text with a boundary on both sides; none
-        for a text without words."""
-        import numpy as np
-        words = _words(text)
-        ids = np.full(len(words) + 2, BOUNDARY, "int64")
-        get = self.ids.get
-        ids[1:-1] = np.fromiter((get(w, UNKNOWN) for w in words), "int64", len(words))
-        return ids[:-1] * self.size + ids[1:] if words else ids[:0]
 
+def _unpack(data: bytes) -> list:
+    import pickle
 
-def pair_counts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``pair, n, n_target`` over the whole texts of ``rows`` (text, target)."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+    import numpy as np
+    import pyarrow as pa
+    out = []
+    for kind, n, body in pickle.loads(data):
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(pa.decompress(body, n * wide, codec="zstd"), "u1").reshape(wide, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+    return out
+
+
+def _item_keys(hashes, first, second):
+    """Hashes of all words, then of the pairs of words ``first`` and ``second``;
+    the last bit tells words from pairs."""
+    import numpy as np
+    alone = np.zeros(len(hashes), "u8")
+    key = np.concatenate([hashes, hashes[first]]) * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([alone, hashes[second]])
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        key = (key ^ (key >> np.uint64(shift))) * np.uint64(factor)
+    key = (key ^ (key >> np.uint64(31))) & np.uint64(2**64 - 2)
+    key[:len(hashes)] |= np.uint64(1)
+    return key
+
+
+def _pairs(words):
+    """Word numbers of the distinct pairs of a chunk (the words of its texts, each
+    text followed by a boundary), and the pair that each word ends."""
+    import numpy as np
+    before = np.concatenate([np.full(min(len(words), 1), BOUNDARY, "int64"), words[:-1].astype("int64")])
+    pair, at = np.unique(before << 32 | words, return_inverse=True)
+    return pair >> 32, pair & 0xFFFFFFFF, at
+
+
+def _encoded(names, words, lengths, targets) -> bytes:
+    """A chunk's texts. ``names``: its words by number; ``words``: their numbers,
+    a boundary after each text; ``lengths``: tokens of each text."""
+    from hashlib import blake2b
 
-    def count(batches):
+    import numpy as np
+    often = np.bincount(words, minlength=len(names))
+    order = np.argsort(-often[1:], kind="stable") + 1  # frequent words get small numbers
+    number = np.zeros(len(names), "int32")
+    number[order] = np.arange(1, len(names))
+    hashes = np.frombuffer(b"".join(blake2b(names[k].encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                                    for k in (0, *order)), "u8")
+    return _pack(np.asarray(lengths, "int64"), np.asarray(targets, "u1"), number[words], hashes)
+
+
+def _items(texts: bytes, buckets: int):
+    """(bucket, items) with the counts of a chunk's distinct words and pairs in the
+    order of their hashes."""
+    import numpy as np
+    lengths, targets, words, hashes = _unpack(texts)
+    first, second, at = _pairs(words)
+    mine = np.repeat(targets, lengths)
+    n, n_target = (np.concatenate([np.bincount(words[own], minlength=len(hashes)), np.bincount(at[own], minlength=len(first))])
+                   for own in (slice(None), mine > 0))
+    del at, words, mine
+    key = _item_keys(hashes, first, second)
+    order = np.argsort(key, kind="stable")
+    key, n, n_target = key[order], n[order], n_target[order]
+    edges = np.searchsorted((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        if a < b:
+            yield k, _pack(np.diff(key[a:b], prepend=np.uint64(0)), n[a:b], n_target[a:b])
+
+
+def encode(rows: DataFrame) -> DataFrame:
+    """``chunk, doc_ids, body``: a row per chunk of ``rows`` (doc_id, text, target)."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
+        start = TaskContext.get().partitionId() << 32
 
-        def out(held):
-            keys = np.concatenate([k for k, _ in held])
-            mine = np.concatenate([np.full(len(k), t, "int64") for k, t in held])
-            pair, at = np.unique(keys, return_inverse=True)
+        def out(chunk):
+            body = _encoded(list(number), np.concatenate([np.zeros(0, "int32"), *held]), lengths, targets)
             return pa.RecordBatch.from_arrays(
-                [pa.array(pair), pa.array(np.bincount(at, minlength=len(pair)).astype("int64")),
-                 pa.array(np.bincount(at, mine, len(pair)).astype("int64"))], names=["pair", "n", "n_target"])
+                [pa.array([start + chunk], pa.int64()), pa.array([ids], pa.list_(id_kind)), pa.array([body], pa.binary())],
+                names=["chunk", "doc_ids", "body"])
 
-        held, size = [], 0
-        for text, is_target in rows_of(batches, "text", "target"):
-            held.append((shared.value.pairs(text), bool(is_target)))
-            size += len(held[-1][0])
-            if size > 4 * HELD:
-                yield out(held)
-                held, size = [], 0
-        if held:
-            yield out(held)
+        chunk, size, ids, lengths, targets, held, number = 0, 0, [], [], [], [], {"": BOUNDARY}
+        for batch in batches:
+            id_kind = batch.schema.field("doc_id").type
+            for doc_id, text, target in rows_of([batch], "doc_id", "text", "target"):
+                words = _words(text)
+                for w in words:
+                    if w not in number:
+                        number[w] = len(number)
+                if words:
+                    held.append(np.fromiter((number[w] for w in (*words, "")), "int32", len(words) + 1))
+                ids.append(doc_id)
+                lengths.append(len(words) + 1 if words else 0)
+                targets.append(bool(target))
+                size += lengths[-1] + 1
+                if size > CHUNK:
+                    yield out(chunk)
+                    chunk, size, ids, lengths, targets, held, number = chunk + 1, 0, [], [], [], [], {"": BOUNDARY}
+        if ids:
+            yield out(chunk)
+
+    return rows.select("doc_id", "text", "target").mapInArrow(run, f"chunk long, doc_ids array<{kind}>, body binary")
+
+
+def chunk_items(encoded: DataFrame, buckets: int) -> DataFrame:
+    """``chunk, bucket, body``: the items of each chunk by bucket of their hashes."""
+    def run(batches):
+        import pyarrow as pa
+        for chunk, texts in ((c, x) for batch in batches for c, x in zip(batch.column("chunk").to_pylist(), batch.column("body"))):
+            for bucket, body in _items(texts.as_py(), buckets):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()),
+                                                  pa.array([body], pa.binary())], names=["chunk", "bucket", "body"])
+
+    return encoded.select("chunk", "body").mapInArrow(run, "chunk long, bucket int, body binary")
+
+
+def sum_items(items: DataFrame) -> DataFrame:
+    """``items`` (chunk, bucket, body) with the counts of each over all chunks as
+    ``body``; ``types``, ``tokens`` and ``target_tokens`` add up to those of the corpus."""
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+        found = [_unpack(x) for x in table.column("body").to_pylist()]
+        key, at = np.unique(np.concatenate([np.cumsum(k, dtype="u8") for k, _, _ in found]), return_inverse=True)
+        n, n_target = (np.bincount(at, np.concatenate([x[k] for x in found]), len(key)).astype("int64") for k in (1, 2))
+        word = (key & np.uint64(1)).astype(bool)
+        edges = np.cumsum([0, *(len(k) for k, _, _ in found)])
+        bodies = [_pack(n[at[a:b]], n_target[at[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
+        rest = [0] * (len(found) - 1)
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "body": pa.array(bodies, pa.binary()),
+                         **{c: pa.array([int(v), *rest], pa.int64()) for c, v in (
+                             ("types", word.sum()), ("tokens", n[word].sum()), ("target_tokens", n_target[word].sum()))}})
 
-    return rows.select("text", "target").mapInArrow(count, "pair long, n long, n_target long") \
-        .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    return items.select("chunk", "bucket", "body").groupBy("bucket").applyInArrow(
+        run, "chunk long, bucket int, body binary, types long, tokens long, target_tokens long")
 
 
 class Model:
     """Interpolated bigram model: its losses are natural logs."""
 
-    def __init__(self, words, pairs, counts):
+    def __init__(self, words, pairs, counts, whole=None):
         """``words``: count by word number, as the word before a pair; ``pairs``:
-        the kept keys in ascending order, with their ``counts``."""
+        the kept keys in ascending order, with their ``counts``. ``whole``: where
+        these are a part of a corpus all of whose pairs are kept, the tokens and
+        the vocabulary of that corpus."""
         import numpy as np
         size = len(words)
         both, one, none = WEIGHTS
-        share = words / max(words.sum(), 1)
+        total, types = whole or (words.sum(), size)
+        share = words / max(total, 1)
         first, second = pairs // size, pairs % size
         before = np.maximum(words, 1)
         #: Mass after each word that no kept pair takes.
-        self.rest = 1 - np.bincount(first, counts, size) / before
-        self.both, self.share, self.single = both, share, one * share + none / size
+        self.rest = (words == 0).astype("f8") if whole else 1 - np.bincount(first, counts, size) / before
+        self.both, self.share, self.single = both, share, one * share + none / types
         self.loss = -np.log(both * (counts / before[first] + self.rest[first] * share[second]) + self.single[second])
 
     def losses(self, before, word, at, hit):
@@ -130,44 +212,27 @@ class Model:
         return out
 
 
-class Scorer:
-    def __init__(self, vocabulary: Vocabulary, totals, pairs, counts):
-        """``totals`` and ``counts``: (target, background) counts of words and of
-        the kept ``pairs``."""
-        self.vocabulary, self.pairs = vocabulary, pairs
-        self.models = [Model(t, pairs, c) for t, c in zip(totals, counts)]
-
-    def score(self, text: str | None) -> tuple[int, float, float]:
-        """Tokens (words and the end), and the mean loss of a token under the
-        target and the background model; zeros for a text without words."""
-        import numpy as np
-        keys = self.vocabulary.pairs(text)
-        if not len(keys):
-            return 0, 0.0, 0.0
-        before, word = np.divmod(keys, self.vocabulary.size)
-        at = np.searchsorted(self.pairs, keys)
-        at[at == len(self.pairs)] = 0
-        hit = self.pairs[at] == keys if len(self.pairs) else np.zeros(len(keys), bool)
-        return len(keys), *(float(m.losses(before, word, at, hit).mean()) for m in self.models)
-
-
-def fit_models(rows: DataFrame) -> Scorer:
-    """Both models of ``rows`` (text, target)."""
+def _score_chunk(texts: bytes, sums: list[tuple[int, bytes]], types: int, totals):
+    """Tokens, and mean loss under the target and the background model, of each
+    text of a chunk; zeros for a text without words. ``sums``: the counts of its
+    items by bucket; ``totals``: target and background tokens."""
     import numpy as np
-    words = stage(word_counts(rows), "words")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    # At most 1 / FLOOR words and, below, 1 / PAIR_FLOOR pairs.
-    vocabulary = Vocabulary(sorted(r["word"] for r in words.filter(F.col("n") >= FLOOR * total).select("word").collect()))
-    size = vocabulary.size
-    pairs = stage(pair_counts(rows, vocabulary), "pairs")
-    totals = np.zeros((2, size))
-    for r in pairs.groupBy(F.floor(F.col("pair") / size).alias("w")).agg(
-            F.sum("n_target").alias("t"), F.sum("n").alias("b")).collect():
-        totals[:, r["w"]] = r["t"], r["b"]
-    least = PAIR_FLOOR * totals[1].sum()
-    kept = pairs.filter(F.col("n") >= float(least)).toArrow().sort_by("pair")
-    key, n, n_target = (kept.column(c).to_numpy() for c in ("pair", "n", "n_target"))
-    return Scorer(vocabulary, totals, key, (n_target, n))
+    lengths, _, words, hashes = _unpack(texts)
+    first, second, at = _pairs(words)
+    order = np.argsort(_item_keys(hashes, first, second), kind="stable")
+    parts = [_unpack(x) for _, x in sorted(sums, key=lambda s: s[0])]
+    size, some = len(hashes), lengths > 0
+    out = [lengths]
+    for k, total in ((1, totals[0]), (0, totals[1])):
+        mean = np.zeros(len(lengths))
+        if some.any():
+            n = np.empty(len(order), "int64")
+            n[order] = np.concatenate([p[k] for p in parts])
+            model = Model(n[:size], first * size + second, n[size:], (total, types))
+            starts = (np.cumsum(lengths) - lengths)[some]
+            mean[some] = np.add.reduceat(model.loss[at], starts) / lengths[some]
+        out.append(mean)
+    return out
 
 
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -183,20 +248,21 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     few = ids.count() <= BROADCAST
     rows = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_sw_id"), "left") \
         .select("doc_id", "text", F.coalesce("_sw_in", F.lit(False)).alias("target"))
-    if not few:  # the texts are shuffled once, not for each pass over them
-        rows = stage(rows, "corpus")
-    shared = docs.sparkSession.sparkContext.broadcast(fit_models(rows))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    encoded = stage(encode(rows), "chunks")
+    sums = stage(sum_items(chunk_items(encoded, -(-size // BUCKET) or 1)), "sums")
+    types, tokens, target_tokens = (x or 0 for x in sums.agg(*[F.sum(c) for c in ("types", "tokens", "target_tokens")]).first())
 
-    def score(batches):
+    def score(table):
         import pyarrow as pa
-        for batch in batches:
-            found = [shared.value.score(text) for (text,) in rows_of([batch], "text")]
-            n, target, background = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(target, pa.float64()),
-                 pa.array(background, pa.float64())], names=["doc_id", "n_tokens", "target_loss", "background_loss"])
+        found = list(zip(*(table.column(c).to_pylist() for c in ("bucket", "body"))))
+        texts = next(x for b, x in found if b is None)
+        # One more type: the unknown word.
+        n, target, background = _score_chunk(texts, [x for x in found if x[0] is not None], types + 1, (target_tokens, tokens))
+        return pa.table({"doc_id": table.column("doc_ids").combine_chunks().flatten(), "n_tokens": pa.array(n, pa.int64()),
+                         "target_loss": pa.array(target), "background_loss": pa.array(background)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text").mapInArrow(
-        score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double") \
+    return encoded.unionByName(sums.select("chunk", "bucket", "body"), allowMissingColumns=True) \
+        .groupBy("chunk").applyInArrow(score, f"doc_id {kind}, n_tokens long, target_loss double, background_loss double") \
         .withColumn("score", F.col("target_loss") - F.col("background_loss"))

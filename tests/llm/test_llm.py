@@ -395,6 +395,36 @@ def test_cross_entropy_difference(spark, odd, none):
     assert lm_scoring.cross_entropy_difference(none, target).count() == 0
 
 
+def test_rare_words_and_pairs_of_a_large_corpus_count(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    docs = [(k, " ".join(rng.choice(list("abcdefgh"), 1500))) for k in range(80)]
+    docs += [(80, "a rare gem b"), (81, "a rare gem c"), (82, "gem h rare"), (83, "odd one")]
+    some = {0, 1, 80}
+    monkeypatch.setattr(lm_scoring, "CHUNK", 20_000)
+    monkeypatch.setattr(lm_scoring, "BUCKET", 1 << 16)
+    got = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(
+        spark.createDataFrame(docs, "doc_id long, text string").coalesce(2),
+        spark.createDataFrame([(k,) for k in some], "doc_id long")).collect()}
+    size = len({w for _, t in docs for w in t.split()}) + 2
+
+    def losses(chosen):
+        texts = [["|", *t.split(), "|"] for k, t in docs if k in chosen]
+        pairs, words = Counter(p for t in texts for p in zip(t, t[1:])), Counter(w for t in texts for w in t[1:])
+        total = sum(words.values())
+
+        def loss(text):
+            w = ["|", *text.split(), "|"]
+            return -np.mean([np.log(0.6 * (pairs[a, b] / words[a] if words[a] else words[b] / total) + 0.39 * words[b] / total + 0.01 / size)
+                             for a, b in zip(w, w[1:])])
+        return loss
+
+    every, target = losses({k for k, _ in docs}), losses(some)
+    for k, t in docs[-8:]:
+        assert got[k].n_tokens == len(t.split()) + 1
+        assert got[k].background_loss == pytest.approx(every(t)) and got[k].target_loss == pytest.approx(target(t))
+    assert len(got) == len(docs)
+
+
 def test_model_shares_add_up_to_one():
     words, pairs = np.array([3.0, 5, 4]), np.array([1, 3, 5, 7])
     m = lm_scoring.Model(words, pairs, np.array([3.0, 2, 1, 4]))
