@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from snapwise.llm.common import let, stage, words
 
 #: Hash buckets of the classifier, the bound on labelled rows it is counted on,
-#: the smoothing of counts, what makes a bucket speak for a domain
-#: (standard errors above, and factor over, its share of all), and the fit's end.
+#: the smoothing of counts, what makes a bucket speak for a domain (standard
+#: errors above, and factor over, its share of the other domains), and the fit's end.
 BUCKETS, MAX_LABELLED, SMOOTHING, SURENESS, EFFECT, STEPS, TOLERANCE = 1 << 17, 20_000, 0.5, 5.0, 2.0, 25, 1e-6
 
 
@@ -40,10 +40,10 @@ def _counted(text: Column) -> Column:
 
 
 def domain_model(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[DataFrame, list[float]]:
-    """A row per bucket with a weight per domain (its presence against its
-    absence, by the log of the bucket's share of the domain's documents over its
-    share of all; zero where it does not speak for the domain), and the domains' scores of a text
-    that has none of the buckets."""
+    """A row per bucket that speaks for a domain, with a weight per domain (its
+    presence against its absence, by the log of the bucket's share of the domain's
+    documents over its share of all, which cancels between the domains), and the
+    domains' scores of a text that has none of the buckets."""
     known = labels.filter(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.min("domain").alias("domain")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED) \
@@ -56,15 +56,19 @@ def domain_model(docs: DataFrame, labels: DataFrame, domains: list[str]) -> tupl
     counts = labelled.select("domain", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("n"), *[F.count(F.when(F.col("domain") == d, 1)).alias(f"n{k}") for k, d in enumerate(domains)])
     overall = (F.col("n") + SMOOTHING) / (every + 2 * SMOOTHING)
-    weights = []
+    weights, speaks = [], F.lit(False)
     for k, d in enumerate(domains):
-        own = total.get(d, 0)
-        here = (F.col(f"n{k}") + SMOOTHING) / (own + 2 * SMOOTHING)
-        tells = (here - overall >= SURENESS * F.sqrt(overall / F.lit(own + 1.0))) & (here >= EFFECT * overall)
+        own, other = float(total.get(d, 0)), float(every - total.get(d, 0))
+        share = (F.col(f"n{k}") + SMOOTHING) / (own + 2 * SMOOTHING)
+        rest = (F.col("n") - F.col(f"n{k}") + SMOOTHING) / (other + 2 * SMOOTHING)
+        error = F.sqrt(overall * (1 - overall) * (1 / (own + 1) + 1 / (other + 1)))
+        speaks |= (share - rest >= SURENESS * error) & (share >= EFFECT * rest)
+        # Counted against expected documents, so that a bucket too rare to be
+        # expected in a small domain doesn't speak against it.
+        here = overall * (F.col(f"n{k}") + SMOOTHING) / (own * overall + SMOOTHING)
         there, absent = F.log(here / overall), F.log((1 - here) / (1 - overall))
-        weights += [F.when(tells, there - absent).otherwise(0.0).alias(f"w{k}"),
-                    F.when(tells, absent).otherwise(0.0).alias(f"a{k}")]
-    model = stage(counts.select("bucket", *weights), "model")
+        weights += [(there - absent).alias(f"w{k}"), absent.alias(f"a{k}")]
+    model = stage(counts.filter(speaks).select("bucket", *weights), "model")
     absent = model.agg(*[F.sum(f"a{k}") for k in range(len(domains))]).first()
     bases = [math.log((total.get(d, 0) + 1) / (every + len(domains))) + float(absent[k] or 0.0)
              for k, d in enumerate(domains)]

@@ -460,6 +460,21 @@ def test_mixing_meets_its_targets(spark):
     assert abs(share["general"] / len(mixed) - 0.8) < 0.08
 
 
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 100}, {"a": 60, "b": 60, "c": 60}, {"a": 40, "low": 160}])
+def test_mixing_tells_domains_of_any_size_apart(spark, sizes):
+    names = [d for d, n in sizes.items() for _ in range(n)]
+    # A word in every document of the first domain and in none of the others, and
+    # one that is less than twice as common in the last one.
+    docs = [(k, sentence(k, 20) + (" mark" if d == "a" else "") + (" often" if k % 4 or d == names[-1] else ""))
+            for k, d in enumerate(names)]
+    labels = [(k, d) for k, d in enumerate(names) if k % 2]
+    got = mixing.mixture(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(labels, "doc_id long, domain string"), {d: 1 / len(sizes) for d in sizes}).toPandas()
+    a = got.doc_id.map(lambda k: names[k] == "a")
+    p = np.array(got.p.tolist())[:, 0]
+    assert (p[a] > 0.5).mean() > 0.95 and (p[~a] < 0.5).mean() > 0.95
+
+
 def test_mixing_of_odd_rows(spark, odd, none):
     targets = {"general": 0.9, "toxic": 0.05, "low_quality": 0.05}
     for rows in ([], [(5, 1, 0), (10, 0, 0), (10, 1, 1), (None, 1, 0), (8, None, None)]):
