@@ -95,9 +95,37 @@ SELECT pair_id, part, turn, role, head || body AS rendered,
 FROM rendered
 """
 
+_FIM = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+         WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+cuts AS (
+  SELECT *, substr(text, 1, least(c1, c2)) AS prefix, substr(text, least(c1, c2) + 1, abs(c1 - c2)) AS middle,
+    substr(text, greatest(c1, c2) + 1) AS suffix FROM k),
+made AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END AS output FROM cuts),
+parts AS (
+  SELECT *, CASE form
+    WHEN 'psm' THEN regexp_extract(output, '(?s)^<P>(.*)<S>(.*)<M>(.*)$', ['a', 'c', 'b'])
+    WHEN 'spm' THEN regexp_extract(output, '(?s)^<S>(.*)<P>(.*)<M>(.*)$', ['c', 'a', 'b']) END AS x FROM made)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN least(c1, c2) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN abs(c1 - c2) END AS middle_chars,
+  sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output ELSE x['a'] || x['b'] || x['c'] END) AS restored_sha256
+FROM parts
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_embedding_groups": _COSINE,
     "op5_warc": _WARC,
     "op7_host_rules": _RULES,
     "op9_chat_preferences": _CHAT,
+    "op12_fill_in_middle": _FIM,
 }

@@ -92,3 +92,21 @@ def op4_lm_scoring(spark, sf_dir):
     from snapwise.llm.lm_scoring import cross_entropy_difference
     good = read_table(spark, sf_dir, "labels").filter("quality = 1")
     return cross_entropy_difference(read_table(spark, sf_dir, "documents"), good)
+
+
+@register
+def op11_sharding(spark, sf_dir):
+    from snapwise.llm.sharding import shard_documents
+    return shard_documents(read_table(spark, sf_dir, "documents"), 24)
+
+
+@register
+def op12_fill_in_middle(spark, sf_dir):
+    from snapwise.llm.fill_in_middle import fill_in_middle
+    return fill_in_middle(read_table(spark, sf_dir, "documents")).drop("pieces")
+
+
+@register
+def op13_spelling(spark, sf_dir):
+    from snapwise.llm.spelling import spelling_variants
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
