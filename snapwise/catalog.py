@@ -8,6 +8,7 @@ identically in the oracle SQL.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from snapwise.operators import pairs as PR
 from snapwise.operators import roster as RO
 from snapwise.session import fresh_dir
 from snapwise.sources import adapters as AD
+from snapwise.sources import landing as LD
 from snapwise.sources.tables import table_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -826,11 +828,16 @@ INSERT_STORED_BEFORE = "2024-01-20 00:00:00"
 INSERT_INCOMING_FROM = "2024-01-15 00:00:00"
 
 
-def _landed_envelopes(spark, sf):
-    """Envelopes written as JSON to a fresh folder, read back with the schema."""
+def _landed_tree(spark, sf):
+    """The roster landed as a tree of one document per file."""
     path = RW.fresh_dir(spark, "raw")
-    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), path)
-    return RW.scan_envelopes(spark, path)
+    LD.land(RW.envelopes_from_roster(_roster(spark, sf)), path)
+    return path
+
+
+def _landed_envelopes(spark, sf):
+    """Documents written to their files in a fresh tree, read back with the schema."""
+    return LD.scan(spark, _landed_tree(spark, sf))
 
 
 @register("raw_scan")
@@ -838,6 +845,29 @@ def q_raw_scan(spark, sf):
     return RW.flatten(_landed_envelopes(spark, sf), clean=False)
 
 
+@register("raw_scan_days")
+def q_raw_scan_days(spark, sf):
+    """A01 with a time filter: only the folders of the days are read."""
+    docs = LD.scan(spark, _landed_tree(spark, sf), RW.SOURCE_NAME, dt.date(2024, 1, 10), dt.date(2024, 1, 12))
+    return RW.flatten(docs, clean=False)
+
+
+@register("raw_listing")
+def q_raw_listing(spark, sf):
+    """Newest landed time and number of documents by source and entity, from
+    the folder listing."""
+    return LD.listing(spark, _landed_tree(spark, sf)).groupBy("source", "slug").agg(
+        F.max("written_at").alias("newest"), F.count(F.lit(1)).alias("documents"))
+
+
+@register("raw_variant")
+def q_raw_variant(spark, sf):
+    """Raw documents stored with a VARIANT column, flattened from it."""
+    folder = RW.fresh_dir(spark, "variant")
+    RW.variant_table(RW.raw_table(RW.envelopes_from_roster(_roster(spark, sf)))).write.parquet(folder)
+    return RW.flatten_variant(spark.read.parquet(folder))
+
+
 @register("raw_sink_roundtrip")
 def q_raw_sink_roundtrip(spark, sf):
     env = _landed_envelopes(spark, sf)
@@ -849,12 +879,13 @@ def q_raw_sink_roundtrip(spark, sf):
 
 @register("raw_latest_file")
 def q_raw_latest_file(spark, sf):
-    env = _landed_envelopes(spark, sf)
-    t = RW.parse_iso_utc(F.col("metadata.extracted_at_utc"))
-    p = env.select(RW.logical_path(F.col("metadata.source"), F.col("metadata.entity_name"), t).alias("raw_path"),
-                   F.col("metadata.entity_name").alias("guild_name"), t.alias("extracted_at_utc"))
-    return p.agg(F.max_by(F.struct("raw_path", "guild_name", "extracted_at_utc"), "raw_path").alias("r")) \
-            .select("r.*")
+    """The newest path comes from the listing; only that file is opened."""
+    folder = _landed_tree(spark, sf)
+    newest = LD.newest_path(spark, folder)
+    day = dt.date(*map(int, newest.split("/")[-4:-1]))
+    return LD.scan(spark, folder, since=day, until=day).filter(F.col("raw_path") == newest).select(
+        "raw_path", F.col("metadata.entity_name").alias("guild_name"),
+        RW.parse_iso_utc(F.col("metadata.extracted_at_utc")).alias("extracted_at_utc"))
 
 
 @register("raw_latest_per_entity")
@@ -1131,16 +1162,36 @@ def q_retention_check(spark, sf):
     })
 
 
+API_DATABASE = "snapwise_api"
+
+
+def _served(spark, sf):
+    """Catalog views over stored tables that the jobs have filled."""
+    from snapwise.plans import serving as SV
+    from snapwise.plans.state_jobs import MarketJobs, QueueJobs
+    jobs, queue, market = _drained(spark, sf), QueueJobs(spark, fresh_dir(spark, "queue")), MarketJobs(spark, fresh_dir(spark, "market"))
+    queue.load(_queue(spark, sf))
+    queue.discover_worlds(_worlds_table(spark, sf), DS.discover_worlds(DS.world_payloads(spark, sf)), _q_as_of())
+    market.load_items(AD.market_items(spark, sf))
+    market.load(_valid(spark, sf))
+    return SV.create_api_views(spark, API_DATABASE, jobs.store.root, queue.store.root, market.store.root)
+
+
 @register("api_views")
 def q_api_views(spark, sf):
-    """Rows behind each serving view, read through the view's name."""
-    from snapwise.plans import serving as SV
-    r = _roster(spark, sf)
-    names = SV.register_api_views(spark, RB.rebuild_all(r, timeline=_timeline(spark, r)))
-    return PN.tagged_counts({n: spark.table(n) for n in sorted(names) if n in SV.API_VIEWS},
+    """Rows behind each of the 13 serving views, read through its name."""
+    return PN.tagged_counts({n: spark.table(f"{API_DATABASE}.{n}") for n in _served(spark, sf)},
                             name_col="view_name", value_col="row_count")
 
 
+@register("api_views_contract")
+def q_api_views_contract(spark, sf):
+    """The columns that the catalog gives for each view."""
+    from snapwise.plans import serving as SV
+    _served(spark, sf)
+    return SV.contract(spark, API_DATABASE)
+
+
 @register("retention_cascade")
 def q_retention_cascade(spark, sf):
     r = _roster(spark, sf)
@@ -1195,6 +1246,11 @@ def q_rebuild_all(spark, sf):
 # Streaming (K17): landed envelopes -> micro-batches -> stored tables
 # ---------------------------------------------------------------------------
 
+#: A time after all documents, and deliveries (text of their times) that overlap.
+STREAM_END = "2024-06-01 00:00:00"
+STREAM_DELIVERIES = [("2024-01-01", "2024-01-12"), ("2024-01-09", "2024-01-22"), ("2024-01-01", "2025")]
+
+
 @register("stream_changes")
 def q_stream_changes(spark, sf):
     """Level changes produced by the streaming pipeline over landed roster
@@ -1208,6 +1264,48 @@ def q_stream_changes(spark, sf):
     return jobs.table("level_changes")
 
 
+@register("stream_state_events")
+def q_stream_state_events(spark, sf):
+    """Joins, leaves, rank and level changes and online intervals from the state
+    that the stream keeps per guild; documents arrive in any order."""
+    from snapwise.streaming import guild_state as GS
+    landing, events = RW.fresh_dir(spark, "landing"), RW.fresh_dir(spark, "events")
+    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), landing)
+    GS.clock_document(spark, STREAM_END, f"{landing}/last")
+    GS.start(spark, landing, events, delay="40 days", clean=False).awaitTermination()
+    return GS.read_events(spark, events).select(
+        "kind", "guild_name", "world", "character_name", "vocation", "guild_rank", "level", "status", "joined_date",
+        "previous_level", "previous_guild_rank", "previous_status", "interval_minutes", "estimated_online_minutes",
+        "previous_snapshot_time", "latest_snapshot_time")
+
+
+@register("stream_members_once")
+def q_stream_members_once(spark, sf):
+    """A10 in the stream: deliveries by week, the second with a replay inside the
+    bound, the third with one outside of it; every member row comes out once."""
+    from snapwise.streaming import event_time as ET
+    landing, members, ckpt = (RW.fresh_dir(spark, n) for n in ("landing", "members", "dedupe"))
+    docs = RW.envelopes_from_roster(_roster(spark, sf))
+    t = F.col("metadata.extracted_at_utc")
+    for number, (since, until) in enumerate(STREAM_DELIVERIES):
+        RW.write_envelopes(docs.filter((t >= since) & (t < until)), f"{landing}/{number}")
+        ET.deduplicate_members(spark, landing, members, ckpt, delay="5 days", clean=False).awaitTermination()
+    return spark.read.parquet(members)
+
+
+@register("stream_minutes_by_day")
+def q_stream_minutes_by_day(spark, sf):
+    """D07 in the stream: day windows over the event stream's intervals."""
+    from snapwise.streaming import event_time as ET
+    from snapwise.streaming import guild_state as GS
+    landing, events, days = (RW.fresh_dir(spark, n) for n in ("landing", "events", "days"))
+    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), landing)
+    GS.clock_document(spark, STREAM_END, f"{landing}/last")
+    GS.start(spark, landing, events, delay="40 days", clean=False).awaitTermination()
+    ET.minutes_by_day(spark, events, days, delay="40 days").awaitTermination()
+    return ET.read_days(spark, days)
+
+
 def _drained(spark, sf):
     """The stored jobs, run in batches until no pair is due."""
     from snapwise.plans.jobs import SnapshotJobs

@@ -97,10 +97,24 @@ def due_pairs(roster: DataFrame, ledger: DataFrame, pair_limit: int | None,
     The limit is the feature (a run's batch size); ties are broken by world
     and guild so the batch is deterministic.
     """
-    if pair_limit is not None and pair_limit < 1:
-        raise ValueError("pair_limit must be at least 1")
     pairs = snapshot_pairs(scope(roster, world, guild_name))
-    due = pairs.join(ledger.select(*PAIR_KEY), PAIR_KEY, "left_anti")
+    return oldest_pairs(pairs.join(ledger.select(*PAIR_KEY), PAIR_KEY, "left_anti"), pair_limit)
+
+
+#: Pairs that one task may sort and keep for a limit; larger limits go by position.
+ONE_TASK = 10_000
+
+
+def oldest_pairs(pairs: DataFrame, pair_limit: int | None) -> DataFrame:
+    """The ``pair_limit`` oldest of some pairs, ties by world and guild (None: all
+    of them, without a sort). A limit beyond ``ONE_TASK`` keeps the same rows by
+    their positions (``ordering``), so that no task merges them all."""
     if pair_limit is None:
-        return due
-    return due.orderBy("latest_snapshot_time", "world", "guild_name").limit(pair_limit)
+        return pairs
+    if pair_limit < 1:
+        raise ValueError("pair_limit must be at least 1")
+    order = ["latest_snapshot_time", "world", "guild_name"]
+    if pair_limit <= ONE_TASK:
+        return pairs.orderBy(*order).limit(pair_limit)
+    numbered = global_row_number(pairs, [F.col(c) for c in order], "_position")
+    return numbered.filter(F.col("_position") <= pair_limit).drop("_position")

@@ -41,15 +41,16 @@ def _old(col: str, by_date: bool, cutoff: Column) -> Column:
     return F.col(col) < cutoff
 
 
-def apply_retention(tables: dict[str, DataFrame], days: int = RETENTION_DAYS
+def apply_retention(tables: dict[str, DataFrame], days: int = RETENTION_DAYS, cutoff: Column | None = None
                     ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Drop rows older than the cutoff from every result table, then
     members, then raw (child before parent); report rows deleted per step.
 
     The day table compares its date with the cutoff's date, so the cutoff
     day stays whole while some of its intervals go (N22). An empty raw table
-    yields the single no-op report row."""
-    cutoff = retention_cutoff(tables["raw"], days)
+    yields the single no-op report row. A caller that knows the ``cutoff`` may
+    pass tables that were cut to the older days."""
+    cutoff = retention_cutoff(tables["raw"], days) if cutoff is None else cutoff
     spark = tables["raw"].sparkSession
     kept: dict[str, DataFrame] = {}
     parts = []

@@ -74,6 +74,13 @@ class MarketJobs:
             return like.limit(0)
         return self.store.spark.read.schema(like.schema).parquet(self.store.folder("history")).select(*like.columns)
 
+    def load_items(self, items: DataFrame) -> None:
+        """The next state of the catalogue, as a whole partition."""
+        batches = sorted(self.store.batches("items"))
+        self.store.put("items", items, (batches[-1] if batches else 0) + 1)
+        for old in batches[:-1]:
+            self.store.drop("items", old)
+
     def load(self, valid: DataFrame) -> DataFrame:
         """One load of valid observations: merged by day, upserted keeping valid
         sides. Only the loaded days are read and written; returns their rows."""

@@ -4,15 +4,23 @@ Every row a job writes carries the number of its batch, and the batch is a
 partition column. A write replaces exactly the partitions of its batch
 (``partitionOverwriteMode=dynamic``), so a batch that runs again after a crash
 or a lost executor writes the same partitions once more instead of adding rows.
-Readers are ordinary partitioned scans.
+Rows are counted while they are written. Readers are ordinary partitioned scans.
+
+Writers exclude each other by files that are created only if they are not there:
+a claimed number belongs to one writer, a lease to one run at a time.
 """
 
 from __future__ import annotations
 
+import contextlib
+import os
 import re
+import time
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,10 +48,76 @@ class Tables:
         found = (re.fullmatch(rf"{BATCH}=(\d+)", s.getPath().getName()) for s in self._fs.listStatus(folder))
         return {int(m[1]) for m in found if m}
 
-    def put(self, name: str, df: DataFrame, batch: int, by: tuple[str, ...] = ()) -> None:
-        """Write a batch's rows of a table (also partitioned ``by`` columns)."""
-        df.withColumn(BATCH, F.lit(batch).cast("long")).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(self.folder(name))
+    def create(self, path: str) -> bool:
+        """Create an empty file if it is not there; False if it is. One of any
+        number of writers gets True."""
+        p = self._path(path)
+        if self._fs.getScheme() == "file":  # Hadoop's local file system looks first and creates then
+            local = p.toUri().getPath()
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            try:
+                os.close(os.open(local, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+                return True
+            except FileExistsError:
+                return False
+        try:
+            self._fs.create(p, False).close()
+            return True
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e) or "already exists" in str(e):
+                return False
+            raise
+
+    def claim(self) -> int:
+        """A new batch number, greater than all before; no two writers get the same."""
+        folder = self._path(f"{self.root}/_claims")
+        taken = [int(s.getPath().getName()) for s in self._fs.listStatus(folder)
+                 if s.getPath().getName().isdigit()] if self._fs.exists(folder) else []
+        number = max(taken, default=0) + 1
+        while not self.create(f"{self.root}/_claims/{number}"):
+            number += 1
+        return number
+
+    def forget_claims(self, below: int) -> None:
+        """Remove the files of older numbers; the newest says where to go on."""
+        folder = self._path(f"{self.root}/_claims")
+        for s in self._fs.listStatus(folder):
+            name = s.getPath().getName()
+            if name.isdigit() and int(name) < below:
+                self._fs.delete(s.getPath(), False)
+
+    @contextlib.contextmanager
+    def lease(self, name: str, wait_s: float = 0, stale_s: float = 3600) -> Iterator[bool]:
+        """Whether this run alone holds ``name`` now; it is given back at the end.
+        A lease older than ``stale_s`` is of a run that died: whoever renames it
+        away may take it."""
+        path, until = f"{self.root}/_leases/{name}", time.monotonic() + wait_s
+        while not (mine := self.create(path)):
+            try:
+                age = time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+            except Py4JJavaError:  # given back meanwhile
+                continue
+            if age > stale_s:
+                with contextlib.suppress(Py4JJavaError):
+                    self._fs.rename(self._path(path), self._path(f"{self.root}/_leases/_stale-{uuid.uuid4().hex}"))
+            elif time.monotonic() >= until:
+                break
+            else:
+                time.sleep(0.1)
+        try:
+            yield mine
+        finally:
+            if mine:
+                self._fs.delete(self._path(path), False)
+
+    def put(self, name: str, df: DataFrame, batch: int, by: tuple[str, ...] = ()) -> int:
+        """Write a batch's rows of a table (also partitioned ``by`` columns); the
+        number of rows, counted while they are written."""
+        seen = Observation()
+        df.withColumn(BATCH, F.lit(batch).cast("long")).observe(seen, F.count(F.lit(1)).alias("n")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(*by, BATCH).parquet(self.folder(name))
+        return seen.get["n"]
 
     def replace(self, name: str, df: DataFrame, by: tuple[str, ...]) -> None:
         """Write the partitions (``by`` columns) that ``df`` has rows of. ``df``
@@ -54,6 +128,19 @@ class Tables:
     def drop(self, name: str, batch: int) -> None:
         self._fs.delete(self._path(f"{self.folder(name)}/{BATCH}={batch}"), True)
 
+    def drop_table(self, name: str) -> None:
+        self._fs.delete(self._path(self.folder(name)), True)
+
+    def partitions(self, name: str, levels: int) -> list[tuple[int, str]]:
+        """(batch number, folder) of a table with ``levels`` partition columns
+        before the batch."""
+        pattern = self._path(f"{self.folder(name)}/" + "*/" * levels + f"{BATCH}=*")
+        found = self._fs.globStatus(pattern) if self.exists(name) else []
+        return [(int(s.getPath().getName().split("=")[1]), s.getPath().toString()) for s in found or []]
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
     def read(self, name: str, schema: str, by: str = f"{BATCH} long") -> DataFrame:
         """All rows, with the partition columns (given as a schema)."""
         full = f"{schema}, {by}"
@@ -82,6 +169,7 @@ class Tables:
         left = {tuple(r) for r in staged.select(*parts).distinct().collect()}
         if left:
             self.replace(name, staged, tuple(parts))
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         for values in touched - left:
-            where = "/".join(f"{p}={v}" for p, v in zip(parts, values))
+            where = "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if v is None else escape(str(v))}" for p, v in zip(parts, values))
             self._fs.delete(self._path(f"{self.folder(name)}/{where}"), True)

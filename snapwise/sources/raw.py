@@ -99,17 +99,12 @@ def write_envelopes(envelopes: DataFrame, path: str) -> str:
     return path
 
 
-def scan_envelopes(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Read a folder tree of envelopes with the explicit schema.
-
-    ``multiline=True`` reads one pretty-printed document per file (the
-    reference's landed layout ``<source>/guild/YYYY/MM/DD/<slug>_<ts>.json``);
-    the default reads JSON lines. ``raw_path`` carries the file path.
+def scan_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """Read a folder tree of envelopes, one JSON document per line, with the
+    explicit schema (``sources.landing`` has the tree of one document per file).
+    ``raw_path`` carries the file path.
     """
-    reader = spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true")
-    if multiline:
-        reader = reader.option("multiLine", "true")
-    df = reader.json(path)
+    df = spark.read.schema(ENVELOPE).option("recursiveFileLookup", "true").json(path)
     return df.withColumn("raw_path", F.col("_metadata.file_path"))
 
 
@@ -155,6 +150,33 @@ def flatten(envelopes: DataFrame, clean: bool = True) -> DataFrame:
         level.alias("level"), status.alias("status"), parse_joined_date(F.col("m.joined")).alias("joined"))
 
 
+#: Members as a variant holds them; fields that a document does not have are null.
+MEMBERS_OF = "array<struct<name:string,rank:string,vocation:string,level:bigint,joined:string,status:string>>"
+
+
+def variant_table(raw: DataFrame) -> DataFrame:
+    """A04 with a semi-structured column: ``raw_table`` rows with the document
+    parsed once into a VARIANT instead of text (null where it is no JSON)."""
+    return raw.withColumn("document", F.try_parse_json("raw_json")).drop("raw_json")
+
+
+def flatten_variant(documents: DataFrame) -> DataFrame:
+    """A05 from the semi-structured column: only the paths that the roster needs
+    are decoded. Rows equal those of ``flatten(clean=False)``."""
+    doc = F.col("document")
+    base = documents.select(
+        F.try_variant_get(doc, "$.metadata.entity_name", "string").alias("guild_name"),
+        F.try_variant_get(doc, "$.data.guild.world", "string").alias("world"),
+        parse_iso_utc(F.try_variant_get(doc, "$.metadata.extracted_at_utc", "string")).alias("extracted_at_utc"),
+        F.explode(F.try_variant_get(doc, "$.data.guild.members", MEMBERS_OF)).alias("m"))
+    return base.select(
+        snapshot_key(F.col("world"), F.col("guild_name"), F.col("extracted_at_utc")).alias("snapshot_id"),
+        "extracted_at_utc", "guild_name", "world", F.col("m.name").alias("character_name"),
+        F.col("m.rank").alias("guild_rank"), F.col("m.vocation").alias("vocation"),
+        F.col("m.level").cast("int").alias("level"), F.col("m.status").alias("status"),
+        parse_joined_date(F.col("m.joined")).alias("joined"))
+
+
 def staging(roster: DataFrame) -> DataFrame:
     """Staging projection: integer level, ``joined_date``, named rows only."""
     return roster.filter(F.col("character_name").isNotNull()).select(
