@@ -567,8 +567,13 @@ def test_reply_swaps_of_odd_turns(spark):
             (4, 0, "user", "no reply"), (None, 0, "assistant", "x"), (9, None, "assistant", "x"), (2 ** 63 - 1, 0, "assistant", "end")]
     chosen, rejected = chat.reply_swaps(spark.createDataFrame([(*r, "x") for r in rows], schema))
     assert sorted((r.pair_id, r.turn, r.text or "") for r in chosen.collect()) == [
-        (1, 0, "q1"), (1, 1, "r1"), (2, 0, "q2"), (2, 1, ""), (2 ** 63 - 1, 0, "end")]
+        (1, 0, "q1"), (1, 1, "r1"), (1, 2, "bye"), (2, 0, "q2"), (2, 1, ""), (4, 0, "no reply"), (2 ** 63 - 1, 0, "end")]
+    # The reply of the next id that has one, across the gaps; what follows it stays.
     assert sorted((r.pair_id, r.turn, r.text) for r in rejected.collect()) == [
-        (1, 0, "q1"), (1, 1, ""), (2, 0, "q2"), (2, 1, ""), (2 ** 63 - 1, 0, "")]
+        (1, 0, "q1"), (1, 1, ""), (1, 2, "bye"), (2, 0, "q2"), (2, 1, "end"), (4, 0, "no reply"), (2 ** 63 - 1, 0, "")]
+    got = chat.format_preferences(chosen, rejected).collect()
+    assert {(r.pair_id, r.turn) for r in got} == {(r.pair_id, r.turn) for r in chosen.collect()}
+    assert [r.part for r in got if r.pair_id == 4] == ["prompt"]
+    assert all(r.mask_start is None for r in got if r.role != "assistant")
     empty = spark.createDataFrame([], schema)
     assert chat.format_preferences(*chat.reply_swaps(empty)).count() == 0
