@@ -135,7 +135,7 @@ class SnapshotJobs:
         """Stored rows of a table with their partition columns: of the given days,
         or of batches after a number."""
         by = ", ".join(f"{p} {'date' if p == DAY else 'string'}" for p in PARTS.get(name, ()))
-        df = self.store.read(name, SCHEMAS[name], f"{by}, {BATCH} long" if by else f"{BATCH} long")
+        df = self.store.read(name, SCHEMAS[name], f"{by}, {BATCH} long" if by else f"{BATCH} long").filter(F.col(BATCH) >= 0)
         if days is not None:
             df = df.filter(F.col(DAY).isin(*days) if None not in days
                            else F.col(DAY).isNull() | F.col(DAY).isin(*(set(days) - {None})))

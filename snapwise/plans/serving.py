@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwise.plans.jobs import KIND, LEDGERS, SCHEMAS
+from snapwise.plans.jobs import DAY, KIND, LEDGERS, PARTS, SCHEMAS
 from snapwise.plans.tables import Tables
 from snapwise.sources import landing as LD
 
@@ -86,35 +86,32 @@ def register_api_views(spark: SparkSession, tables: dict[str, DataFrame]) -> lis
     return made
 
 
+#: Stored tables that the views read.
+READ = ("members", "snapshots", "signs", *KIND)
+
+
 def _seed(store: Tables) -> None:
-    """Tables that the views' rules name, with a row that says nothing, so that
-    the rules hold from the first rebuild or compaction on."""
-    one = store.spark.range(1)
-    null = F.lit(None).cast("string")
-    for name, row in (("rebuilds", one.select(null.alias("guild_name"), null.alias("world"))),
-                      ("compacting", one),
-                      ("compactions", one.select(F.lit("").alias("name"), F.lit(-1).cast("long").alias("replaced")))):
-        store.put(name, row, -1)
+    """A row that no reader counts (batch -1) in every table that the views name,
+    so that they hold before the first run of a kind and where retention or a
+    compaction has emptied a folder."""
+    tables = {n: SCHEMAS[n] for n in (*READ, "rebuilds")} | {f"due_{k}": SCHEMAS["pairs"] for k in LEDGERS}
+    tables |= {"compacting": "id long", "compactions": "name string, replaced long"}
+    for name, schema in tables.items():
+        parts = {p: "date" if p == DAY else "string" for p in PARTS.get(name, ())}
+        types = [c.split() for c in schema.split(", ")] + [[*p] for p in parts.items()]
+        store.put(name, store.spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in types]), -1, tuple(parts))
 
 
 def _stored_sql(store: Tables, name: str) -> str:
     """A stored table as a reader sees it: rows of committed batches that neither
-    a later rebuild nor a compaction voids. A table that no run has made yet is
-    empty."""
-    if not store.exists(name):
-        nulls = ", ".join("CAST(NULL AS {1}) AS {0}".format(*c.split()) for c in SCHEMAS[name].split(", "))
-        return f"(SELECT *, CAST(NULL AS DATE) AS day FROM (SELECT {nulls}) WHERE false)"
-
+    a later rebuild nor a compaction voids."""
     def there(table: str, rule: str) -> str:
         return f"EXISTS (SELECT 1 FROM parquet.`{store.folder(table)}` x WHERE {rule})"
 
-    rules = [f"NOT {there('compactions', f'x.name = {chr(39)}{name}{chr(39)} AND x.replaced = t.batch')}",
+    rules = ["t.batch >= 0", f"NOT {there('compactions', f'x.name = {chr(39)}{name}{chr(39)} AND x.replaced = t.batch')}",
              f"(NOT {there('compacting', 'x.batch = t.batch')} OR {there('compactions', 'x.batch = t.batch')})"]
     for kind in [KIND[name]] if name in KIND else LEDGERS if name == "signs" else ():
-        if store.exists(f"due_{kind}"):
-            open_ = f"NOT {there(f'due_{kind}', 'x.batch = t.batch')}"
-            ledger = LEDGERS[kind]
-            rules.append(f"({open_} OR {there(ledger, 'x.batch = t.batch')})" if store.exists(ledger) else open_)
+        rules.append(f"(NOT {there(f'due_{kind}', 'x.batch = t.batch')} OR {there(LEDGERS[kind], 'x.batch = t.batch')})")
     if name in KIND or name == "signs":
         rules.append(f"NOT {there('rebuilds', 'x.world = t.world AND x.guild_name = t.guild_name AND x.batch >= t.batch')}")
     return f"(SELECT * FROM parquet.`{store.folder(name)}` t WHERE {' AND '.join(rules)})"

@@ -136,7 +136,8 @@ class Tables:
         before the batch."""
         pattern = self._path(f"{self.folder(name)}/" + "*/" * levels + f"{BATCH}=*")
         found = self._fs.globStatus(pattern) if self.exists(name) else []
-        return [(int(s.getPath().getName().split("=")[1]), s.getPath().toString()) for s in found or []]
+        numbered = [(int(s.getPath().getName().split("=")[1]), s.getPath().toString()) for s in found or []]
+        return [(number, path) for number, path in numbered if number >= 0]
 
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
