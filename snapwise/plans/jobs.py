@@ -431,10 +431,12 @@ class SnapshotJobs:
         rounds. Each round commits its pairs, so their number only falls."""
         rounds = 0
         while True:
+            resumed = any(self._open(kind) for kind in LEDGERS)
             done = [job(as_of, pair_limit).first()["processed_pairs"] for job in (self.run_online, self.run_general)]
             self.store.clear_work()
             rounds += 1
-            if not any(done):
+            # A new batch below the limit leaves nothing over.
+            if not any(done) or not resumed and all(n < (pair_limit or n + 1) for n in done):
                 return rounds
 
     def _empty_report(self, message: str = "No unprocessed snapshot pairs found") -> DataFrame:

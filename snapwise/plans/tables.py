@@ -114,6 +114,8 @@ class Tables:
         """Write a batch's rows of a table (also partitioned ``by`` columns); the
         number of rows, counted while they are written."""
         seen = Observation()
+        # Rows of one folder meet in one task, unless they are many (split at run time).
+        df = df.hint("rebalance", *by) if by else df
         df.withColumn(BATCH, F.lit(batch).cast("long")).observe(seen, F.count(F.lit(1)).alias("n")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*by, BATCH).parquet(self.folder(name))
