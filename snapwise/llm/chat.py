@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapwise.llm.common import stage
+from snapwise.operators.ordering import neighbours
+
 #: Template of a turn.
 OPEN, AFTER_ROLE, CLOSE = "<|", "|>\n", "\n<|end|>\n"
 
@@ -54,25 +57,25 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def reply_swaps(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Preference pairs from plain conversations (conv_id, turn, role, text):
-    chosen is a conversation up to its last assistant turn, rejected the same
-    with that reply exchanged for the last one of the conversation with the next
-    id (an empty reply where there is none). A conversation without an assistant
-    turn has no reply to prefer and gives no pair. Of several assistant texts
-    under the last number the greatest is the reply."""
+    chosen is a whole conversation, rejected the same with its last assistant
+    turn exchanged for that of the conversation with the next id that has one
+    (an empty reply where there is none). What follows that turn stands on both
+    sides; a conversation without an assistant turn is the same on both and so
+    only a prompt. Of several assistant texts under the last number the greatest
+    is the reply."""
     turns = conversations.select("conv_id", "turn", "role", "text") \
         .filter(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     said = turns.filter(F.col("role") == "assistant").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     last = said.groupBy("conv_id").agg(F.max("turn").alias("last"))
-    reply = said.join(last, "conv_id").filter(F.col("turn") == F.col("last")) \
-        .groupBy("conv_id", "last").agg(F.max("text").alias("reply"))
-    other = reply.select(F.try_subtract("conv_id", F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
-    # The reply's turn is rewritten in place, so each side reads the table once.
-    upto = turns.join(reply, "conv_id").filter(F.col("turn") <= F.col("last"))
-    chosen = upto.filter((F.col("turn") < F.col("last")) | F.col("role").eqNullSafe("assistant")
-                         & (F.coalesce("text", F.lit("")) == F.col("reply")))
-    swapped = reply.join(other, "conv_id", "left").select(
+    reply = stage(said.join(last, "conv_id").filter(F.col("turn") == F.col("last"))
+                  .groupBy("conv_id", "last").agg(F.max("text").alias("reply")), "replies")
+    following = neighbours(reply.select("conv_id"), [], "conv_id", next_name="next").select("conv_id", "next")
+    other = reply.select(F.col("conv_id").alias("next"), F.col("reply").alias("other"))
+    swapped = reply.join(following, "conv_id").join(other, "next", "left").select(
         "conv_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"),
         F.coalesce("other", F.lit("")).alias("text"))
-    kept = upto.filter(F.col("turn") < F.col("last")).select("conv_id", "turn", "role", "text")
+    is_reply = (F.col("turn") == F.col("last")) & F.col("role").eqNullSafe("assistant") \
+        & (F.coalesce("text", F.lit("")) == F.col("reply"))
+    kept = turns.join(reply, "conv_id", "left").filter(~F.coalesce(is_reply, F.lit(False))).select("conv_id", "turn", "role", "text")
     columns = [F.col("conv_id").alias("pair_id"), "turn", "role", "text"]
-    return chosen.select(*columns), kept.unionByName(swapped).select(*columns)
+    return turns.select(*columns), kept.unionByName(swapped).select(*columns)

@@ -73,12 +73,13 @@ WITH said AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversation
               WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL),
 reply AS (SELECT conv_id, turn, max(text) AS text FROM said
           WHERE (conv_id, turn) IN (SELECT conv_id, max(turn) FROM said GROUP BY conv_id) GROUP BY conv_id, turn),
-before AS (SELECT c.conv_id, c.turn, coalesce(c.role, '') AS role, coalesce(c.text, '') AS text
-           FROM conversations c JOIN reply r USING (conv_id) WHERE c.turn < r.turn),
-chosen AS (SELECT DISTINCT * FROM (SELECT * FROM before UNION ALL SELECT conv_id, turn, 'assistant', text FROM reply)),
+other AS (SELECT conv_id, turn, text, lead(text, 1, '') OVER (ORDER BY conv_id) AS swapped FROM reply),
+chosen AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 rejected AS (SELECT DISTINCT * FROM (
-  SELECT * FROM before UNION ALL
-  SELECT r.conv_id, r.turn, 'assistant', coalesce(o.text, '') FROM reply r LEFT JOIN reply o ON o.conv_id = r.conv_id + 1)),
+  SELECT * FROM chosen c WHERE NOT EXISTS (
+    SELECT 1 FROM reply r WHERE r.conv_id = c.conv_id AND r.turn = c.turn AND c.role = 'assistant' AND r.text = c.text)
+  UNION ALL SELECT conv_id, turn, 'assistant', swapped FROM other)),
 differs AS (
   (SELECT * FROM chosen EXCEPT SELECT * FROM rejected) UNION ALL (SELECT * FROM rejected EXCEPT SELECT * FROM chosen)),
 first_turn AS (SELECT conv_id, min(turn) AS first FROM differs GROUP BY conv_id),
