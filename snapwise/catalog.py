@@ -128,10 +128,8 @@ def q_level_changes_latest(spark, sf):
 
 
 def _of_last_pair(spark, sf, events):
-    """The events of each guild's newest snapshot pair."""
-    r = _roster(spark, sf)
-    newest = PR.snapshots(r).groupBy("world", "guild_name").agg(F.max("extracted_at_utc").alias("latest_snapshot_time"))
-    return events(r).join(newest, ["world", "guild_name", "latest_snapshot_time"], "left_semi")
+    """The events of each guild's newest snapshot pair, from its polls alone."""
+    return events(PR.newest_pair_rows(_roster(spark, sf)))
 
 
 @register("level_changes_last_pair")
@@ -313,13 +311,14 @@ def _tl(spark, sf):
 
 @register("range_ts")
 def q_range_ts(spark, sf):
-    return PN.filter_ts_range(CH.level_changes(_roster(spark, sf)), RANGE_START, RANGE_END)
+    r = PR.around_range(_roster(spark, sf), RANGE_START, RANGE_END)
+    return PN.filter_ts_range(CH.level_changes(r), RANGE_START, RANGE_END)
 
 
 @register("range_date")
 def q_range_date(spark, sf):
-    return PN.filter_date_range(AC.minutes_by_day(AC.online_intervals(_roster(spark, sf))),
-                                RANGE_START, RANGE_END)
+    r = PR.around_range(_roster(spark, sf), RANGE_START, RANGE_END)
+    return PN.filter_date_range(AC.minutes_by_day(AC.online_intervals(r)), RANGE_START, RANGE_END)
 
 
 @register("default_range")
@@ -349,7 +348,7 @@ def q_vocation_in(spark, sf):
 
 @register("level_panel")
 def q_level_panel(spark, sf):
-    tl = _tl(spark, sf)
+    tl = _timeline(spark, PR.around_range(_roster(spark, sf), RANGE_START, RANGE_END))
     daily = AC.minutes_by_day(AC.intervals_from(tl))
     return PN.level_panel(CH.level_changes_from(tl), daily, RANGE_START, RANGE_END)
 

@@ -89,6 +89,33 @@ def newest_two_times(roster: DataFrame) -> DataFrame:
     return top.withColumn("snapshot_rank", F.row_number().over(Window.orderBy(F.col("snapshot_time").desc())))
 
 
+def _with_floor(roster: DataFrame, times: DataFrame) -> DataFrame:
+    """The rows of some (world, guild, time) polls. The oldest of the times (one
+    value) is a filter that the scan takes."""
+    floor = times.agg(F.min(T)).first()[0]
+    if floor is None:
+        return roster.limit(0)
+    return roster.filter(F.col(T) >= F.lit(floor).cast("timestamp_ntz")).join(times, [*GUILD_KEY, T], "left_semi")
+
+
+def around_range(roster: DataFrame, start: str, end: str) -> DataFrame:
+    """The rows that pairs ending on the days ``start`` to ``end`` have: those of
+    the days and each guild's newest poll before them. Windows over the result
+    hold no other history."""
+    first = F.lit(f"{start} 00:00:00").cast("timestamp_ntz")
+    last = F.lit(f"{end} 23:59:59.999999").cast("timestamp_ntz")
+    before = roster.filter(F.col(T) < first).groupBy(*GUILD_KEY).agg(F.max(T).alias(T))
+    return roster.filter(F.col(T).between(first, last)).unionByName(
+        _with_floor(roster.filter(F.col(T) < first), before))
+
+
+def newest_pair_rows(roster: DataFrame) -> DataFrame:
+    """The rows of each guild's two newest polls."""
+    w = Window.partitionBy(*GUILD_KEY).orderBy(F.col(T).desc())
+    newest = snapshots(roster).withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= 2).drop("_k")
+    return _with_floor(roster, newest)
+
+
 def due_pairs(roster: DataFrame, ledger: DataFrame, pair_limit: int | None,
               world: str | None = None, guild_name: str | None = None) -> DataFrame:
     """C19 + S01: pairs not in the ledger, oldest latest time first, at most n

@@ -359,6 +359,23 @@ def test_large_limits_keep_the_oldest_pairs(spark, monkeypatch, small):
         PR.oldest_pairs(due, 0)
 
 
+def test_ranges_and_newest_pairs_window_their_rows_only(spark, small):
+    from snapwise.operators import changes as CH
+    from snapwise.operators import pairs as PR
+    roster = small_roster(spark, (0, 1, 2, 26, 50, 51, 90))
+    cut = PR.around_range(roster, "2024-01-02", "2024-01-03")
+    assert {r[0] for r in cut.filter("guild_name = 'G'").select("extracted_at_utc").distinct().collect()} == {
+        DAY + dt.timedelta(hours=h) for h in (2, 26, 50, 51)}
+    day = F.to_date("latest_snapshot_time").between(F.lit("2024-01-02"), F.lit("2024-01-03"))
+    for events in (CH.level_changes, CH.member_joins, CH.member_leaves, CH.rank_changes):
+        assert rows_of(events(cut).filter(day)) == rows_of(events(roster).filter(day))
+    last = PR.newest_pair_rows(roster)
+    newest = F.to_date("latest_snapshot_time") == F.lit("2024-01-04")
+    assert rows_of(CH.member_leaves(last)) == rows_of(CH.member_leaves(roster).filter(newest))
+    assert PR.around_range(roster, "2030-01-01", "2030-01-02").select("extracted_at_utc").distinct().count() == 2
+    assert PR.newest_pair_rows(roster.limit(0)).count() == 0
+
+
 def test_tables_overwrite_their_own_partitions(spark, tmp_root):
     t = Tables(spark, tmp_root)
     assert t.put("t", spark.range(3), 1) == 3
