@@ -2,10 +2,13 @@
 
 A text becomes a set of n-gram indicators: n-grams of its word shapes (runs of
 capitals, letters, digits and each mark, white space kept as it stands) and of
-repeated words, each at several frequency levels, hashed to a fixed number of
-features. Indicators are scaled by the classes' smoothed log-count ratios, a
-linear hinge-loss model is fitted by dual coordinate descent, and its margins
-are mapped to 0..1 by a logistic curve fitted on rows kept out of that fit.
+repeated words, each at several frequency levels; its words and pairs of
+neighbouring words, A-Z lower-cased; and its code points beyond ASCII, alone and
+with the next one, which stand for words where a script puts no spaces. All are
+hashed to a fixed number of features. Indicators are scaled by the classes'
+smoothed log-count ratios, a linear hinge-loss model is fitted by dual coordinate
+descent, and its margins are mapped to 0..1 by a logistic curve fitted on rows
+kept out of that fit.
 
 The model is fitted on the driver on at most ``MAX_ROWS`` labelled rows, taken
 by the order of a hash of their id; every document is scored, in Arrow batches.
@@ -13,15 +16,20 @@ by the order of a hash of their id; every document is scored, in Arrow batches.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from snapwise.llm.common import rows_of
 
-#: Features (a power of two), the bound on labelled rows for the fit, n-gram
-#: orders, and the shares of a text at which an n-gram's indicators switch on.
-FEATURES, MAX_ROWS, ORDERS = 1 << 18, 12_000, (1, 2, 3, 4, 5)
+#: Features of the shapes and of words and code points, the bound on labelled rows
+#: for the fit, n-gram orders, and the shares of a text at which an n-gram's
+#: indicators switch on. A word or code-point feature counts if at least
+#: ``MIN_SEEN`` of the fitted rows have it.
+SHAPES, WORDS, MAX_ROWS, ORDERS, MIN_SEEN = 1 << 18, 1 << 20, 12_000, (1, 2, 3, 4, 5), 3
+FEATURES = SHAPES + WORDS
 LEVELS = (0.0, 1 / 512, 1 / 128, 1 / 32, 1 / 8)
 PIECE = 1 << 20
 
@@ -51,6 +59,75 @@ def _shape_grams(data: bytes):
     return found, len(shape)
 
 
+_ODD = 0x9E3779B97F4A7C15
+
+
+@functools.cache
+def _powers(base: int, n: int):
+    """The powers 0 to n of an odd base, modulo 2^64."""
+    import numpy as np
+    out = np.full(n + 1, base, "u8")
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+@functools.cache
+def _byte_values():
+    """A number for each byte, and whether it is white space."""
+    import numpy as np
+    return _mixed(np.arange(1, 257, dtype="u8"), 5), np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def _mixed(code, kind: int):
+    import numpy as np
+    code = (code ^ (code >> np.uint64(29))) * np.uint64(_ODD) + np.uint64(kind)
+    return (code ^ (code >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _spans(data: bytes):
+    """Pieces of a text of at most ``PIECE`` bytes as (start, end), cut at the last
+    space of a piece, else before a code point."""
+    start = 0
+    while len(data) - start > PIECE:
+        end = data.rfind(b" ", start, start + PIECE) + 1
+        if end <= start:
+            end = start + PIECE
+            while data[end] & 0xC0 == 0x80 and end > start + PIECE - 4:
+                end -= 1
+        yield start, end
+        start = end
+    yield start, len(data)
+
+
+def _word_features(data: bytes):
+    """Distinct features of the words, word pairs and code points of a text. A word
+    or code point is hashed by the difference of two prefix sums of its bytes."""
+    import numpy as np
+    value, blank = _byte_values()
+    size = 1 << (min(len(data), PIECE) + 8).bit_length()
+    power, inverse = _powers(_ODD, size), _powers(pow(_ODD, -1, 1 << 64), size)
+    found, before = [], np.zeros(0, "u8")
+    for start, end in _spans(data):
+        part = np.frombuffer(data[start:end + 4].lower(), "u1")  # the code point after the piece comes along
+        own = end - start
+        sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(value[part] * power[:len(part)], dtype="u8")])
+        edge = np.diff(blank[part[:own]].view("i1"), prepend=1, append=1)
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        word = (sums[last] - sums[first]) * inverse[first]
+        chain = np.concatenate([before, word])
+        found += [_mixed(word, 1), _mixed(chain[:-1] * np.uint64(3) + _mixed(chain[1:], 7), 2)]
+        before = chain[-1:]
+        if part.max(initial=0) >= 0x80:
+            begin = np.flatnonzero((part & 0xC0) != 0x80)
+            stop = np.append(begin[1:], len(part))[:len(begin)]
+            odd = (part[begin] >= 0x80) & (begin < own)
+            found.append(_mixed((sums[stop] - sums[begin])[odd] * inverse[begin[odd]], 3))
+            odd[-1:] = False  # the last code point of the text has no next one
+            at = np.flatnonzero(odd)
+            found.append(_mixed((sums[stop[at + 1]] - sums[begin[at]]) * inverse[begin[at]], 4))
+    return np.unique(np.concatenate(found) >> np.uint64(40)) % np.uint64(WORDS) + np.uint64(SHAPES)
+
+
 def features(data: bytes | None):
     """Sorted feature numbers of a text (null, empty: only the bias 0)."""
     import numpy as np
@@ -66,7 +143,8 @@ def features(data: bytes | None):
         code, share = np.append(code, np.uint64(3)), np.append(share, same / len(words))
     for level, least in enumerate(LEVELS):
         mixed = (code[share >= least] * np.uint64(8) + np.uint64(level)) * np.uint64(0x9E3779B97F4A7C15)
-        out.append((mixed >> np.uint64(32)) % np.uint64(FEATURES - 1) + np.uint64(1))
+        out.append((mixed >> np.uint64(32)) % np.uint64(SHAPES - 1) + np.uint64(1))
+    out.append(_word_features(data))
     return np.unique(np.concatenate(out)).astype("int32")
 
 
@@ -123,6 +201,7 @@ def fit(rows, labels, beta: float = 0.25):
             counts[y[i]][rows[i]] += 1
         ratio = np.log(counts[1.0] / counts[1.0].sum()) - np.log(counts[-1.0] / counts[-1.0].sum())
         ratio[0] = 1.0
+        ratio[SHAPES:][(counts[1.0] + counts[-1.0])[SHAPES:] < 2 + MIN_SEEN] = 0.0
         w = dual_coordinate_descent([rows[i] for i in at], ratio, y[at])
         used = w != 0
         w = np.where(used, (1 - beta) * np.abs(w[used]).mean() + beta * w, 0.0) if used.any() else w
