@@ -1,11 +1,13 @@
 """Cross-entropy difference of two matched n-gram language models.
 
-Target and background model are word bigram models of one form, interpolated with
-unigrams, over one vocabulary: every word of the corpus, one unknown word, and one
-mark before and after each text. Counts come from every whole text, and every word
-and pair counts, however rare. A document's score is the mean, over its tokens, of
-the loss under the target model less that under the background model: the lower,
-the more it is like the target.
+Target and background model are word bigram models of one form, shrunk towards
+unigrams as far as the word before is rare, over one vocabulary: every word of the
+corpus, one unknown word, and one mark before and after each text. Counts come from
+every whole text, and every word and pair counts, however rare. A text is scored by
+models without its own counts, so that texts of the target and others of its kind
+score alike. A document's score is the mean, over its tokens, of the loss under the
+target model less that under the background model: the lower, the more it is like
+the target.
 
 Neither words nor pairs are broadcast or sent to the driver. Tasks cut their texts
 into chunks and number the words of each; a chunk's distinct words and pairs, as
@@ -22,8 +24,9 @@ from pyspark.sql import functions as F
 
 from snapwise.llm.common import rows_of, stage
 
-#: Weights of the bigram, unigram and uniform parts.
-WEIGHTS = (0.6, 0.39, 0.01)
+#: Pairs that a word's own share weighs in the shares of the words after it, and
+#: the weight of the uniform share.
+PRIOR, UNIFORM = 16, 0.01
 BOUNDARY = 0
 #: Tokens of a chunk, bytes of text for each bucket, and the number of target ids
 #: up to which they are broadcast.
@@ -185,31 +188,20 @@ def sum_items(items: DataFrame) -> DataFrame:
         run, "chunk long, bucket int, body binary, types long, tokens long, target_tokens long")
 
 
-class Model:
-    """Interpolated bigram model: its losses are natural logs."""
+def losses(n_word, n_before, n_pair, total, types: int):
+    """Loss (a natural log) of each token: the pair's share of the word before it,
+    shrunk by ``PRIOR`` pairs towards the word's own share, which is shrunk towards
+    the uniform one. ``total``: tokens counted; without any, it is uniform."""
+    import numpy as np
+    share = (1 - UNIFORM) * n_word / np.maximum(total, 1) + np.where(total > 0, UNIFORM, 1.0) / types
+    return -np.log((n_pair + PRIOR * share) / (n_before + PRIOR))
 
-    def __init__(self, words, pairs, counts, whole=None):
-        """``words``: count by word number, as the word before a pair; ``pairs``:
-        the kept keys in ascending order, with their ``counts``. ``whole``: where
-        these are a part of a corpus all of whose pairs are kept, the tokens and
-        the vocabulary of that corpus."""
-        import numpy as np
-        size = len(words)
-        both, one, none = WEIGHTS
-        total, types = whole or (words.sum(), size)
-        share = words / max(total, 1)
-        first, second = pairs // size, pairs % size
-        before = np.maximum(words, 1)
-        #: Mass after each word that no kept pair takes.
-        self.rest = (words == 0).astype("f8") if whole else 1 - np.bincount(first, counts, size) / before
-        self.both, self.share, self.single = both, share, one * share + none / types
-        self.loss = -np.log(both * (counts / before[first] + self.rest[first] * share[second]) + self.single[second])
-
-    def losses(self, before, word, at, hit):
-        import numpy as np
-        out = -np.log(self.both * self.rest[before] * self.share[word] + self.single[word])
-        out[hit] = self.loss[at[hit]]
-        return out
+
+def _own(of_text, items):
+    """How often each token's item stands in the token's own text."""
+    import numpy as np
+    _, at, n = np.unique(of_text * (int(items.max(initial=0)) + 1) + items, return_inverse=True, return_counts=True)
+    return n[at]
 
 
 def _score_chunk(texts: bytes, sums: list[tuple[int, bytes]], types: int, totals):
@@ -217,20 +209,27 @@ def _score_chunk(texts: bytes, sums: list[tuple[int, bytes]], types: int, totals
     text of a chunk; zeros for a text without words. ``sums``: the counts of its
     items by bucket; ``totals``: target and background tokens."""
     import numpy as np
-    lengths, _, words, hashes = _unpack(texts)
+    lengths, targets, words, hashes = _unpack(texts)
     first, second, at = _pairs(words)
     order = np.argsort(_item_keys(hashes, first, second), kind="stable")
     parts = [_unpack(x) for _, x in sorted(sums, key=lambda s: s[0])]
     size, some = len(hashes), lengths > 0
+    if not some.any():
+        return [lengths, np.zeros(len(lengths)), np.zeros(len(lengths))]
+    of_text = np.repeat(np.arange(len(lengths)), lengths)
+    before = np.concatenate([np.full(1, BOUNDARY, words.dtype), words[:-1]])
+    own_word, own_pair = _own(of_text, words), _own(of_text, at)
+    own_before = np.concatenate([np.ones(1, own_word.dtype), own_word[:-1]])  # a boundary stands once in a text
+    starts = (np.cumsum(lengths) - lengths)[some]
     out = [lengths]
-    for k, total in ((1, totals[0]), (0, totals[1])):
+    for k, total, counted in ((1, totals[0], targets.astype("int64")), (0, totals[1], np.ones(len(lengths), "int64"))):
+        n = np.empty(len(order), "int64")
+        n[order] = np.concatenate([p[k] for p in parts])
+        mine = counted[of_text]
+        loss = losses(n[words] - mine * own_word, n[before] - mine * own_before, n[size:][at] - mine * own_pair,
+                      (total - counted * lengths)[of_text], types)
         mean = np.zeros(len(lengths))
-        if some.any():
-            n = np.empty(len(order), "int64")
-            n[order] = np.concatenate([p[k] for p in parts])
-            model = Model(n[:size], first * size + second, n[size:], (total, types))
-            starts = (np.cumsum(lengths) - lengths)[some]
-            mean[some] = np.add.reduceat(model.loss[at], starts) / lengths[some]
+        mean[some] = np.add.reduceat(loss, starts) / lengths[some]
         out.append(mean)
     return out
 
@@ -239,6 +238,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` for every row of
     ``docs`` (doc_id, text; other columns are ignored). The target is the
     documents whose id is in ``targets`` (doc_id); the background is all of them.
+    The row itself is left out of the models that score it, and so of the target if
+    it is in there; repeated rows stay in each other's models.
 
     A null, empty or blank text has no token and scores zero. Repeated rows count
     and are scored as often as they stand. Null ids are in no target; without a

@@ -325,6 +325,46 @@ def test_quality_of_odd_rows(spark, odd, none, labels):
     assert quality.score_quality(none, known).count() == 0
 
 
+@pytest.mark.parametrize("good,bad", [("careful report found useful", "casino jackpot cheap pills"),
+                                      ("研究報告書詳細", "賭場大獎廉價藥"), ("отчёт найден полезным", "казино дешёвые таблетки")])
+def test_quality_by_words_of_any_script(spark, good, bad):
+    rng = np.random.default_rng(4)
+    gap = " " if " " in good else ""
+    rest = list("的一是不了人我在") if not gap else ["the", "and", "with", "then", "this"]
+    texts = [gap.join(rng.choice([*rest, *(good if k % 3 else bad).split()] if gap else [*rest, *(good if k % 3 else bad)], 30))
+             for k in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0), 0) for k in range(240)], LABELS)
+    held = [r for r in quality.score_quality(docs, labels).collect() if r.held_out]
+    assert len(held) > 30 and all(r.predicted == int(r.doc_id % 3 > 0) for r in held)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("abAB \n\té日本𝄞"), max_size=60), st.sampled_from([1 << 20, 64]))
+def test_word_and_code_point_features(text, piece):
+    old, quality.PIECE = quality.PIECE, piece
+    try:
+        got = quality._word_features(text.encode())
+    finally:
+        quality.PIECE = old
+    words = text.encode().lower().split()
+    points = [(x,) for x in text if ord(x) > 127] + [x for x in zip(text.encode().lower().decode(), text[1:]) if ord(x[0]) > 127]
+    many = len(set(words)) + len(set(zip(words, words[1:]))) + len({tuple(y.encode().lower() for y in x) for x in points})
+    assert len(got) == many and (got >= quality.SHAPES).all() and (got < quality.FEATURES).all()
+    if len(text.encode()) <= 64:
+        assert (got == quality._word_features(text.encode())).all()
+
+
+def test_score_is_the_curve_of_the_summed_weights():
+    texts = [sentence(k) if k % 2 else "Buy $$$ " + sentence(k) for k in range(60)]
+    rows = [quality.features(t.encode()) for t in texts]
+    w, a, b = quality.fit(rows, [k % 2 for k in range(60)])
+    model = quality.Model(w, a, b)
+    for t, r in zip(texts, rows):
+        assert model.score(t.encode()) == pytest.approx(1 / (1 + np.exp(-(a * sum(w[j] for j in r.tolist()) + b))))
+    assert model.score(None) == model.score(b"") == pytest.approx(1 / (1 + np.exp(-(a * w[0] + b))))
+
+
 def plain_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = [tuple(words[k:k + 8]) for k in range(len(words) - 7)]
@@ -363,6 +403,29 @@ def test_bad_hosts_take_their_documents_along(spark):
     assert [kept[k] for k in range(len(rows))] == [t == good and h != "bad" for h, t in rows]
 
 
+def plain_loss(docs, chosen, own, text, types):
+    """The loss of a text under the chosen texts other than ``own``, by plain counts."""
+    texts = [["|", *t.split(), "|"] for k, t in docs if k in set(chosen) and k != own]
+    pairs, words = Counter(p for t in texts for p in zip(t, t[1:])), Counter(w for t in texts for w in t[1:])
+    total = sum(words.values())
+    w = ["|", *text.split(), "|"]
+    share = {x: 0.99 * words[x] / total + 0.01 / types if total else 1 / types for x in w}
+    return -np.mean([np.log((pairs[a, b] + 16 * share[b]) / (words[a] + 16)) for a, b in zip(w, w[1:])])
+
+
+def test_two_halves_of_one_kind_score_alike(spark):
+    """Texts of the target score as others of their kind do, not as known ones."""
+    rng = np.random.default_rng(6)
+    kinds = [[f"{c}{k}" for k in range(400)] for c in "gb"]
+    docs = [(k, " ".join(kinds[k % 4 == 3][min(int(x), 399)] for x in rng.pareto(0.6, 60))) for k in range(400)]
+    target = spark.createDataFrame([(k,) for k in range(400) if k % 4 == 0], "doc_id long")
+    got = {r.doc_id: r.score for r in lm_scoring.cross_entropy_difference(
+        spark.createDataFrame(docs, "doc_id long, text string"), target).collect()}
+    inside, outside, other = ([got[k] for k in range(400) if k % 4 in of] for of in ((0,), (1, 2), (3,)))
+    assert abs(np.median(inside) - np.median(outside)) < 0.15
+    assert min(other) > max(*inside, *outside)
+
+
 def test_cross_entropy_difference(spark, odd, none):
     rng = np.random.default_rng(1)
     mine, other = list("abcdef"), list("uvwxyz")
@@ -371,23 +434,10 @@ def test_cross_entropy_difference(spark, odd, none):
     target = spark.createDataFrame([(k,) for k in range(1, 40, 2)], "doc_id long")
     got = {r.doc_id: r for r in lm_scoring.cross_entropy_difference(df, target).collect()}
     assert max(got[k].score for k in range(1, 60, 2)) < min(got[k].score for k in range(0, 60, 2))
-    # Against a plain count of the same model.
-    def model(chosen):
-        texts = [["|", *t.split(), "|"] for k, t in docs if k in chosen]
-        pairs = Counter(p for t in texts for p in zip(t, t[1:]))
-        seconds, firsts = Counter(), Counter()
-        for (a, b), n in pairs.items():
-            firsts[a] += n
-            seconds[b] += n
-        total, size = sum(seconds.values()), 12 + 2
-        # Kept pairs hold all of a history's mass, if the target has it at all.
-        return lambda a, b: 0.6 * (pairs[a, b] / max(firsts[a], 1) + (0 if firsts[a] else 1) * seconds[b] / total) + 0.39 * seconds[b] / total + 0.01 / size
-    every, some = model({k for k, _ in docs}), model(set(range(1, 40, 2)))
     for k, t in docs[:6]:
-        w = ["|", *t.split(), "|"]
         assert got[k].n_tokens == 41
-        assert got[k].background_loss == pytest.approx(-np.mean([np.log(every(*p)) for p in zip(w, w[1:])]))
-        assert got[k].target_loss == pytest.approx(-np.mean([np.log(some(*p)) for p in zip(w, w[1:])]))
+        assert got[k].background_loss == pytest.approx(plain_loss(docs, range(60), k, t, 12 + 2))
+        assert got[k].target_loss == pytest.approx(plain_loss(docs, range(1, 40, 2), k, t, 12 + 2))
     for ids in ([], [(5,), (None,), (5,), (10,)]):
         rows = lm_scoring.cross_entropy_difference(odd, spark.createDataFrame(ids, "doc_id long")).collect()
         assert Counter(r.doc_id for r in rows) == Counter(i for i, *_ in ODD)
@@ -407,32 +457,19 @@ def test_rare_words_and_pairs_of_a_large_corpus_count(spark, monkeypatch):
         spark.createDataFrame([(k,) for k in some], "doc_id long")).collect()}
     size = len({w for _, t in docs for w in t.split()}) + 2
 
-    def losses(chosen):
-        texts = [["|", *t.split(), "|"] for k, t in docs if k in chosen]
-        pairs, words = Counter(p for t in texts for p in zip(t, t[1:])), Counter(w for t in texts for w in t[1:])
-        total = sum(words.values())
-
-        def loss(text):
-            w = ["|", *text.split(), "|"]
-            return -np.mean([np.log(0.6 * (pairs[a, b] / words[a] if words[a] else words[b] / total) + 0.39 * words[b] / total + 0.01 / size)
-                             for a, b in zip(w, w[1:])])
-        return loss
-
-    every, target = losses({k for k, _ in docs}), losses(some)
     for k, t in docs[-8:]:
         assert got[k].n_tokens == len(t.split()) + 1
-        assert got[k].background_loss == pytest.approx(every(t)) and got[k].target_loss == pytest.approx(target(t))
+        assert got[k].background_loss == pytest.approx(plain_loss(docs, range(84), k, t, size))
+        assert got[k].target_loss == pytest.approx(plain_loss(docs, some, k, t, size))
     assert len(got) == len(docs)
 
 
 def test_model_shares_add_up_to_one():
-    words, pairs = np.array([3.0, 5, 4]), np.array([1, 3, 5, 7])
-    m = lm_scoring.Model(words, pairs, np.array([3.0, 2, 1, 4]))
+    words, pairs = np.array([3, 5, 4]), np.array([[0, 3, 0], [2, 0, 3], [1, 2, 1]])
     for first in range(3):
-        key = first * 3 + np.arange(3)
-        at = np.minimum(np.searchsorted(pairs, key), 3)
-        loss = m.losses(np.full(3, first), np.arange(3), at, pairs[at] == key)
-        assert np.exp(-loss).sum() == pytest.approx(1)
+        loss = lm_scoring.losses(words, words[first], pairs[first], 12, 3)
+        assert pairs[first].sum() == words[first] and np.exp(-loss).sum() == pytest.approx(1)
+    assert np.exp(-lm_scoring.losses(np.zeros(3), np.zeros(3), np.zeros(3), 0, 3)).sum() == pytest.approx(1)
 
 
 def mixing_tables(spark, n=240):
