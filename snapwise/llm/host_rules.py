@@ -65,16 +65,21 @@ def base_counts(text: Column) -> Column:
 def host_verdicts(failures: DataFrame) -> DataFrame:
     """``host, host_rate, host_kept`` of (host, failed boolean) rows.
 
-    The prior is the beta distribution with the mean and variance of the hosts'
-    failure rates; where they give none (fewer than two hosts, no variance, or
-    more than a beta can have) it weighs one document at the mean. A null host
-    is a host of its own."""
+    The prior is the beta distribution with the mean of the hosts' failure rates and
+    their variance beyond chance: what hosts of these sizes would vary by at one
+    common rate is taken off. Where nothing is left, hosts do not differ and the
+    prior weighs as much as all documents; where there are fewer than two hosts, or
+    more variance than a beta can have, it weighs one document at the mean. A null
+    host is a host of its own."""
     hosts = stage(failures.groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("failed").cast("long")).alias("fails")), "hosts")
     rate = F.col("fails") / F.col("n")
-    mean, variance = hosts.agg(F.avg(rate), F.var_samp(rate)).first()
-    mean, variance = mean or 0.0, variance or 0.0
-    strength = mean * (1 - mean) / variance - 1 if variance > 0 else 1.0
+    mean, variance, chance, rows = hosts.agg(
+        F.avg(rate), F.var_samp(rate), F.avg(1 / F.col("n")), F.sum("n")).first()
+    mean, strength = mean or 0.0, 1.0
+    if variance is not None:
+        spread = variance - mean * (1 - mean) * chance
+        strength = mean * (1 - mean) / spread - 1 if spread > 0 else float(rows)
     strength = strength if strength > 0 else 1.0
     shrunk = (F.col("fails") + mean * strength) / (F.col("n") + strength)
     return hosts.select("host", shrunk.alias("host_rate"), (shrunk <= MAX_HOST_RATE).alias("host_kept"))

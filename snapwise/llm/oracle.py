@@ -60,8 +60,12 @@ counts AS (
   FROM w LEFT JOIN lines l USING (doc_id) LEFT JOIN covered c USING (doc_id)),
 judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts),
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS fails FROM judged GROUP BY source),
-moments AS (SELECT avg(fails / n) AS m, coalesce(var_samp(fails / n), 0) AS v FROM hosts),
-prior AS (SELECT m, CASE WHEN v > 0 AND m * (1 - m) / v > 1 THEN m * (1 - m) / v - 1 ELSE 1 END AS s FROM moments),
+moments AS (
+  SELECT avg(fails / n) AS m, var_samp(fails / n) AS v, avg(1.0::DOUBLE / n) AS chance, sum(n) AS total FROM hosts),
+spread AS (SELECT *, v - m * (1 - m) * chance AS beyond FROM moments),
+prior AS (
+  SELECT m, CASE WHEN v IS NULL THEN 1 WHEN beyond <= 0 THEN total
+    WHEN m * (1 - m) / beyond > 1 THEN m * (1 - m) / beyond - 1 ELSE 1 END AS s FROM spread),
 verdicts AS (SELECT source, (fails + m * s) / (n + s) <= 0.5 AS host_kept FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND host_kept AS kept

@@ -403,6 +403,21 @@ def test_bad_hosts_take_their_documents_along(spark):
     assert [kept[k] for k in range(len(rows))] == [t == good and h != "bad" for h, t in rows]
 
 
+def test_the_prior_leaves_out_chance(spark):
+    """Small hosts of one common rate shrink to it; a host beyond chance does not."""
+    rng = np.random.default_rng(8)
+    rows = [(f"h{h}", bool(rng.random() < 0.2)) for h in range(300) for _ in range(5)]
+
+    def verdicts(rows):
+        return {r.host: r for r in host_rules.host_verdicts(spark.createDataFrame(rows, "host string, failed boolean")).collect()}
+    alike = verdicts(rows)
+    assert all(r.host_kept and 0.1 < r.host_rate < 0.35 for r in alike.values())
+    mixed = verdicts(rows + [("bad", k % 10 > 0) for k in range(500)])
+    assert [h for h, r in mixed.items() if not r.host_kept] == ["bad"] and mixed["bad"].host_rate > 0.8
+    assert verdicts([("a", True), ("a", False)])["a"].host_rate == 0.5
+    assert verdicts([("a", False), ("b", False)])["b"].host_rate == 0
+
+
 def plain_loss(docs, chosen, own, text, types):
     """The loss of a text under the chosen texts other than ``own``, by plain counts."""
     texts = [["|", *t.split(), "|"] for k, t in docs if k in set(chosen) and k != own]
