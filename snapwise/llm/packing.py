@@ -6,13 +6,16 @@ packed on its own: best fit by decreasing length first, then a local search that
 takes the emptiest sequence and moves its pieces out. A step is a move, a
 two-for-one or a one-for-one exchange with another underfull sequence that is at
 least as full; each step raises the sum of squared fills, and goes on until the
-sequence is empty or no step is left. A second pass gathers what is left in the
-underfull sequences of all groups and packs that anew, in groups again.
+sequence is empty or no step is left, whatever the number of its pieces. A second
+pass gathers what is left in the underfull sequences of all groups and packs that
+anew, in groups again. A very long text is many pieces of full length, which are
+sequences by themselves, and one shorter piece.
 """
 
 from __future__ import annotations
 
 import zlib
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,14 +87,39 @@ def best_fit(lengths, size: int):
     return bins
 
 
+def two_of_each(pieces: list[int], size_of) -> list[int]:
+    """Two pieces of each length at most: their pairs have all sums there are."""
+    same: dict[int, list[int]] = {}
+    for i in pieces:
+        same.setdefault(int(size_of[i]), []).append(i)
+    return [i for some in same.values() for i in some[:2]]
+
+
+def best_exchange(given: dict[int, tuple], size_of, room):
+    """The exchange that gains most for the taker: ``given`` holds what can be
+    handed over by its length, ``size_of`` and ``room`` the pieces that can come
+    back and the room left beside them. (gain, pieces given, piece back); the gain
+    is 0 if there is none. Every length given is tried against every piece."""
+    import numpy as np
+    if not given or not len(size_of):
+        return 0, (), -1
+    sums = np.array(sorted(given))
+    most = np.searchsorted(sums, size_of + room, "right") - 1
+    gain = np.where((room > 0) & (most >= 0), sums[most] - size_of, 0)
+    back = int(gain.argmax())
+    return max(0, int(gain[back])), given[int(sums[most[back]])], back
+
+
 def local_search(lengths, bins, size: int):
     """Improve a packing in place. Only underfull bins take part; a pass takes
-    them from the emptiest, and passes go on while one empties a bin."""
+    them from the emptiest, and passes go on while one takes a step: each raises
+    the squared fill, so they end. Steps do not change the room in all; once that is
+    less than a sequence, none can be emptied any more and no step is looked for."""
     import numpy as np
     n_bins = int(bins.max()) + 1 if len(bins) else 0
     fill = np.bincount(bins, lengths, n_bins).astype("int64")
     while True:
-        emptied = 0
+        steps = 0
         active = np.flatnonzero(fill[bins] < size)
         size_of, bin_of = lengths[active], bins[active].copy()
         for a in sorted(set(bin_of.tolist()), key=lambda b: (fill[b], b)):
@@ -114,18 +142,13 @@ def local_search(lengths, bins, size: int):
                     best, fits, out, back = step
                     b = int(bin_of[fits[best]])
                 else:  # two for one, then one for one, by gain
-                    best_gain, b = 0, -1
-                    pairs = [(i, j) for k, i in enumerate(mine[:12]) for j in mine[k + 1:12]]
-                    for out_now in [*pairs, *((i,) for i in mine)]:
-                        if len(out_now) == 1 and best_gain:
-                            break
-                        gain = sum(int(size_of[i]) for i in out_now) - size_of
-                        gain = np.where((gain > 0) & (gain <= room), gain, 0)
-                        at = int(gain.argmax())
-                        if gain[at] > best_gain:
-                            best_gain, b, out, back = int(gain[at]), int(bin_of[at]), out_now, at
-                    if not best_gain:
+                    pairs = {int(size_of[i] + size_of[j]): (i, j) for i, j in combinations(two_of_each(mine, size_of), 2)}
+                    gain, out, back = best_exchange(pairs, size_of, room)
+                    if not gain:
+                        gain, out, back = best_exchange({int(size_of[i]): (i,) for i in mine}, size_of, room)
+                    if not gain:
                         break
+                    b = int(bin_of[back])
                 moved = sum(int(size_of[i]) for i in out)
                 for i in out:
                     bin_of[i] = b
@@ -136,9 +159,9 @@ def local_search(lengths, bins, size: int):
                     mine.append(back)
                 fill[a] -= moved
                 fill[b] += moved
-            emptied += fill[a] == 0
+                steps += 1
         bins[active] = bin_of
-        if not emptied:
+        if not steps:
             return bins
 
 
