@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,12 +77,32 @@ def rows_of(batches, *names: str) -> Iterator[tuple]:
             yield from zip(*(c.slice(at, SLICE).to_pylist() for c in columns), strict=True)
 
 
+#: Schemes of Hadoop file systems and pyarrow's names for the same stores.
+SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+           "abfs": "abfs", "abfss": "abfss"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of Spark's default file system where it has none,
+    refused on the driver if tasks could not open it."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
+    scheme = urlparse(full).scheme
+    if scheme != "file" and scheme not in SCHEMES:
+        raise ValueError(f"files under {scheme}:// cannot be opened from tasks; set spark.checkpoint.dir to one of "
+                         f"file, {', '.join(sorted(SCHEMES))}")
+    return full
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path) of a folder URI; a bare path is local."""
     from pyarrow import fs
-    if urlparse(uri).scheme in ("", "file"):
-        return fs.LocalFileSystem(), urlparse(uri).path or uri
-    return fs.FileSystem.from_uri(uri)
+    scheme = urlparse(uri).scheme
+    if scheme in ("", "file"):
+        return fs.LocalFileSystem(), unquote(urlparse(uri).path) if scheme else uri
+    if scheme not in SCHEMES:
+        raise ValueError(f"no file system for {scheme}://")
+    return fs.FileSystem.from_uri(SCHEMES[scheme] + uri[len(scheme):])
 
 
 def smallest_reachable(a, b, n: int):

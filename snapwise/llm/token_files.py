@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwise.llm.common import filesystem, rows_of
+from snapwise.llm.common import filesystem, qualified, rows_of
 from snapwise.llm.tokens import Encoder
 
 NULL_ID = -(2 ** 63)
@@ -36,9 +36,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, cut: str,
 
     Null text is an empty one: only the end id. Documents with equal ids are
     ordered by text; repeated rows are written as often as they stand. An empty
-    table gives a manifest without shards. ``width`` is 2 or 4 bytes an id."""
+    table gives a manifest without shards. ``width`` is 2 or 4 bytes an id; a
+    vocabulary or end id that it cannot hold is refused."""
     spark = docs.sparkSession
-    dtype = DTYPES[width]
+    folder, dtype = qualified(spark, folder), DTYPES[width]
+    most = max(end_id, *Encoder.load(tokenizer, cut).tokenizer.get_vocab(with_added_tokens=True).values())
+    if most >= 1 << 8 * width:
+        raise ValueError(f"id {most} does not fit into {width} bytes")
 
     def write(batches):
         import uuid
@@ -115,6 +119,7 @@ def read_token_files(spark: SparkSession, folder: str, with_ids: bool = False) -
     before it), n_tokens, ids_crc32 (over the ids as little-endian unsigned 32
     bits) and, if asked for, the ids themselves in that form."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    folder = qualified(spark, folder)
     shards = [(s["shard"], s["ids_before"], s["width"]) for s in read_manifest(folder)]
     if not shards:
         return spark.createDataFrame([], schema)

@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapwise.llm.common import Staged, filesystem, rows_of
+from snapwise.llm.common import Staged, filesystem, qualified, rows_of
 
 #: Bytes of a chunk, the size at which a task begins a further archive, and the
 #: number of repeated payloads up to which their list is broadcast.
@@ -47,11 +47,12 @@ def chunk_rows(pages: DataFrame, min_bytes: int = 0, chunk: int = CHUNK) -> Data
     revisit = F.coalesce(F.col("first_row") != F.col("row"), F.lit(False))
     rows = rows.join(repeated, ["sha1", "bytes"], "left").withColumn("revisit", revisit)
     last = F.when(F.col("revisit"), 0).otherwise(F.greatest(F.lit(0), F.ceil(F.col("bytes") / chunk) - 1)).cast("long")
-    return rows.withColumn("last", last) \
-        .withColumn("chunk_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))) \
-        .select("row", "page_id", "url", "sha1", "bytes", "revisit", "first_page", "first_row", "chunk_no", "last",
-                F.when(~F.col("revisit"), F.substring("payload", (F.col("chunk_no") * chunk + 1).cast("int"), F.lit(chunk)))
-                .alias("chunk"))
+    # The payload is cut before its row is multiplied, so no chunk's row holds it all.
+    chunks = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda k: F.struct(k.alias("chunk_no"), F.when(
+        ~F.col("revisit"), F.substring("payload", (k * chunk + 1).cast("int"), F.lit(chunk))).alias("chunk")))
+    return rows.select("row", "page_id", "url", "sha1", "bytes", "revisit", "first_page", "first_row",
+                       last.alias("last"), F.explode(chunks).alias("at")) \
+        .select("row", "page_id", "url", "sha1", "bytes", "revisit", "first_page", "first_row", "at.chunk_no", "last", "at.chunk")
 
 
 def _record_id(folder: str, row: int) -> str:
@@ -86,6 +87,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, chunk: int = C
     of at least ``min_bytes`` that with the largest page_id (of equal ids, the
     later row) is the response and the others revisit it. Null ids count as
     smallest and their header is left out. An empty table writes no file."""
+    folder = qualified(pages.sparkSession, folder)
     columns = ["row", "page_id", "url", "sha1", "bytes", "revisit", "first_page", "first_row", "chunk_no", "last", "chunk"]
 
     def write(batches):
@@ -178,6 +180,7 @@ def read_warc(spark: SparkSession, folder: str, names: list[str], chunk: int = C
     ``is_last`` has those of the full payload."""
     if not names:
         return spark.createDataFrame([], CHUNKS)
+    folder = qualified(spark, folder)
 
     def read(batches):
         import gzip
