@@ -2,31 +2,40 @@
 
 Equal vectors are one class with a count. A rotation onto the principal axes of
 the unit vectors (one small aggregate) puts most of each product into the leading
-dimensions. Classes are ordered by the first axis and cut into tiles; a pair of
-tiles whose angles to that axis are further apart than the threshold's angle is
-never formed. A unit of work is a pair of tiles: it accumulates products over
-blocks of dimensions, bounds what is missing by the product of the suffix norms,
-and stops once no pair can reach the threshold, or goes on with the few pairs
-that still can. It returns a link count per class and one link per class at most
-for the components, never the pairs of a group. Every link is decided on cosines
-in double precision.
+dimensions. Classes are ordered by the cell of their leading coordinates, each
+above or below its mean, and written once in that order as files of a bounded
+number of rows: the tiles. Each tile has a box of its leading coordinates and its
+largest suffix norm, and a pair of tiles is compared only if the product that its
+boxes allow can reach the threshold. The work table holds numbers alone: a task
+reads the files of a tile and, one after the other, those of its partners, so no
+vector is shuffled for a pair and a task holds two tiles, however many vectors
+point one way.
+
+A pair of tiles accumulates products over blocks of dimensions, bounds what is
+missing by the product of the suffix norms, and stops once no pair can reach the
+threshold, or goes on with the few pairs that still can. It returns a link count
+per class and one link per class at most for the components, never the pairs of a
+group. Every link is decided on cosines in double precision. Where the boxes rule
+nothing out (vectors spread evenly over many dimensions), the comparisons grow
+with the square of the classes, as the method has it.
 """
 
 from __future__ import annotations
 
-import math
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapwise.llm.common import Staged, smallest_reachable, stage
+from snapwise.llm.common import filesystem, qualified, shared_folder, smallest_reachable, stage
 from snapwise.llm.components import connected_components
 
-#: Classes of a tile, of a block inside a unit, dimensions of a step, and what
-#: single precision may lose in a bound.
-TILE, BLOCK, STEP, ROUNDING = 2048, 1024, 24, 5e-5
-#: Tiles at most; beyond that tiles grow, so that their list stays small.
-MAX_TILES = 2048
+#: Classes of a tile at most, and numbers in its vectors; classes of a block inside a
+#: pair, dimensions of a step, and what single precision may lose in a bound.
+TILE, NUMBERS, BLOCK, STEP, ROUNDING = 4096, 1 << 22, 1024, 24, 5e-5
+#: Leading dimensions of a cell and of a box; units of work at least, and partners
+#: of a tile in one unit at most.
+CELL, BOX, UNITS, PARTNERS = 12, 16, 64, 64
 
 
 def _valid():
@@ -49,27 +58,35 @@ def _unit(column):
 
 def principal_axes(classes: DataFrame, dim: int):
     """The eigenvectors (columns, largest first) of the unit vectors' second
-    moments: ``dim`` squared sums come to the driver."""
+    moments, and the mean of the coordinates along them: ``dim`` x (``dim`` + 1) sums
+    come to the driver."""
     import numpy as np
 
     def partial(batches):
         import pandas as pd
         import pyarrow as pa
-        total = np.zeros((dim, dim))
+        total = np.zeros((dim + 1, dim))
         for batch in batches:
             if batch.num_rows:
                 u = _unit(batch.column(0))
-                total += u.T @ u
-        yield pa.RecordBatch.from_pandas(pd.DataFrame({"at": np.arange(dim * dim), "value": total.ravel()}),
+                total[:dim] += u.T @ u
+                total[dim] += u.sum(axis=0)
+        yield pa.RecordBatch.from_pandas(pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()}),
                                          preserve_index=False)
 
     sums = classes.filter(F.size("embedding") == dim).select("embedding") \
         .mapInArrow(partial, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
-    moment = np.zeros(dim * dim)
+    total = np.zeros((dim + 1) * dim)
     for r in sums:
-        moment[r["at"]] = r["value"]
-    moment = moment.reshape(dim, dim)
-    return np.linalg.eigh((moment + moment.T) / 2)[1][:, ::-1].copy()
+        total[r["at"]] = r["value"]
+    moment, first = total[:-dim].reshape(dim, dim), total[-dim:]
+    axes = np.linalg.eigh((moment + moment.T) / 2)[1][:, ::-1].copy()
+    return axes, first @ axes / max(1.0, np.trace(moment))  # unit vectors: the trace is their number
+
+
+def _rotated(u, axes):
+    """Coordinates along the axes; vectors of another length keep theirs."""
+    return u @ axes if axes is not None and axes.shape[0] == u.shape[1] else u
 
 
 class Side:
@@ -80,8 +97,7 @@ class Side:
     def __init__(self, u, axes, sign: int):
         import numpy as np
         self.u = u
-        rotated = u @ axes if axes is not None and axes.shape[0] == u.shape[1] else u
-        self.lead = rotated[:, 0]
+        rotated = _rotated(u, axes)
         self.steps, before = [], None
         for lo in range(0, u.shape[1], STEP):
             rest = np.sqrt(np.maximum(0, np.einsum("ij,ij->i", rotated[:, lo + STEP:], rotated[:, lo + STEP:])))
@@ -115,28 +131,39 @@ def near_pairs(a: Side, rows: slice, b: Side, others: slice, threshold: float):
     return i[near], j[near]
 
 
-def _unit_links(table, axes, threshold: float):
-    """Link counts and component links of one pair of tiles."""
+class Tile:
+    """The classes of a tile (cid, n, embedding of one length) as either side."""
+
+    def __init__(self, table, axes):
+        self.cid, self.weight = (table.column(k).to_numpy() for k in ("cid", "n"))
+        self.u, self.axes = _unit(table.column("embedding")), axes
+
+    @cached_property
+    def left(self) -> Side:
+        return Side(self.u, self.axes, 1)
+
+    @cached_property
+    def right(self) -> Side:
+        return Side(self.u, self.axes, -1)
+
+
+def pair_links(a: Tile, b: Tile, threshold: float):
+    """Link counts and component links between two tiles, or inside one
+    (``a is b``): (cid, links, to) arrays of the classes that have a link."""
     import numpy as np
-    import pyarrow as pa
-    cid, weight, side = (table.column(n).to_numpy() for n in ("cid", "n", "side"))
-    u = _unit(table.column("embedding"))
-    lead = (u @ axes)[:, 0] if axes.shape[0] == u.shape[1] else u[:, 0]
-    order = np.lexsort((cid, lead, side))
-    cid, weight, side, u = cid[order], weight[order], side[order], u[order]
-    a, b = Side(u, axes, 1), Side(u, axes, -1)
-    two = bool(side.any())
-    cut = int(np.searchsorted(side, 2)) if two else len(cid)
+    same = a is b
+    cid = a.cid if same else np.concatenate([a.cid, b.cid])
+    weight = a.weight if same else np.concatenate([a.weight, b.weight])
     links = np.zeros(len(cid), "int64")
     from_, to = [], []
-    for lo in range(0, cut, BLOCK):
-        hi = min(lo + BLOCK, cut)
-        for at in range(cut if two else lo, len(cid), BLOCK):
-            end = min(at + BLOCK, len(cid))
-            i, j = near_pairs(a, slice(lo, hi), b, slice(at, end), threshold)
+    for lo in range(0, len(a.cid), BLOCK):
+        for at in range(lo if same else 0, len(b.cid), BLOCK):
+            i, j = near_pairs(a.left, slice(lo, lo + BLOCK), b.right, slice(at, at + BLOCK), threshold)
             i, j = i + lo, j + at
-            if not two:
+            if same:
                 i, j = i[i < j], j[i < j]
+            else:
+                j = j + len(a.cid)
             if len(i):
                 np.add.at(links, i, weight[j])
                 np.add.at(links, j, weight[i])
@@ -144,9 +171,129 @@ def _unit_links(table, axes, threshold: float):
                 node = np.flatnonzero(low != np.arange(len(cid)))
                 from_.append(node)
                 to.append(low[node])
+    if not from_:
+        return cid[:0], links[:0], cid[:0]
     found = np.flatnonzero(links)
-    low = smallest_reachable(np.concatenate(from_), np.concatenate(to), len(cid)) if from_ else np.arange(len(cid))
-    return pa.table({"cid": cid[found].astype("int64"), "links": links[found], "to": cid[low[found]].astype("int64")})
+    low = smallest_reachable(np.concatenate(from_), np.concatenate(to), len(cid))
+    return cid[found], links[found], cid[low[found]]
+
+
+def box_bound(low, high, rest, k: int, others):
+    """The most that a product of a vector of tile ``k`` with one of ``others`` can
+    be: by dimension the greatest product of the boxes' ends, and the suffix norms."""
+    import numpy as np
+    ends = [x[k] * y[others] for x in (low, high) for y in (low, high)]
+    return np.max(ends, axis=0).sum(axis=1) + rest[k] * rest[others]
+
+
+def write_tiles(classes: DataFrame, axes, mean, count: int) -> list[tuple]:
+    """Write ``classes`` (cid, n, embedding) once as files of at most ``TILE`` rows,
+    ordered by cell, and return a tile per row: (dimensions, files, box's low and
+    high ends, largest suffix norm). Small neighbouring files are one tile."""
+    import math
+
+    import numpy as np
+    size = max(1, min(TILE, NUMBERS // axes.shape[0]))
+
+    def place(batches):
+        import pyarrow as pa
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("embedding"))
+            cell, lead, dims = np.zeros(len(column), "int64"), np.zeros(len(column)), column.value_lengths().to_numpy()
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                x = _rotated(_unit(column.take(pa.array(at))), axes)
+                middle = mean if dim == axes.shape[0] else np.zeros(dim)
+                for k in range(min(CELL, dim)):
+                    cell[at] += (x[:, k] > middle[k]).astype("int64") << (CELL - 1 - k)
+                lead[at] = x[:, 0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dims, pa.int32()), pa.array(cell), pa.array(lead)],
+                                             names=[*batch.schema.names, "d", "cell", "lead"])
+
+    placed = classes.select("cid", "n", "embedding").mapInArrow(
+        place, f"cid long, n long, embedding {classes.schema['embedding'].dataType.simpleString()}, d int, cell long, lead double")
+    order, spark = ["d", "cell", "lead", "cid"], classes.sparkSession
+    folder = qualified(spark, shared_folder(spark, "tiles"))
+    # cid parts vectors that point one way, so no range is large.
+    placed.repartitionByRange(math.ceil(count / size), *order).sortWithinPartitions(*order) \
+        .select("cid", "n", "embedding").write.option("maxRecordsPerFile", size).parquet(folder)
+
+    def boxes(batches):
+        import pandas as pd
+        import pyarrow as pa
+        for batch in batches:
+            names, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            dims = column.value_lengths().to_numpy()
+            for name, dim in sorted(set(zip(names, dims.tolist()))):
+                at = np.flatnonzero((names == name) & (dims == dim))
+                x = _rotated(_unit(column.take(pa.array(at))), axes)
+                row = (name, dim, len(at), [x[:, :BOX].min(axis=0).tolist()], [x[:, :BOX].max(axis=0).tolist()],
+                       float(np.sqrt((x[:, BOX:] ** 2).sum(axis=1)).max(initial=0)))
+                yield pa.RecordBatch.from_pandas(pd.DataFrame(dict(zip(
+                    ("file", "d", "n", "low", "high", "rest"), row))), preserve_index=False)
+
+    # A row or two per file come to the driver.
+    rows = spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("file"), "embedding") \
+        .mapInArrow(boxes, "file string, d long, n long, low array<double>, high array<double>, rest double").collect()
+    tiles: list[list] = []
+    for r in sorted(rows, key=lambda r: (r["d"], r["file"])):
+        old = tiles[-1] if tiles else None
+        if old and old[0] == r["d"] and (r["file"] == old[1][-1] or old[5] + r["n"] <= size):
+            files = old[1] if r["file"] == old[1][-1] else [*old[1], r["file"]]
+            tiles[-1] = [old[0], files, np.minimum(old[2], r["low"]), np.maximum(old[3], r["high"]),
+                         max(old[4], r["rest"]), old[5] + r["n"]]
+        else:
+            tiles.append([r["d"], [r["file"]], np.array(r["low"]), np.array(r["high"]), r["rest"], r["n"]])
+    return [tuple(t[:5]) for t in tiles]
+
+
+def tile_links(spark, tiles: list[tuple], axes, threshold: float) -> DataFrame:
+    """(cid, links, to) of all pairs of ``tiles`` within reach. A unit of work is a
+    tile and a share of the tiles that follow it on the circle of those of its
+    length, half of them, so every tile has as many partners."""
+    import numpy as np
+    length = np.array([t[0] for t in tiles])
+    first = np.searchsorted(length, length)
+    circle = np.searchsorted(length, length, "right") - first
+    width = max(len(t[2]) for t in tiles)
+    low, high = (np.array([np.pad(t[k], (0, width - len(t[k]))) for t in tiles]) for k in (2, 3))
+    rest, files = np.array([t[4] for t in tiles]), [t[1] for t in tiles]
+    parts = max(-(-UNITS // len(tiles)), -(-int(circle.max()) // (2 * PARTNERS)))
+    known = spark.sparkContext.broadcast((length, first, circle, low, high, rest, files))
+
+    def load(k, length, files):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        tables = []
+        for uri in files[k]:
+            fs, path = filesystem(uri)
+            with fs.open_input_file(path) as f:
+                tables.append(pq.read_table(f, columns=["cid", "n", "embedding"]))
+        table = pa.concat_tables(tables)
+        dims = table.column("embedding").combine_chunks().value_lengths().to_numpy()
+        return Tile(table if (dims == length[k]).all() else table.take(pa.array(np.flatnonzero(dims == length[k]))), axes)
+
+    def compare(batches):
+        import pyarrow as pa
+        length, first, circle, low, high, rest, files = known.value
+        for unit in (u for batch in batches for u in batch.column(0).to_pylist()):
+            k, part = divmod(unit, parts)
+            n = int(circle[k])
+            steps = np.arange(part, n // 2 + 1, parts)
+            if n % 2 == 0 and k - first[k] >= n // 2:  # the tile opposite has this pair
+                steps = steps[steps < n // 2]
+            others = first[k] + (k - first[k] + steps) % n
+            others = others[box_bound(low, high, rest, k, others) >= threshold - ROUNDING]
+            if not len(others):
+                continue
+            mine = load(k, length, files)
+            for o in others.tolist():
+                found = pair_links(mine, mine if o == k else load(o, length, files), threshold)
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["cid", "links", "to"])
+
+    units = len(tiles) * parts
+    return spark.range(0, units, 1, min(units, 100_000)).mapInArrow(compare, "cid long, links long, to long")
 
 
 def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -167,42 +314,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     if common is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    axes = principal_axes(classes, common["d"])
-
-    def first_angle(batches):
-        import numpy as np
-        import pyarrow as pa
-        for batch in batches:
-            cid, column = batch.column(0), batch.column(1)
-            angle, dims = np.zeros(len(cid)), column.value_lengths().to_numpy()
-            for dim in np.unique(dims).tolist():
-                at = np.flatnonzero(dims == dim)
-                u = _unit(column.take(pa.array(at)))
-                lead = u @ axes[:, 0] if dim == axes.shape[0] else u[:, 0]
-                angle[at] = np.arccos(np.clip(lead, -1, 1))
-            yield pa.RecordBatch.from_arrays([cid, pa.array(angle)], names=["cid", "angle"])
-
-    angles = Staged(classes.select("cid", "embedding").mapInArrow(first_angle, "cid long, angle double"), "angles").df
-    count = angles.count()
-    tiles = min(MAX_TILES, -(-count // TILE))
-    cuts = sorted(set(angles.approxQuantile("angle", [k / tiles for k in range(1, tiles)], 0.05 / tiles))) \
-        if tiles > 1 else []
-    # Tile t holds the angles from cuts[t - 1] to cuts[t]; what a tile must be
-    # compared with begins where the gap between the two is within reach.
-    reach = math.acos(min(1.0, max(-1.0, threshold))) + 1e-6
-    ends = [(-math.inf if t == 0 else cuts[t - 1], math.inf if t == len(cuts) else cuts[t]) for t in range(len(cuts) + 1)]
-    near = [[o for o in range(len(ends)) if ends[o][0] - ends[t][1] <= reach and ends[t][0] - ends[o][1] <= reach]
-            for t in range(len(ends))]
-    tile = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("angle"))) if cuts else F.lit(0)
-    first, last = (F.get(F.array(*[F.lit(p[k]) for p in near]), F.col("tile")) for k in (0, -1))
-    placed = classes.join(angles.select("cid", tile.alias("tile")), "cid") \
-        .withColumn("other", F.explode(F.sequence(first, last)))
-    units = placed.select(
-        F.size("embedding").alias("d"), F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-        F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2).alias("side"),
-        "cid", "n", "embedding")
-    found = stage(units.groupBy("d", "i", "j").applyInArrow(
-        lambda table: _unit_links(table, axes, threshold), "cid long, links long, to long"), "links")
+    axes, mean = principal_axes(classes, common["d"])
+    tiles = write_tiles(classes, axes, mean, classes.count())
+    found = stage(tile_links(classes.sparkSession, tiles, axes, threshold), "links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     nodes = connected_components(found.select(F.col("cid").alias("a"), F.col("to").alias("b")))
     member = classes.join(links, "cid", "left").join(nodes.withColumnRenamed("node", "cid"), "cid", "left") \

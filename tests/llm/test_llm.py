@@ -13,9 +13,10 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapwise.llm import chat, embeddings, host_rules, lm_scoring, mixing, packing, quality, simhash, warc
+from snapwise.llm import chat, common, embeddings, host_rules, lm_scoring, mixing, packing, quality, simhash, warc
 from snapwise.llm.common import shared_folder, smallest_reachable
 from snapwise.llm.components import connected_components
 from snapwise.llm.queries import tokenizer_path
@@ -124,6 +125,31 @@ def test_local_search_never_opens_bins(lengths):
     assert len(fill) < 2 or fill[0] + fill[1] > 20
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=30), st.lists(st.tuples(st.integers(1, 20), st.integers(0, 19)), min_size=1, max_size=20))
+def test_every_exchange_is_tried(mine, others):
+    size_of = np.array(mine + [n for n, _ in others])
+    room = np.array([0] * len(mine) + [r for _, r in others])
+    given_up = packing.two_of_each(range(len(mine)), size_of)
+    pairs = {int(size_of[i] + size_of[j]): (i, j) for i in given_up for j in given_up if i < j}
+    gain, out, back = packing.best_exchange(pairs, size_of, room)
+    every = [a + b - n for k, a in enumerate(mine) for b in mine[k + 1:] for n, r in others if 0 < a + b - n <= r]
+    assert gain == max(every, default=0)
+    if gain:
+        assert sum(size_of[i] for i in out) - size_of[back] == gain and len(set(out)) == 2 and 0 < gain <= room[back]
+
+
+def test_paths_and_widths(spark, odd, tmp_path):
+    import pyarrow.fs as pafs
+    assert common.filesystem(str(tmp_path))[1] == str(tmp_path)
+    assert common.filesystem("file:/a%20b/c")[1] == "/a b/c"
+    assert isinstance(common.filesystem(common.qualified(spark, str(tmp_path)))[0], pafs.LocalFileSystem)
+    with pytest.raises(ValueError, match="wasbs"):
+        common.filesystem("wasbs://a@b/c")
+    with pytest.raises(ValueError, match="does not fit"):
+        write_token_files(odd, shared_folder(spark, "tokens"), tokenizer_path(WORD[0]), WORD[1], 70_000, 2)
+
+
 def test_token_files_round_trip(spark, odd):
     folder = shared_folder(spark, "tokens")
     write_token_files(odd, folder, tokenizer_path(WORD[0]), WORD[1], 2, 2)
@@ -275,11 +301,38 @@ def test_near_pairs_in_tiles(monkeypatch):
             np.fill_diagonal(near, False)
             if side.any():
                 near &= side[:, None] != side[None, :]
-            found = embeddings._unit_links(pa.table({
-                "cid": np.arange(500), "n": np.arange(500) + 1, "side": side,
-                "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))}), axes, 0.9)
-            got = dict(zip(found.column("cid").to_pylist(), found.column("links").to_pylist()))
-            assert got == {k: int((near[k] * (np.arange(500) + 1)).sum()) for k in range(500) if near[k].any()}
+            table = pa.table({"cid": np.arange(500), "n": np.arange(500) + 1,
+                              "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))})
+            tiles = [embeddings.Tile(table.filter(pa.array(side == k)), axes) for k in sorted(set(side.tolist()))]
+            cid, links, to = embeddings.pair_links(tiles[0], tiles[-1], 0.9)
+            assert dict(zip(cid.tolist(), links.tolist())) == {
+                k: int((near[k] * (np.arange(500) + 1)).sum()) for k in range(500) if near[k].any()}
+            label = components_of(near | np.eye(500, dtype=bool))
+            linked = np.array([[label[c], label[t]] for c, t in zip(cid, to)]).reshape(-1, 2)
+            assert (linked[:, 0] == linked[:, 1]).all()
+
+
+def test_tiles_of_a_hot_direction_stay_bounded(spark, monkeypatch):
+    """Scaled copies of one vector and vectors around many centres: every link is
+    found, tiles are bounded, and pairs of tiles out of reach are left out."""
+    monkeypatch.setattr(embeddings, "TILE", 64)
+    rng = np.random.default_rng(8)
+    one = rng.normal(size=16)
+    x = np.concatenate([one[None, :] * np.arange(1, 401)[:, None],
+                        np.repeat(rng.normal(size=(8, 16)), 100, 0) + rng.normal(size=(800, 16)) * 0.2])
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(5)
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    near = u @ u.T >= 0.9
+    label = components_of(near)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.embedding_groups(df, 0.9).collect()}
+    assert got == {k: (int(near[k].sum()) - 1, int(label[k])) for k in range(len(x))}
+    classes = df.select(F.col("vec_id").alias("cid"), F.lit(1).cast("long").alias("n"), "embedding")
+    axes, mean = embeddings.principal_axes(classes, 16)
+    tiles = embeddings.write_tiles(classes, axes, mean, len(x))
+    assert len(tiles) >= len(x) / 64
+    low, high, rest = (np.array([t[k] for t in tiles]) for k in (2, 3, 4))
+    bounds = np.array([embeddings.box_bound(low, high, rest, k, np.arange(len(tiles))) for k in range(len(tiles))])
+    assert (bounds < 0.9).mean() > 0.3
 
 
 # -- classifier, rules, language models, mixing ---------------------------------------
