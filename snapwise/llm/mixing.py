@@ -153,6 +153,18 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], to
     return rate
 
 
+def reached_shares(mixed: DataFrame, targets: dict[str, float]) -> DataFrame:
+    """``domain, target, reached``: each domain's share of the targets and of the
+    expected tokens of a ``mixture`` by its rates (null if there are none), so a
+    difference tells how far the fit was from its targets when it ended."""
+    domains, whole = sorted(targets), sum(targets.values())
+    tokens = F.col("n_tokens") * F.col("rate")
+    sums = mixed.agg(F.sum(tokens).alias("all"), *[F.sum(tokens * F.get("p", F.lit(k))).alias(f"s{k}") for k in range(len(domains))])
+    return sums.select(F.explode(F.array(*[
+        F.struct(F.lit(d).alias("domain"), F.lit(targets[d] / whole).alias("target"),
+                 F.try_divide(f"s{k}", "all").alias("reached")) for k, d in enumerate(domains)])).alias("at")).select("at.*")
+
+
 def mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
     """``row, doc_id, n_tokens, p, rate`` for every row of ``docs`` (doc_id,
     text; other columns are ignored), given ``labels`` (doc_id, domain) and each

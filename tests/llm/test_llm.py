@@ -560,6 +560,9 @@ def test_mixing_meets_its_targets(spark):
     assert np.mean(right) > 0.95
     reached = (p * (got.n_tokens * got.rate).values[:, None]).sum(0) / got.n_tokens.sum()
     assert np.allclose(reached, [targets[d] for d in sorted(targets)], atol=1e-4)
+    shares = mixing.reached_shares(spark.createDataFrame(got[["n_tokens", "rate", "p"]]), targets).collect()
+    assert [(r.domain, r.target) for r in shares] == [(d, pytest.approx(targets[d])) for d in sorted(targets)]
+    assert [r.reached for r in shares] == pytest.approx((reached / reached.sum()).tolist())
     mixed = mixing.mix_documents(docs, mixing.label_domains(labels), targets).toPandas()
     share = Counter(names[i % 6] for i in mixed.doc_id)
     assert abs(share["general"] / len(mixed) - 0.8) < 0.08
