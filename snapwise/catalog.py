@@ -1269,9 +1269,10 @@ def q_stream_state_events(spark, sf):
     that the stream keeps per guild; documents arrive in any order."""
     from snapwise.streaming import guild_state as GS
     landing, events = RW.fresh_dir(spark, "landing"), RW.fresh_dir(spark, "events")
-    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), landing)
+    roster = _roster(spark, sf)
+    RW.write_envelopes(RW.envelopes_from_roster(roster), landing)
     GS.clock_document(spark, STREAM_END, f"{landing}/last")
-    GS.start(spark, landing, events, delay="40 days", clean=False).awaitTermination()
+    GS.start(spark, landing, events, delay="40 days", parts=GS.parts_for(roster), clean=False).awaitTermination()
     return GS.read_events(spark, events).select(
         "kind", "guild_name", "world", "character_name", "vocation", "guild_rank", "level", "status", "joined_date",
         "previous_level", "previous_guild_rank", "previous_status", "interval_minutes", "estimated_online_minutes",
@@ -1298,9 +1299,10 @@ def q_stream_minutes_by_day(spark, sf):
     from snapwise.streaming import event_time as ET
     from snapwise.streaming import guild_state as GS
     landing, events, days = (RW.fresh_dir(spark, n) for n in ("landing", "events", "days"))
-    RW.write_envelopes(RW.envelopes_from_roster(_roster(spark, sf)), landing)
+    roster = _roster(spark, sf)
+    RW.write_envelopes(RW.envelopes_from_roster(roster), landing)
     GS.clock_document(spark, STREAM_END, f"{landing}/last")
-    GS.start(spark, landing, events, delay="40 days", clean=False).awaitTermination()
+    GS.start(spark, landing, events, delay="40 days", parts=GS.parts_for(roster), clean=False).awaitTermination()
     ET.minutes_by_day(spark, events, days, delay="40 days").awaitTermination()
     return ET.read_days(spark, days)
 

@@ -6,6 +6,7 @@ import random
 import time
 from collections import Counter
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from snapwise.plans import rebuild as RB
@@ -103,6 +104,71 @@ def test_guild_state_goes_on_where_it_stopped(spark):
         assert have == want, (kind, have - want, want - have)
 
 
+def big_guild(spark, members, hours=(0, 1, 2, 30)):
+    """A guild whose members all level up from snapshot to snapshot, one of seven away in each."""
+    polls = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)) for i, h in enumerate(hours)],
+                                  "i int, extracted_at_utc timestamp_ntz")
+    return spark.range(members).crossJoin(polls).filter((F.col("id") + F.col("i")) % 7 > 0).select(
+        F.concat(F.lit("s"), "i").alias("snapshot_id"), "extracted_at_utc", F.lit("g").alias("guild_name"),
+        F.lit("w").alias("world"), F.concat(F.lit("c"), "id").alias("character_name"),
+        F.when(F.col("id") % 3 == 0, "elder").otherwise(F.concat(F.lit("r"), "i")).alias("guild_rank"),
+        F.lit("knight").alias("vocation"), F.when(F.col("id") % 5 > 0, (F.col("id") + F.col("i")).cast("int")).alias("level"),
+        F.when(F.col("id") % 2 == 0, "online").otherwise("offline").alias("status"), F.lit(None).cast("date").alias("joined"))
+
+
+def test_state_calls_do_not_grow_with_the_members(spark):
+    """A snapshot costs a group a few rows of state, not one per member."""
+    roster = big_guild(spark, 1500)  # four documents a snapshot
+    landing, events = RW.fresh_dir(spark, "landing"), RW.fresh_dir(spark, "events")
+    land(RW.envelopes_from_roster(roster), landing)
+    GS.clock_document(spark, "2024-03-01 00:00:00", f"{landing}/last")
+    q = GS.start(spark, landing, events, delay="3 days", parts=3, clean=False)
+    q.awaitTermination()
+    assert q.exception() is None
+    got, want = GS.read_events(spark, events), RB.rebuild_all(roster)
+    for kind, table in KINDS.items():
+        assert rows_of(GS.of_kind(got, kind)) == rows_of(want[table]), kind
+    changed = [p["stateOperators"][0][k] for p in q.recentProgress if p["stateOperators"] for k in ("numRowsUpdated", "numRowsRemoved")]
+    assert sum(changed) < 200, changed
+
+
+class FakeState(dict):
+    """Value and map states, timers and times of one group, as Spark gives them."""
+    def getValueState(self, name, schema): return FakeState()
+    def getMapState(self, name, key, value): return FakeState()
+    def get(self): return dict.get(self, ())
+    def update(self, value): self[()] = value
+    def updateValue(self, key, value): self[key] = value
+    def getValue(self, key): return self[key]
+    def removeKey(self, key): del self[key]
+    def registerTimer(self, at): self[at] = at
+    def getCurrentWatermarkInMs(self): return 10_000
+    def getExpiryTimeInMs(self): return min(self)
+
+
+def test_snapshot_of_many_rows_is_written_in_parts(spark):
+    """More rows of a group than a task holds: written in parts, none read again."""
+    handle, state = FakeState(), GS.GuildState(720, None)
+    state.init(handle)
+    n = GS.HELD_ROWS // 2 + 5_000
+    rows = pd.DataFrame({"micros": [1_000_000, 2_000_000] * n, "name": [f"c{i // 2}" for i in range(2 * n)], "guild_rank": "r",
+                         "vocation": None, "level": [1.0, 2.0] * n, "status": "online", "joined": None})
+    rows.loc[0, "name"], rows.loc[3, "level"] = None, None  # nobody; no level
+    assert not list(state.handleInputRows(("w", "g", 0), (rows[i:i + 10_000] for i in range(0, len(rows), 10_000)), handle))
+    assert sorted(state.waiting) == [(1_000_000, 0), (1_000_000, 1), (2_000_000, 0), (2_000_000, 1)]
+    kinds = Counter()
+    for frame in state.handleExpiredTimer(("w", "g", 0), handle, handle):
+        kinds.update(frame["kind"])
+        assert list(frame.columns) == GS.COLUMNS
+    assert kinds == {"join": 1, "level_change": n - 1, "interval": n - 1}
+    assert not state.waiting and not list(state.handleExpiredTimer(("w", "g", 0), handle, handle))
+
+
+def test_parts_follow_the_largest_snapshot(spark):
+    assert GS.parts_for(big_guild(spark, 10).limit(0)) == GS.parts_for(big_guild(spark, 700)) == GS.LEAST_PARTS
+    assert GS.parts_for(big_guild(spark, 14 * GS.MEMBERS_PER_PART)) == 12
+
+
 def test_empty_landing_gives_no_events(spark, tmp_path):
     (tmp_path / "landing").mkdir()
     GS.clock_document(spark, "2024-03-01 00:00:00", f"{tmp_path}/landing/last")
