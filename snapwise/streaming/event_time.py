@@ -51,8 +51,9 @@ def minutes_by_day(spark: SparkSession, events_dir: str, days_dir: str, checkpoi
                      "online_interval_rows", F.lit(number).cast("long").alias("trigger")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trigger").parquet(days_dir)
 
-    return days.writeStream.outputMode("update").foreachBatch(write) \
-        .option("checkpointLocation", checkpoint or fresh_dir(spark, "day-windows")).trigger(availableNow=True).start()
+    with GS.state_on_disk(spark):  # a sum per member and day
+        return days.writeStream.outputMode("update").foreachBatch(write) \
+            .option("checkpointLocation", checkpoint or fresh_dir(spark, "day-windows")).trigger(availableNow=True).start()
 
 
 def read_days(spark: SparkSession, days_dir: str) -> DataFrame:

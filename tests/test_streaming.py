@@ -138,6 +138,7 @@ class FakeState(dict):
     def getMapState(self, name, key, value): return FakeState()
     def get(self): return dict.get(self, ())
     def update(self, value): self[()] = value
+    def clear(self): self.pop((), None)
     def updateValue(self, key, value): self[key] = value
     def getValue(self, key): return self[key]
     def removeKey(self, key): del self[key]
@@ -161,6 +162,7 @@ def test_snapshot_of_many_rows_is_written_in_parts(spark):
         kinds.update(frame["kind"])
         assert list(frame.columns) == GS.COLUMNS
     assert kinds == {"join": 1, "level_change": n - 1, "interval": n - 1}
+    assert list(handle) == [1001]  # one timer for both
     assert not state.waiting and not list(state.handleExpiredTimer(("w", "g", 0), handle, handle))
 
 
@@ -215,6 +217,19 @@ def test_day_windows_equal_the_batch(spark):
     assert rows_of(ET.read_days(spark, days)) == rows_of(want["days"]) and sum(rows_of(want["days"]).values()) > 4
 
 
+def test_day_windows_keep_their_state_on_disk(spark):
+    """The sums of all members and days are not held in the heap."""
+    events, days = RW.fresh_dir(spark, "events"), RW.fresh_dir(spark, "days")
+    spark.range(1).selectExpr("'interval' kind", "'g' guild_name", "'w' world", "'c' character_name",
+                              "30 estimated_online_minutes", "1704067200000000L latest_micros").coalesce(1).write.parquet(events)
+    before = spark.conf.get(GS.STATE_STORE[0])
+    q = ET.minutes_by_day(spark, events, days)
+    q.awaitTermination()
+    state = next(p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"])
+    assert any(name.startswith("rocksdb") for name in state["customMetrics"])
+    assert spark.conf.get(GS.STATE_STORE[0]) == before and ET.read_days(spark, days).count() == 1
+
+
 def test_staged_triggers_overlap_and_lose_nothing(spark):
     roster = small_roster(spark, (0, 1, 2, 3, 30))
     landing, root = RW.fresh_dir(spark, "landing"), RW.fresh_dir(spark, "store")
