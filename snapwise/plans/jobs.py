@@ -99,6 +99,8 @@ KIND = {"intervals": "online", "days": "online", "totals": "online", "online_led
 TIME = {**dict.fromkeys(("members", "raw", "snapshots"), "extracted_at_utc"), "days": "activity_date",
         **dict.fromkeys(("intervals", "pairs", "level_changes", "joins", "leaves", "rank_changes"), "latest_snapshot_time")}
 WORLD, DAY = "in_world", "day"
+#: Tables with a row per poll, however many members it has.
+THIN = ("snapshots", "pairs")
 PARTS = {n: (DAY,) if n in ("raw", "snapshots") else (WORLD, DAY) for n in TIME}
 #: Tables whose batches are merged by ``compact``, with the sums or maxima of the
 #: additive ones.
@@ -129,7 +131,7 @@ class SnapshotJobs:
             rows = rows.withColumn(DAY, F.to_date(TIME[name]))
         if WORLD in PARTS.get(name, ()):
             rows = rows.withColumn(WORLD, F.col("world"))
-        return self.store.put(name, rows, batch, PARTS.get(name, ()))
+        return self.store.put(name, rows, batch, PARTS.get(name, ()), thin=name in THIN)
 
     def _read(self, name: str, days: list | None = None, after: int | None = None) -> DataFrame:
         """Stored rows of a table with their partition columns: of the given days,

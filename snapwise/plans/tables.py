@@ -110,12 +110,16 @@ class Tables:
             if mine:
                 self._fs.delete(self._path(path), False)
 
-    def put(self, name: str, df: DataFrame, batch: int, by: tuple[str, ...] = ()) -> int:
+    def put(self, name: str, df: DataFrame, batch: int, by: tuple[str, ...] = (), thin: bool = False) -> int:
         """Write a batch's rows of a table (also partitioned ``by`` columns); the
-        number of rows, counted while they are written."""
+        number of rows, counted while they are written. ``thin``: many folders of
+        a few rows each."""
         seen = Observation()
-        # Rows of one folder meet in one task, unless they are many (split at run time).
-        df = df.hint("rebalance", *by) if by else df
+        # Rows of one folder meet in one task, unless they are many (split at run
+        # time). Thin folders cost by their number, not by their bytes, by which
+        # they would all meet in one task: they are dealt to all cores.
+        if by:
+            df = df.repartition(self.spark.sparkContext.defaultParallelism, *by) if thin else df.hint("rebalance", *by)
         df.withColumn(BATCH, F.lit(batch).cast("long")).observe(seen, F.count(F.lit(1)).alias("n")) \
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*by, BATCH).parquet(self.folder(name))

@@ -387,3 +387,15 @@ def test_tables_overwrite_their_own_partitions(spark, tmp_root):
     assert t.batches("t") == {1, 2} and t.batches("none") == set()
     t.keep("t", df, F.col("id") == 4)
     assert [(r.batch, r.id) for r in t.read("t", "id long").collect()] == [(2, 4)]
+
+
+def test_thin_folders_are_dealt_to_all_cores(spark, tmp_root):
+    """A row per poll in a folder per day: no single task writes all of them."""
+    jobs = SnapshotJobs(spark, tmp_root)
+    jobs.ingest_members(small_roster(spark, tuple(range(0, 24 * 40, 12))))
+    jobs.run_online(as_of(), None)
+    jobs.run_general(as_of(), None)
+    for name in ("snapshots", "pairs"):
+        files = jobs.table(name).inputFiles()
+        assert len(files) >= 40, name  # still one file for each folder
+        assert len({f.rsplit("/part-", 1)[1][:5] for f in files}) > 3, name
